@@ -8,17 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tesserae.llm.common import table
+from tesserae.llm.packing import pack
 from tesserae.llm.token_count import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), window=1024)
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 def queries() -> dict[str, Query]:
-    return {"op9_token_counts": op9_token_counts}
+    return {"op7_packing": op7_packing, "op9_token_counts": op9_token_counts}
 
 
 def oracle_sql() -> dict[str, str]:
