@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tesserae.llm.common import table
+from tesserae.llm.exact_dedup import exact_groups
 from tesserae.llm.packing import pack
 from tesserae.llm.token_count import token_counts
 
@@ -22,9 +24,30 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lower half of the id range stands for the immutable snapshot, the other rows for the batch that comes in."""
+    docs = table(spark, sf_dir, "documents")
+    least, most = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
+    if least is None:
+        return exact_groups(docs)
+    old = F.coalesce(F.col("doc_id") <= (least + most) // 2, F.lit(False))
+    return exact_groups(docs.filter(~old), docs.filter(old))
+
+
+OP10_SQL = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+
 def queries() -> dict[str, Query]:
-    return {"op7_packing": op7_packing, "op9_token_counts": op9_token_counts}
+    return {
+        "op7_packing": op7_packing,
+        "op9_token_counts": op9_token_counts,
+        "op10_exact_dedup": op10_exact_dedup,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_exact_dedup": OP10_SQL}
