@@ -11,11 +11,16 @@ from pyspark.sql import functions as F
 from tesserae.llm.common import table
 from tesserae.llm.exact_dedup import exact_groups
 from tesserae.llm.packing import pack
+from tesserae.llm.simhash import near_components
 from tesserae.llm.token_count import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_components(table(spark, sf_dir, "documents"), shingle=4, radius=4)
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), window=1024)
 
@@ -43,6 +48,7 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 
 def queries() -> dict[str, Query]:
     return {
+        "op5_simhash": op5_simhash,
         "op7_packing": op7_packing,
         "op9_token_counts": op9_token_counts,
         "op10_exact_dedup": op10_exact_dedup,
