@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tesserae.llm.common import table
 from tesserae.llm.exact_dedup import exact_groups
+from tesserae.llm.mixing import mixture
 from tesserae.llm.packing import pack
 from tesserae.llm.simhash import near_components
 from tesserae.llm.token_count import token_counts
@@ -17,6 +18,10 @@ from tesserae.llm.token_count import token_counts
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture(table(spark, sf_dir, "documents"), weights=(5, 2, 1), most=3).drop("source")
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_components(table(spark, sf_dir, "documents"), shingle=4, radius=4)
 
@@ -48,6 +53,7 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_mixing": op1_mixing,
         "op5_simhash": op5_simhash,
         "op7_packing": op7_packing,
         "op9_token_counts": op9_token_counts,
