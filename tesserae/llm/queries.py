@@ -12,6 +12,7 @@ from tesserae.llm.common import table
 from tesserae.llm.exact_dedup import exact_groups
 from tesserae.llm.mixing import mixture
 from tesserae.llm.packing import pack
+from tesserae.llm.quality import quality_scores, train
 from tesserae.llm.simhash import near_components
 from tesserae.llm.token_count import token_counts
 
@@ -26,6 +27,11 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_components(table(spark, sf_dir, "documents"), shingle=4, radius=4)
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_scores(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), window=1024)
 
@@ -55,6 +61,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_mixing": op1_mixing,
         "op5_simhash": op5_simhash,
+        "op6_quality": op6_quality,
         "op7_packing": op7_packing,
         "op9_token_counts": op9_token_counts,
         "op10_exact_dedup": op10_exact_dedup,
