@@ -6,6 +6,7 @@ import sys
 import tempfile
 import types
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,6 +49,11 @@ def n_words(text: Column) -> Column:
     return F.length(F.regexp_replace(led, f"{WORD}{GAP}*+", "x")).cast("long")
 
 
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """then(value), with value evaluated, and written into the plan, once."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
 def worker_state(key: str, build):
     """State that one Python worker process keeps from task to task (caches, loaded tokenizers)."""
     store = sys.modules.setdefault("_tesserae_worker", types.ModuleType("_tesserae_worker")).__dict__

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tesserae.llm.common import table
 from tesserae.llm.exact_dedup import exact_groups
+from tesserae.llm.lookup_sketch import fingerprints
 from tesserae.llm.mixing import mixture
 from tesserae.llm.packing import pack
 from tesserae.llm.quality import quality_scores, train
@@ -23,6 +24,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture(table(spark, sf_dir, "documents"), weights=(5, 2, 1), most=3).drop("source")
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_components(table(spark, sf_dir, "documents"), shingle=4, radius=4)
 
@@ -60,6 +65,7 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 def queries() -> dict[str, Query]:
     return {
         "op1_mixing": op1_mixing,
+        "op3_fingerprints": op3_fingerprints,
         "op5_simhash": op5_simhash,
         "op6_quality": op6_quality,
         "op7_packing": op7_packing,
