@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from tesserae.llm.common import table
 from tesserae.llm.exact_dedup import exact_groups
+from tesserae.llm.html_text import extracted, learn_weights
 from tesserae.llm.lookup_sketch import fingerprints
 from tesserae.llm.mixing import mixture
 from tesserae.llm.packing import pack
 from tesserae.llm.quality import quality_scores, train
+from tesserae.llm.secrets import secret_spans
 from tesserae.llm.simhash import near_components
 from tesserae.llm.token_count import token_counts
 
@@ -24,10 +26,25 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture(table(spark, sf_dir, "documents"), weights=(5, 2, 1), most=3).drop("source")
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return extracted(pages, learn_weights(pages))
+
+
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    found = F.col("found")
+    of = {k: F.size(F.filter(found, lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")}  # noqa: B023
+    base = F.filter(found, lambda s: s["kind"] != "novel")
+    return secret_spans(table(spark, sf_dir, "documents")).select("doc_id", *of.values(), F.sha2(joined(base), 256).alias("base_sha256"), joined(found).alias("spans"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_components(table(spark, sf_dir, "documents"), shingle=4, radius=4)
 
@@ -65,7 +82,9 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 def queries() -> dict[str, Query]:
     return {
         "op1_mixing": op1_mixing,
+        "op2_html_text": op2_html_text,
         "op3_fingerprints": op3_fingerprints,
+        "op4_secrets": op4_secrets,
         "op5_simhash": op5_simhash,
         "op6_quality": op6_quality,
         "op7_packing": op7_packing,
