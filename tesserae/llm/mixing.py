@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import GAP, n_words, staged, text_or_empty
+from tesserae.llm.common import GAP, let, n_words, staged, text_or_empty
 
 #: Blocks per output shard, on average.
 BLOCKS_PER_SHARD = 64
@@ -29,9 +29,11 @@ def _hash(*columns) -> Column:
 def _log_factorial(n: Column) -> Column:
     """Exact logarithms below 16, Stirling's series (error under 1e-9) from there."""
     small = F.array(*[F.lit(math.lgamma(i + 1)) for i in range(16)])
-    x = F.greatest(n, F.lit(16)).cast("double")
-    series = x * F.log(x) - x + 0.5 * F.log(2 * math.pi * x) + 1 / (12 * x) - 1 / (360 * x * x * x) + 1 / (1260 * x * x * x * x * x)
-    return F.when(n < 16, F.element_at(small, F.least(n, F.lit(15)).cast("int") + 1)).otherwise(series)
+
+    def series(x: Column) -> Column:
+        return x * F.log(x) - x + 0.5 * F.log(2 * math.pi * x) + 1 / (12 * x) - 1 / (360 * x * x * x) + 1 / (1260 * x * x * x * x * x)
+
+    return let(n, lambda k: F.when(k < 16, F.element_at(small, F.least(k, F.lit(15)).cast("int") + 1)).otherwise(let(F.greatest(k, F.lit(16)).cast("double"), series)))
 
 
 def _choose(n: Column, k: Column) -> Column:
@@ -41,19 +43,24 @@ def _choose(n: Column, k: Column) -> Column:
 def hypergeometric(total: Column, good: Column, drawn: Column, u: Column) -> Column:
     """How many of `drawn` out of total are among the good ones: the inverse of the distribution at u, walked within 12 deviations."""
     d = lambda c: c.cast("double")
-    mean = d(drawn) * d(good) / F.greatest(d(total), F.lit(1.0))
-    dev = F.sqrt(F.greatest(mean * (1 - d(good) / F.greatest(d(total), F.lit(1.0))), F.lit(0.0)))
-    low = F.greatest(F.lit(0).cast("long"), drawn - (total - good), F.floor(mean - 12 * dev - 2))
-    high = F.least(good, drawn, F.ceil(mean + 12 * dev + 2))
-    first = F.exp(_choose(good, low) + _choose(total - good, drawn - low) - _choose(total, drawn))
+    share = d(good) / F.greatest(d(total), F.lit(1.0))
+    spread = F.struct((d(drawn) * share).alias("mean"), F.sqrt(F.greatest(d(drawn) * share * (1 - share), F.lit(0.0))).alias("dev"))
+
+    def ends(m: Column) -> Column:
+        low = F.greatest(F.lit(0).cast("long"), drawn - (total - good), F.floor(m["mean"] - 12 * m["dev"] - 2))
+        return F.struct(low.alias("low"), F.least(good, drawn, F.ceil(m["mean"] + 12 * m["dev"] + 2)).alias("high"), u.alias("u"))
+
+    def walk(e: Column) -> Column:
+        def step(s: Column, x: Column) -> Column:
+            more = d(good - x) * d(drawn - x) / (d(x + 1) * F.greatest(d(total - good - drawn + x + 1), F.lit(1.0)))
+            return let(s["p"] * more, lambda p: F.struct(p.alias("p"), (s["c"] + p).alias("c"), F.when(s["c"] < e["u"], x + 1).otherwise(s["x"]).alias("x")))
 
-    def step(s: Column, x: Column) -> Column:
-        more = d(good - x) * d(drawn - x) / (d(x + 1) * F.greatest(d(total - good - drawn + x + 1), F.lit(1.0)))
-        p = s["p"] * more
-        return F.struct(p.alias("p"), (s["c"] + p).alias("c"), F.when(s["c"] < u, x + 1).otherwise(s["x"]).alias("x"))
+        first = F.exp(_choose(good, e["low"]) + _choose(total - good, drawn - e["low"]) - _choose(total, drawn))
+        start = let(first, lambda p: F.struct(p.alias("p"), p.alias("c"), e["low"].alias("x")))
+        steps = F.sequence(e["low"], F.greatest(e["low"], e["high"] - 1))
+        return F.when(e["high"] <= e["low"], e["low"]).otherwise(F.aggregate(steps, start, step, lambda s: s["x"]))
 
-    start = F.struct(first.alias("p"), first.alias("c"), low.alias("x"))
-    return F.when(high <= low, low).otherwise(F.aggregate(F.sequence(low, F.greatest(low, high - 1)), start, step, lambda s: s["x"]))
+    return let(let(spread, ends), walk)
 
 
 def _uniform(*columns) -> Column:
@@ -69,7 +76,7 @@ def splitting_tree(counts: DataFrame, levels: int, seed: int) -> DataFrame:
 
         def draw(s: Column, k: Column) -> Column:
             got = hypergeometric(s["rest"], k, s["want"], _uniform(seed, node, s["i"]))
-            return F.struct((s["rest"] - k).alias("rest"), (s["want"] - got).alias("want"), (s["i"] + 1).alias("i"), F.concat(s["out"], F.array(got)).alias("out"))
+            return let(got, lambda x: F.struct((s["rest"] - k).alias("rest"), (s["want"] - x).alias("want"), (s["i"] + 1).alias("i"), F.concat(s["out"], F.array(x)).alias("out")))
 
         return F.aggregate(n, start, draw, lambda s: s["out"])
 
