@@ -17,6 +17,7 @@ from tesserae.llm.packing import pack
 from tesserae.llm.quality import quality_scores, train
 from tesserae.llm.secrets import secret_spans
 from tesserae.llm.simhash import near_components
+from tesserae.llm.substring_dedup import without_repeats
 from tesserae.llm.token_count import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +59,24 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), window=1024)
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(table(spark, sf_dir, "documents"), window=50)
+
+
+OP8_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+  at AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM w WHERE len(ws) >= 50),
+  win AS (SELECT doc_id, i, array_to_string(ws[i:i + 49], ' ') AS s FROM at),
+  seen AS (SELECT s, min(doc_id) AS first FROM win GROUP BY s),
+  hit AS (SELECT doc_id, i FROM win JOIN seen USING (s) WHERE first < doc_id),
+  gone AS (SELECT DISTINCT doc_id, i + k AS p FROM (SELECT doc_id, i, unnest(range(50)) AS k FROM hit)),
+  word AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM w),
+  kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS s FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(s, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -88,10 +107,11 @@ def queries() -> dict[str, Query]:
         "op5_simhash": op5_simhash,
         "op6_quality": op6_quality,
         "op7_packing": op7_packing,
+        "op8_substring_dedup": op8_substring_dedup,
         "op9_token_counts": op9_token_counts,
         "op10_exact_dedup": op10_exact_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_exact_dedup": OP10_SQL}
+    return {"op8_substring_dedup": OP8_SQL, "op10_exact_dedup": OP10_SQL}
