@@ -68,7 +68,7 @@ def _uniform(*columns) -> Column:
 
 
 def splitting_tree(counts: DataFrame, levels: int, seed: int) -> DataFrame:
-    """counts: one row (node, counts: long per source). Returns the 2^levels leaves, whose counts add up to the root's."""
+    """counts: one row (node, ixs: the sources' numbers, counts: long per source). Returns the 2^levels leaves, whose counts add up to the root's."""
 
     def left(node: Column, n: Column) -> Column:
         total = F.aggregate(n, F.lit(0).cast("long"), lambda a, x: a + x)
@@ -81,9 +81,9 @@ def splitting_tree(counts: DataFrame, levels: int, seed: int) -> DataFrame:
         return F.aggregate(n, start, draw, lambda s: s["out"])
 
     for _ in range(levels):
-        halves = counts.select("node", "counts", left(F.col("node"), F.col("counts")).alias("half"))
+        halves = counts.select("node", "ixs", "counts", left(F.col("node"), F.col("counts")).alias("half"))
         right = F.zip_with("counts", "half", lambda a, b: a - b)
-        both = F.array(F.struct((F.col("node") * 2).alias("node"), F.col("half").alias("counts")), F.struct((F.col("node") * 2 + 1).alias("node"), right.alias("counts")))
+        both = F.array(F.struct((F.col("node") * 2).alias("node"), "ixs", F.col("half").alias("counts")), F.struct((F.col("node") * 2 + 1).alias("node"), "ixs", right.alias("counts")))
         counts = halves.select(F.inline(both))
     return counts
 
@@ -142,8 +142,7 @@ def mixture(df: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3,
     listed = F.array_sort(F.collect_list(F.struct("ix", "n")))
     root = quotas.agg(listed.alias("q")).select(F.lit(1).cast("long").alias("node"), F.transform("q", lambda x: x["n"]).alias("counts"), F.transform("q", lambda x: x["ix"]).alias("ixs"))
     root = staged(root, "root")
-    leaves = splitting_tree(root.select("node", "counts"), shards.bit_length() - 1, seed)
-    leaves = leaves.crossJoin(F.broadcast(root.select("ixs"))) if shards == 1 else leaves.join(F.broadcast(root.select(F.lit(True).alias("one"), "ixs")), F.col("node") > 0)
+    leaves = splitting_tree(root, shards.bit_length() - 1, seed)
     leaves = leaves.select((F.col("node") - shards).alias("shard"), F.inline(F.arrays_zip(F.col("ixs").alias("ix"), F.col("counts").alias("k"))))
     from_ = F.sum("k").over(Window.partitionBy("ix").orderBy("shard")) - F.col("k")
     taken = leaves.withColumn("from", from_).filter("k > 0").select("ix", "shard", F.explode(F.sequence(F.col("from") + 1, F.col("from") + F.col("k"))).alias("rank"))
