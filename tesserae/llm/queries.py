@@ -65,8 +65,8 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP8_SQL = r"""
 WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
-  at AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM w WHERE len(ws) >= 50),
-  win AS (SELECT doc_id, i, array_to_string(ws[i:i + 49], ' ') AS s FROM at),
+  placed AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM w WHERE len(ws) >= 50),
+  win AS (SELECT doc_id, i, array_to_string(ws[i:i + 49], ' ') AS s FROM placed),
   seen AS (SELECT s, min(doc_id) AS first FROM win GROUP BY s),
   hit AS (SELECT doc_id, i FROM win JOIN seen USING (s) WHERE first < doc_id),
   gone AS (SELECT DISTINCT doc_id, i + k AS p FROM (SELECT doc_id, i, unnest(range(50)) AS k FROM hit)),
