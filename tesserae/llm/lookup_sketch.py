@@ -23,9 +23,6 @@ BIN_LOAD = 8
 #: Ordered documents meet their neighbours in buckets of about so many rows; there are at most so many buckets.
 BUCKET_ROWS, MOST_BUCKETS = 1024, 8192
 
-CELL = "struct<n:int,x:bigint,c:int>"
-
-
 def digests(text: Column) -> Column:
     """The distinct 64-bit digests of a text's paragraphs."""
     word, gap = r"[^\x20\x09-\x0D]++", r"[\x20\x09\x0B-\x0D]*+"
@@ -41,46 +38,60 @@ def _cell(n: Column, x: Column, c: Column) -> Column:
     return F.struct(n.alias("n"), x.alias("x"), c.alias("c"))
 
 
-def sketch(keys: Column, attempt: int = 0) -> Column:
-    """The cells (row after row) of an array of digests."""
+def entries(keys: Column, attempt: int = 0) -> Column:
+    """Digests with their check hash and their cell in each row, so that building and peeling only compare numbers."""
     size, shifts = TRIES[attempt]
-    none = F.lit(None).cast(CELL)
+    return F.transform(keys, lambda k: F.struct(k.alias("x"), F.hash(k).alias("c"), F.lit(1).alias("n"), *[_slot(k, size, s).alias(f"s{i}") for i, s in enumerate(shifts)]))
 
-    def row(shift: int) -> Column:
-        def cell(j: Column) -> Column:
-            zero = _cell(F.lit(0), F.lit(0).cast("long"), F.lit(0))
-            return F.aggregate(keys, zero, lambda a, k: F.when(_slot(k, size, shift) == j, _cell(a["n"] + 1, a["x"].bitwiseXOR(k), a["c"].bitwiseXOR(F.hash(k)))).otherwise(a))
 
-        return F.transform(F.sequence(F.lit(0), F.lit(size - 1)), cell)
+def _merged(cell: Column, some: Column, row: int, j: Column, sign: int) -> Column:
+    """A cell with those of some entries that fall into place j of a row put in (or taken out, sign -1)."""
+    here = F.filter(some, lambda e: e[f"s{row}"] == j)
+    return F.aggregate(here, cell, lambda a, e: _cell(a["n"] + e["n"] * sign if sign < 0 else a["n"] + e["n"], a["x"].bitwiseXOR(e["x"]), a["c"].bitwiseXOR(e["c"])))
+
+
+def sketch(keys: Column, attempt: int = 0) -> Column:
+    """The three rows of cells of an array of digests: struct(r0, r1, r2)."""
+    size = TRIES[attempt][0]
+    zero = _cell(F.lit(0), F.lit(0).cast("long"), F.lit(0))
+    places = F.sequence(F.lit(0), F.lit(size - 1))
 
-    return F.concat(F.slice(F.array(none), 1, 0), *[row(s) for s in shifts])
+    def row(own: Column, r: int) -> Column:
+        return F.transform(places, lambda j: _merged(zero, own, r, j, 1)).alias(f"r{r}")
+
+    return let(entries(keys, attempt), lambda own: F.struct(*[row(own, r) for r in range(3)]))
+
+
+def cells(rows: Column) -> Column:
+    return F.concat(rows["r0"], rows["r1"], rows["r2"])
 
 
 def subtract(a: Column, b: Column) -> Column:
-    return F.zip_with(a, b, lambda p, q: _cell(p["n"] - q["n"], p["x"].bitwiseXOR(q["x"]), p["c"].bitwiseXOR(q["c"])))
+    one = lambda s, r: F.zip_with(s["a"][r], s["b"][r], lambda p, q: _cell(p["n"] - q["n"], p["x"].bitwiseXOR(q["x"]), p["c"].bitwiseXOR(q["c"])))
+    return let(F.struct(a.alias("a"), b.alias("b")), lambda s: F.struct(*[one(s, r).alias(r) for r in ("r0", "r1", "r2")]))
 
 
-def peel(cells: Column, attempt: int = 0, rounds: int = 16) -> Column:
+def peel(rows: Column, attempt: int = 0, rounds: int = 16) -> Column:
     """(ok, a, b) of a difference: whether it was recovered whole, and how many digests only either side has."""
     size, shifts = TRIES[attempt]
 
-    def place(x: Column, i: Column) -> Column:
-        a, b, c = (_slot(x, size, s) == i % size for s in shifts)
-        return F.when(i < size, a).when(i < 2 * size, b).otherwise(c)
-
     def step(s: Column, _: Column) -> Column:
+        def row(r: int, alone: Column) -> Column:
+            return F.transform(s[f"r{r}"], lambda c, j: _merged(c, alone, r, j, -1)).alias(f"r{r}")
+
         def take(alone: Column) -> Column:
-            rest = F.transform(s["cells"], lambda c, i: F.aggregate(F.filter(alone, lambda p: place(p["x"], i)), c, lambda u, p: _cell(u["n"] - p["n"], u["x"].bitwiseXOR(p["x"]), u["c"].bitwiseXOR(p["c"]))))
+            rest = [row(r, alone) for r in range(3)]
             mine = F.size(F.filter(alone, lambda p: p["n"] == 1))
-            more = F.struct(rest.alias("cells"), (s["a"] + mine).alias("a"), (s["b"] + F.size(alone) - mine).alias("b"), F.lit(False).alias("stop"))
-            return F.when(F.size(alone) > 0, more).otherwise(F.struct(s["cells"].alias("cells"), s["a"].alias("a"), s["b"].alias("b"), F.lit(True).alias("stop")))
+            more = F.struct(*rest, (s["a"] + mine).alias("a"), (s["b"] + F.size(alone) - mine).alias("b"), F.lit(False).alias("stop"))
+            return F.when(F.size(alone) > 0, more).otherwise(F.struct(*[s[c].alias(c) for c in ("r0", "r1", "r2", "a", "b")], F.lit(True).alias("stop")))
 
-        pure = F.array_distinct(F.filter(s["cells"], lambda c: (F.abs(c["n"]) == 1) & (c["c"] == F.hash(c["x"]))))
-        return F.when(s["stop"], s).otherwise(let(pure, take))
+        pure = F.array_distinct(F.concat(*[F.filter(s[f"r{r}"], lambda c: (F.abs(c["n"]) == 1) & (c["c"] == F.hash(c["x"]))) for r in range(3)]))
+        placed = F.transform(pure, lambda c: F.struct(c["x"].alias("x"), c["c"].alias("c"), c["n"].alias("n"), *[_slot(c["x"], size, h).alias(f"s{i}") for i, h in enumerate(shifts)]))
+        return F.when(s["stop"], s).otherwise(let(placed, take))
 
-    start = F.struct(cells.alias("cells"), F.lit(0).alias("a"), F.lit(0).alias("b"), F.lit(False).alias("stop"))
-    empty = lambda c: F.forall(c, lambda x: (x["n"] == 0) & (x["x"] == 0) & (x["c"] == 0))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, step, lambda s: F.struct(empty(s["cells"]).alias("ok"), s["a"].alias("a"), s["b"].alias("b")))
+    begin = lambda d: F.struct(*[d[c].alias(c) for c in ("r0", "r1", "r2")], F.lit(0).alias("a"), F.lit(0).alias("b"), F.lit(False).alias("stop"))
+    empty = lambda s: F.forall(cells(s), lambda x: (x["n"] == 0) & (x["x"] == 0) & (x["c"] == 0))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), let(rows, begin), step, lambda s: F.struct(empty(s).alias("ok"), s["a"].alias("a"), s["b"].alias("b")))
 
 
 def difference(a: Column, b: Column, cells_a: Column, cells_b: Column) -> Column:
@@ -101,10 +112,11 @@ def difference(a: Column, b: Column, cells_a: Column, cells_b: Column) -> Column
         load = F.greatest(F.lit(1), F.ceil((F.size(a) + F.size(b)) / F.lit(BIN_LOAD)))
         bins = F.least(F.lit(1 << 15), F.pow(F.lit(2), F.ceil(F.log2(load.cast("double"))))).cast("long")
         parts = let(bins - 1, lambda mask: F.transform(F.sequence(F.lit(0).cast("long"), mask), lambda t: bin_(t, mask)))
-        total = F.aggregate(parts, F.struct(F.lit(0).alias("a"), F.lit(0).alias("b")), lambda s, p: F.struct((s["a"] + p["a"]).alias("a"), (s["b"] + p["b"]).alias("b")))
-        return F.struct(F.lit(True).alias("ok"), total["a"].alias("a"), total["b"].alias("b"))
+        zero = F.struct(F.lit(0).alias("a"), F.lit(0).alias("b"))
+        add = lambda s, p: F.struct((s["a"] + p["a"]).alias("a"), (s["b"] + p["b"]).alias("b"))
+        return F.aggregate(parts, zero, add, lambda s: F.struct(F.lit(True).alias("ok"), s["a"].alias("a"), s["b"].alias("b")))
 
-    return let(peel(subtract(cells_a, cells_b)), lambda r: F.when(r["ok"], r).otherwise(let(larger(), lambda x: x)))
+    return let(peel(subtract(cells_a, cells_b)), lambda r: F.when(r["ok"], r).otherwise(larger()))
 
 
 def likeness(a: Column, b: Column, cells_a: Column, cells_b: Column) -> Column:
@@ -113,10 +125,10 @@ def likeness(a: Column, b: Column, cells_a: Column, cells_b: Column) -> Column:
     return F.when(both == 0, F.lit(1.0)).otherwise(let(difference(a, b, cells_a, cells_b), lambda d: (both - d["a"] - d["b"]) / both.cast("double")))
 
 
-def as_text(cells: Column) -> Column:
+def as_text(all_cells: Column) -> Column:
     """A sketch as hex: per cell 6 digits of the count (modulo 16^6), 16 of the digests, 8 of the checks."""
     part = lambda c, w: F.lower(F.right(F.lpad(F.hex(c), 16, "0"), F.lit(w)))
-    return F.array_join(F.transform(cells, lambda c: F.concat(part(c["n"].cast("long"), 6), part(c["x"], 16), part(c["c"].cast("long"), 8))), "")
+    return F.array_join(F.transform(all_cells, lambda c: F.concat(part(c["n"].cast("long"), 6), part(c["x"], 16), part(c["c"].cast("long"), 8))), "")
 
 
 def with_next(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
@@ -168,6 +180,6 @@ def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     rows = rows.select("key", "n_chars", "keys", "next_keys", F.sha2("edited", 256).alias("edited_sha256"), digests(F.col("edited")).alias("edited_keys"))
     rows = rows.select("*", sketch(F.col("keys")).alias("cells"), sketch(F.col("next_keys")).alias("next_cells"), sketch(F.col("edited_keys")).alias("edited_cells"))
     return rows.select(
-        F.col("key").alias(key), "n_chars", "edited_sha256", as_text(F.col("cells")).alias("fingerprint"), as_text(F.col("edited_cells")).alias("edited_fingerprint"),
+        F.col("key").alias(key), "n_chars", "edited_sha256", as_text(cells(F.col("cells"))).alias("fingerprint"), as_text(cells(F.col("edited_cells"))).alias("edited_fingerprint"),
         likeness(F.col("keys"), F.col("edited_keys"), F.col("cells"), F.col("edited_cells")).alias("near_edited"), likeness(F.col("keys"), F.col("next_keys"), F.col("cells"), F.col("next_cells")).alias("near_next"),
     )
