@@ -1 +1,3 @@
+"""Registered queries: each binds an operator to tables of a scale folder."""
 
+from tesserae.plans import annotation, counting, quality, reads, signatures, spatial  # noqa: F401
