@@ -23,8 +23,8 @@ from tesserae.llm.common import staged, text_or_empty
 U = np.uint64
 #: Words of a group that is hashed for the minimiser.
 GROUP = 8
-#: From so many documents on, a minimiser's windows travel singly.
-HOT_DOCUMENTS = 1000
+#: From so many documents on, a minimiser's windows travel singly; below it a bucket fits a task (some 200 MB at most).
+HOT_DOCUMENTS = 10_000
 LAST = (1 << 63) - 1
 
 
