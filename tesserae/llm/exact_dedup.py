@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tesserae.llm.common import staged, text_or_empty
 
 U = np.uint64
-#: Keys of a filter shard, on average; a shard is built and probed in one task.
+#: Keys of a filter shard, at most on average; a shard is built and probed in one task, and there is one per task at least.
 SHARD_KEYS = 1 << 15
 
 
@@ -130,7 +130,8 @@ def exact_groups(df: DataFrame, snapshot: DataFrame | None = None, key: str = "d
         groups = new
     else:
         old = staged(rows.filter("old").groupBy("digest").agg(keeper, F.count("*").alias("n")), "snapshot")
-        shards = 1 << max(0, math.ceil(math.log2(max(1, old.count() / SHARD_KEYS))))
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        shards = max(tasks, 1 << max(0, math.ceil(math.log2(max(1, old.count() / SHARD_KEYS)))))
         filters = staged(snapshot_filters(old.select("digest"), shards), "filters")
         found = screened(new, filters, shards)
         fresh = found.filter(~F.col("positive")).select("digest", "keeper", "n")
@@ -154,9 +155,18 @@ def exact_groups(df: DataFrame, snapshot: DataFrame | None = None, key: str = "d
     return out.select(F.col("key").alias(key), "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
 
 
-def exact_dedup(df: DataFrame, snapshot: DataFrame | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of df (every column of it) that stay: one of each group of equal texts that has none in the snapshot ranked above."""
-    kept = exact_groups(df, snapshot, key, text).filter("kept").select(F.col(key).alias("_kept_key"), F.unhex("text_sha256").alias("_kept_digest"))
+def arrivals(df: DataFrame, key: str = "doc_id") -> tuple[DataFrame, DataFrame | None]:
+    """(batch, snapshot) of one table: the lower half of the key's range stands for what came earlier."""
+    least, most = df.agg(F.min(key), F.max(key)).first()
+    if least is None:
+        return df, None
+    old = F.coalesce(F.col(key) <= (least + most) // 2, F.lit(False))
+    return df.filter(~old), df.filter(old)
+
+
+def exact_dedup(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row (every column) of each group of equal texts in df, the one with the largest key; see arrivals."""
+    kept = exact_groups(*arrivals(df, key), key, text).filter("kept").select(F.col(key).alias("_kept_key"), F.unhex("text_sha256").alias("_kept_digest"))
     own = df.withColumn("_digest", F.unhex(F.sha2(text_or_empty(text), 256)))
     met = own.join(kept, F.col(key).eqNullSafe(F.col("_kept_key")) & (F.col("_digest") == F.col("_kept_digest")), "left_semi")
     return met.dropDuplicates([key, "_digest"]).drop("_digest")

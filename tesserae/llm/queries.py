@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tesserae.llm.common import table
-from tesserae.llm.exact_dedup import exact_groups
+from tesserae.llm.exact_dedup import arrivals, exact_groups
 from tesserae.llm.html_text import extracted, learn_weights
 from tesserae.llm.lookup_sketch import fingerprints
 from tesserae.llm.mixing import mixture
@@ -83,12 +83,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lower half of the id range stands for the immutable snapshot, the other rows for the batch that comes in."""
-    docs = table(spark, sf_dir, "documents")
-    least, most = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
-    if least is None:
-        return exact_groups(docs)
-    old = F.coalesce(F.col("doc_id") <= (least + most) // 2, F.lit(False))
-    return exact_groups(docs.filter(~old), docs.filter(old))
+    return exact_groups(*arrivals(table(spark, sf_dir, "documents")))
 
 
 OP10_SQL = """
