@@ -140,6 +140,8 @@ def train(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         for c, r in zip(counts, got, strict=True):
             c[np.frombuffer(r["at"], "<u2")] = np.frombuffer(r["n"], "<u4")
         machine.fit(stats, counts, np.array([r["y"] for r in got], np.float32))
+    else:
+        machine.v[:] = 0
     return machine
 
 
