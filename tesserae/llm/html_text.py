@@ -40,7 +40,11 @@ AWAY_NAME = re.compile(
 AWAY_ROLE = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar".split())
 CONTENT = frozenset("article main".split())
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.DOTALL)
+#: A comment, a declaration, or a tag; a quote opens a value only behind =, and one that never closes takes the rest.
+TOKEN = re.compile(
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:=\s*\"[^\"]*(?:\"|\Z)|=\s*'[^']*(?:'|\Z)|=(?!\s*[\"'])|[^>=])*)(?:>|\Z)",
+    re.DOTALL,
+)
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|([^\s=/"'>]+)""")
 
 
