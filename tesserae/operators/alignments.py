@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -154,9 +157,6 @@ def tag_statistics(df: DataFrame, tag: str, is_first: str = "is_first") -> DataF
 
 def fisher_exact(table: DataFrame, a: str, b: str, c: str, d: str, pseudo: int = 1, alpha: float = 0.05) -> DataFrame:
     """Two-sided exact test of each row's 2x2 table (pseudo added to every cell): odds_ratio and p_value, p below alpha only."""
-    import math
-
-    import pandas as pd
 
     @F.pandas_udf("double")
     def p_value(wa: pd.Series, wb: pd.Series, wc: pd.Series, wd: pd.Series) -> pd.Series:

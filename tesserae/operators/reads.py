@@ -154,9 +154,14 @@ def preprocessing_stats(before: DataFrame, after: DataFrame, sample: str) -> Dat
     one = F.lit(1)
     first = before.select(F.explode(F.array(row("reads", F.lit("N"), F.lit(0), one), row("bases", F.lit("L_in"), F.lit(0), F.length("r2")))).alias("x"))
     own = [row("bases", F.lit("L_out"), F.lit(0), F.length("r2"))]
-    lists = [F.transform(F.arrays_zip(f"a{e}", f"t{e}"), lambda z, e=e: row(f"A{e}", z[f"a{e}"], z[f"t{e}"], F.lit(1))) for e in "53"]
-    totals = [F.transform(F.arrays_zip(f"a{e}", f"t{e}"), lambda z, e=e: row(f"A{e}_total", z[f"a{e}"], F.lit(0), z[f"t{e}"])) for e in "53"]
-    rest = after.select(F.explode(F.concat(F.array(*own), *lists, *totals)).alias("x"))
+
+    def trims(end: str, total: bool) -> Column:
+        a, t = f"a{end}", f"t{end}"
+        if total:
+            return F.transform(F.arrays_zip(a, t), lambda z: row(f"A{end}_total", z[a], F.lit(0), z[t]))
+        return F.transform(F.arrays_zip(a, t), lambda z: row(f"A{end}", z[a], z[t], F.lit(1)))
+
+    rest = after.select(F.explode(F.concat(F.array(*own), *[trims(e, t) for e in "53" for t in (False, True)])).alias("x"))
     counted = first.union(rest).select("x.*").groupBy("measure", "name", "value").agg(F.sum("count").alias("count"))
     return counted.select(F.lit(sample).alias("sample"), "measure", "name", "value", "count")
 
