@@ -104,6 +104,20 @@ def puck_geometry(spots: DataFrame, width_um: float, x: str = "x_pos", y: str =
     return e.select("x0", "x1", "y0", "y1", by.cast("double").alias("coord_by_um"), F.lit(float(width_um)).alias("width_um"), height.cast("long").alias("height_um"))
 
 
+def known_barcodes(detected: DataFrame, known: DataFrame, key: str = "cell_bc", by: str = "cell_bc") -> DataFrame:
+    """One row: distinct detected barcodes, how many are known, and how many are known when reversed (a control)."""
+    own = detected.select(F.col(key).alias("bc")).distinct()
+    listed = known.select(F.col(by).alias("bc")).distinct().withColumn("hit", F.lit(1))
+    n = own.join(listed, "bc", "left").agg(F.count("*").alias("n_detected"), F.count("hit").alias("n_known"))
+    back = own.select(F.reverse("bc").alias("bc")).join(listed, "bc", "left_semi").agg(F.count("*").alias("n_reversed"))
+    return n.crossJoin(back)  # two single rows
+
+
+def image_coordinates(spots: DataFrame, scale: float, x0: float = 0.0, y0: float = 0.0, x: str = "x_pos", y: str = "y_pos") -> DataFrame:
+    """Spots in pixels of an image: moved to its corner and scaled."""
+    return spots.withColumns({x: (F.col(x) - x0) * scale, y: (F.col(y) - y0) * scale})
+
+
 def clean_barcodes(df: DataFrame, primer: str, column: str = "cell_bc") -> DataFrame:
     """Drop low-complexity barcodes and those that look like the primer.
 

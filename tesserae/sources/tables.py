@@ -138,7 +138,7 @@ def write_stats(df: DataFrame, path: str) -> None:
     df.orderBy("name", "value").coalesce(1).write.csv(path, sep="\t", header=True, mode="overwrite")
 
 
-def write_matrix(path: str, counts: DataFrame, obs: DataFrame | None = None, var: DataFrame | None = None) -> None:
+def write_matrix(path: str, counts: DataFrame | None = None, obs: DataFrame | None = None, var: DataFrame | None = None) -> None:
     """A matrix as Parquet tables counts, obs and var in one folder."""
     for name, df in (("counts", counts), ("obs", obs), ("var", var)):
         if df is not None:

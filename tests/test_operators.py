@@ -6,10 +6,11 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from tesserae.engine import Engine
 from tesserae.operators import alignments as al
 from tesserae.operators import catalog as cat
 from tesserae.operators import counts, intervals, longread, matrix, mesh, qc, reads, strategy, tiles, tissue
-from tesserae.sources import lines, sequences, tables
+from tesserae.sources import bam, lines, sequences, tables
 from tesserae.streaming import ingest
 
 
@@ -388,6 +389,37 @@ def test_fasta_sam_gtf(spark, tmp_path):
         tables.read_gtf(spark, str(tmp_path / "y.gtf")).collect()
 
 
+def test_bam(spark, tmp_path):
+    import struct
+
+    def record(name, flag, ref, pos, cigar, seq, tags):
+        ops = b"".join(struct.pack("<I", n << 4 | "MIDNSHP=X".index(o)) for n, o in cigar)
+        codes = ["=ACMGRSVTWYHKDBN".index(b) for b in seq] + [0]
+        packed = bytes(codes[i] << 4 | codes[i + 1] for i in range(0, len(seq), 2))
+        body = struct.pack("<iiBBHHHiiii", ref, pos, len(name) + 1, 255, 0, len(cigar), flag, len(seq), -1, -1, 0) + name.encode() + b"\0" + ops + packed + bytes([40] * len(seq)) + tags
+        return struct.pack("<i", len(body)) + body
+
+    head = b"@HD\tVN:1\n"
+    data = b"BAM\1" + struct.pack("<i", len(head)) + head + struct.pack("<i", 1) + struct.pack("<i", 5) + b"chr1\0" + struct.pack("<i", 1000)
+    data += record("r1", 0, 0, 9, [(3, "M"), (2, "S")], "ACGTN", b"CBZCELL\0NHC\x01XBBs" + struct.pack("<Ihh", 2, 5, -6)) + record("r2", 4, -1, -1, [], "AC", b"")
+    (tmp_path / "x.bam").write_bytes(gzip.compress(data[:60]) + gzip.compress(data[60:]) + gzip.compress(b""))
+    a, b = bam.read_bam(spark, str(tmp_path / "x.bam")).orderBy("record_no").collect()
+    assert (a["qname"], a["rname"], a["pos"], a["cigar"], a["seq"], a["qual"], a["tags"]) == ("r1", "chr1", 10, "3M2S", "ACGTN", "IIIII", {"CB": "CELL", "NH": "1", "XB": "5,-6"})
+    assert (b["qname"], b["flag"], b["rname"], b["cigar"], b["seq"]) == ("r2", 4, "*", "*", "AC")
+
+
+def test_engine(spark, tmp_path):
+    e = Engine(spark, str(tmp_path))
+    e.process(spark.createDataFrame([("a", "g1", "u1"), ("a", "g1", "u1"), ("a", "g2", "u2"), ("b", "g1", "u3")], "CB string, gene string, MI string"), "p", "s")
+    assert [(r["cell"], r["total_counts"], r["n_reads"]) for r in rows(e.load("p", "s", part="obs"))] == [("a", 2, 3), ("b", 1, 1)]
+    spark.createDataFrame([("a", 1.0, 1.0), ("b", 90.0, 90.0)], "cell_bc string, x_pos double, y_pos double").write.parquet(e.path("p", "s", "puck"))
+    assert e.load_spatial("p", "s").count() == 2
+    assert e.load_mesh("p", "s", spot_diameter_um=20, mesh_type="hexagon").agg(F.sum("umis")).first()[0] <= 3
+    t = spark.createDataFrame([("AC",), ("GT",)], "cell_bc string")
+    assert tiles.known_barcodes(t, spark.createDataFrame([("AC",), ("TG",)], "cell_bc string")).first() == (2, 1, 1)
+    assert tiles.image_coordinates(spark.createDataFrame([(3.0, 5.0)], "x_pos double, y_pos double"), 2.0, 1.0, 1.0).first() == (4.0, 8.0)
+
+
 def test_tables(spark, tmp_path):
     (tmp_path / "L1a_tile_2104.txt").write_text("barcodes\txcoord\tycoord\nAA\t1\t2\nAA\t9\t9\nCC\t3\t4\n")
     got = rows(tables.read_barcodes(spark, str(tmp_path / "L1a_tile_2104.txt")))
