@@ -32,11 +32,13 @@ SPACED = frozenset("br td th".split())
 #: Elements that aren't content; classes, ids and roles that say the same; elements and roles that name content.
 AWAY = frozenset("head nav footer aside form script style noscript template svg iframe button select textarea menu dialog input object canvas title datalist".split())
 AWAY_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertis\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|notifications?|newsletter|subscri\w*|sidebars?|side|menus?|nav|navbar|navigation|"
-    r"breadcrumbs?|footer|masthead|site-?header|page-?header|topbar|comments?|commentlist|disqus|respond|replies|reply|related|recommend\w*|share|sharing|social|widgets?|popups?|modal|overlay|pagination|pager|"
-    r"toolbar|skip-?link|login|signin|signup|search)(?:$|[\s_-])",
+    r"(?:^|[\s_-])(?:ads?|ad(?:box|slot|unit|banner|container)|adverts?|advertis\w*|adsense|sponsor\w*|promo\w*|banner|cookie\w*|consent|gdpr|notices?|notifications?|newsletter|subscri\w*|sidebars?|side|menus?|"
+    r"\w*nav|\w*navbar|navigation|breadcrumbs?|footer|copyright|masthead|site-?header|page-?header|topbar|comments?|commentlist|disqus|respond|replies|reply|related|recommend\w*|share|sharing|social|widgets?|popups?|"
+    r"modal|overlay|lightbox|pagination|pager|toolbar|skip-?link|sr-only|screen-reader-text|visually-hidden|login|signin|signup|search)(?:$|[\s_-])",
     re.IGNORECASE,
 )
+#: What says so even of an element that names content.
+AWAY_CONTENT = re.compile(r"(?:^|[\s_-])(?:comments?|reply|replies|related|teasers?|promo\w*|ads?)(?:$|[\s_-])", re.IGNORECASE)
 AWAY_ROLE = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar".split())
 CONTENT = frozenset("article main".split())
 
@@ -75,7 +77,8 @@ def _is_away(name: str, attributes: str, inside_content: bool) -> bool:
     found = {(m[1] or m[5]).lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(attributes)}
     if found.get("role", "").lower() in AWAY_ROLE or "hidden" in found or found.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none", found.get("style", "")):
         return True
-    return name not in CONTENT and name not in ("html", "body") and any(AWAY_NAME.search(found.get(a, "")) for a in ("class", "id"))
+    names = AWAY_CONTENT if name in CONTENT else AWAY_NAME
+    return name not in ("html", "body") and any(names.search(found.get(a, "")) for a in ("class", "id"))
 
 
 def runs(page: str) -> list[Run]:
@@ -189,17 +192,19 @@ def main_text(page: str, weights: dict[str, float]) -> str:
     chosen = [r for r in seq[start:end] if r.words and not r.within.away]
     if not chosen:
         return ""
-    # the element that names content and holds most of the region, else the smallest that holds all of it
+    # the inmost element that names content and holds most of the region, else the smallest that holds all of it
     held: Counter = Counter()
-    known = {}
+    depth = {}
     for r in chosen:
-        inner = [e for e in _holders(r.within) if e.name in CONTENT]
-        if inner:
-            held[id(inner[-1])] += r.words
-            known[id(inner[-1])] = inner[-1]
-    if held and held.most_common(1)[0][1] * 2 > sum(r.words for r in chosen):
-        most = {i for i, n in held.items()}
-        keep = lambda r: any(id(e) in most for e in _holders(r.within))
+        up = _holders(r.within)
+        for i, e in enumerate(up):
+            if e.name in CONTENT:
+                held[id(e)] += r.words
+                depth[id(e)] = len(up) - i
+    most = [i for i, n in held.items() if 2 * n > sum(r.words for r in chosen)]
+    if most:
+        best = max(most, key=depth.__getitem__)
+        keep = lambda r: any(id(e) == best for e in _holders(r.within))
     else:
         shared = {id(e) for e in _holders(chosen[0].within)}
         for r in chosen[1:]:

@@ -411,3 +411,17 @@ def test_without_repeats(docs, empty, hot):
     assert sum(r["n_removed"] for r in got) > 0
     assert [{k: v for k, v in r.items() if k != "kept"} for r in got] == rows(sd.without_repeats(own, hot=hot))
     assert len(rows(sd.without_repeats(docs))) == len(TEXTS) and rows(sd.without_repeats(empty)) == []
+
+
+def test_extraction_of_other_layouts():
+    w = ht.weights_of({})
+    post = "<h1>Title here</h1><p>A first paragraph with words enough.</p><p>And another one of them.</p>"
+    want = "Title here\n\nA first paragraph with words enough.\n\nAnd another one of them."
+    noise = "<p>" + "Loud words that nobody asked for at all. " * 5 + "</p>"
+    for page in (
+        f"<body><main><div class=breadcrumbs>Home</div><article><header>{post}</header><footer>By us</footer></article></main><div id=comments>{noise}</div></body>",
+        f"<body><div id='main'>{post}<section class='reader-comments'><article class=comment>{noise}</article></section></div><div class='footer-links'>{noise}</div></body>",
+        f"<body><div role=navigation>{noise}</div><article>{post}<div class='share-buttons'>Share</div></article><article class='related teaser'>{noise}</article></body>",
+        f"<body><div class='cookiebar' >{noise}</div><div class='col'><div class='post'>{post}</div></div><div style='display:none'>{noise}</div></body>",
+    ):
+        assert ht.main_text(page, w) == want, page
