@@ -21,7 +21,7 @@ BIN = 48
 #: Digests of both sides a bin has on average at the second try.
 BIN_LOAD = 8
 #: Ordered documents meet their neighbours in buckets of about so many rows; there are at most so many buckets.
-BUCKET_ROWS, MOST_BUCKETS = 1024, 8192
+BUCKET_ROWS, MOST_BUCKETS = 1024, 1 << 16
 
 def digests(text: Column) -> Column:
     """The distinct 64-bit digests of a text's paragraphs."""
@@ -131,6 +131,11 @@ def as_text(all_cells: Column) -> Column:
     return F.array_join(F.transform(all_cells, lambda c: F.concat(part(c["n"].cast("long"), 6), part(c["x"], 16), part(c["c"].cast("long"), 8))), "")
 
 
+def _numbers(values: list[int]) -> Column:
+    """A literal array of longs, as one folded literal."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<long>")
+
+
 def with_next(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """df with `next`: a struct of columns of the row that follows by descending key (null keys last); the first follows the last.
 
@@ -141,10 +146,10 @@ def with_next(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
     own = df.withColumn("_key", F.coalesce(F.col(key).cast("long"), F.lit(low)))
     n = own.count()
     n_buckets = min(MOST_BUCKETS, max(1, n // BUCKET_ROWS))
-    cuts = own.agg(F.percentile_approx("_key", [i / n_buckets for i in range(1, n_buckets)] or [0.5], 100_000)).first()[0] if n_buckets > 1 else []
+    cuts = own.agg(F.percentile_approx("_key", [i / n_buckets for i in range(1, n_buckets)], max(10_000, 4 * n_buckets))).first()[0] if n_buckets > 1 else []
     cuts = sorted(set(cuts or []))
     if cuts:
-        bounds = F.array(*map(F.lit, cuts))
+        bounds = _numbers(cuts)
         steps = F.array(*[F.lit(1 << b) for b in reversed(range(len(cuts).bit_length()))])
         below = F.aggregate(steps, F.lit(0), lambda at, s: F.when((at + s <= len(cuts)) & (F.get(bounds, at + s - 1) <= F.col("_key")), at + s).otherwise(at))
         bucket = F.lit(len(cuts)) - below
@@ -155,8 +160,8 @@ def with_next(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
     before = {b: order[i - 1] for i, b in enumerate(order)}
     if not order:
         order, heads, before = [0], {0: low}, {0: 0}
-    head = F.get(F.array(*[F.lit(heads.get(b, low)) for b in range(order[-1] + 1)]), F.col("_bucket"))
-    previous = F.get(F.array(*[F.lit(before.get(b, 0)) for b in range(order[-1] + 1)]), F.col("_bucket"))
+    head = F.get(_numbers([heads.get(b, low) for b in range(order[-1] + 1)]), F.col("_bucket"))
+    previous = F.get(_numbers([before.get(b, 0) for b in range(order[-1] + 1)]), F.col("_bucket"))
     place = lambda b, copy: F.struct(b.alias("_at"), F.lit(copy).alias("_copy"))
     there = F.array(place(F.col("_bucket"), False))
     sent = own.withColumn("_bucket", bucket).withColumn("_head", F.col("_key") == head)
