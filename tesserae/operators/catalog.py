@@ -283,3 +283,28 @@ def filled(template: str, values: dict, defaults: dict | None = None) -> str:
     names = {n for _, n, _, _ in string.Formatter().parse(template) if n}
     known = (defaults or {}) | values
     return template.format(**{n: known.get(n, f"NO_{n}") for n in names})
+
+
+def run_mode_matrix(spark: SparkSession, config: Config, names: list[str]) -> DataFrame:
+    """(variable, one column per run mode) as text, null where a mode leaves a variable unset."""
+    modes = {n: config.run_mode(n) for n in names}
+    every = sorted({v for m in modes.values() for v in m})
+    return spark.createDataFrame([(v, *[None if m.get(v) is None else str(m[v]) for m in modes.values()]) for v in every], ", ".join(["variable string", *[f"`{n}` string" for n in names]]))
+
+
+def sample_info(df: DataFrame, project_id: str, sample_id: str) -> DataFrame:
+    """What a report says about one sample."""
+    own = df.filter((F.col("project_id") == project_id) & (F.col("sample_id") == sample_id))
+    return own.select("project_id", "sample_id", "species", "puck", "barcode_flavor", "adapter_flavor", "map_strategy", "sequencing_date", F.array_join("run_modes", ", ").alias("run_modes"), F.size(F.coalesce("puck_ids", F.array().cast("array<string>"))).alias("n_pucks"))
+
+
+def find_file(root: str, stem: str) -> str | None:
+    """The first file under a folder whose name starts with stem, in sorted order of folders and names."""
+    import os
+
+    for folder, dirs, names in os.walk(root):
+        dirs.sort()
+        for n in sorted(names):
+            if n.split(".")[0] == stem:
+                return os.path.join(folder, n)
+    return None

@@ -187,3 +187,9 @@ def mismatch_bound(barcodes: DataFrame, code: str = "barcode", most: int = 3, al
     pairs = own.join(own.select(F.col("a").alias("b"), F.col("i").alias("j")), F.col("i") < F.col("j"))
     least = pairs.agg(F.min(hamming(F.col("a"), F.col("b")))).first()[0]
     return alone if least is None else min(most, math.ceil(least / 2) - 1)
+
+
+def attribute_by_sample(stats: DataFrame, samples: DataFrame, sample: str, kind: str, name: str, value: str = "value") -> DataFrame:
+    """(sample, value) of one kind and name for every listed sample, null where it has none."""
+    own = stats.filter((F.col("kind") == kind) & (F.col("name") == name)).select(sample, value)
+    return samples.select(sample).join(own, sample, "left")

@@ -207,6 +207,15 @@ def test_collapse_and_zero_fill(spark):
     assert qc.zero_filled(k, "position", "kmer", list("ACGTN")).count() == 10
 
 
+def test_attributes(spark, tmp_path):
+    stats = spark.createDataFrame([("s1", "bead", "complete", 0.5)], "sample string, kind string, name string, value double")
+    samples = spark.createDataFrame([("s1",), ("s2",)], "sample string")
+    assert [r["value"] for r in qc.attribute_by_sample(stats, samples, "sample", "bead", "complete").orderBy("sample").collect()] == [0.5, None]
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d/L1a.txt.gz").write_text("")
+    assert cat.find_file(str(tmp_path), "L1a").endswith("L1a.txt.gz") and cat.find_file(str(tmp_path), "L1") is None
+
+
 def test_mismatches(spark):
     of = lambda *b: qc.mismatch_bound(spark.createDataFrame([(x,) for x in b], "barcode string"))
     assert of("AAAA", "TTTT") == 1 and of("AAAAAAAA", "TTTTTTTT", "CCCCCCCC") == 3 and of("ACGT") == 4
@@ -317,6 +326,8 @@ def test_catalog(spark):
     assert cat.tiles_of(df.filter("sample_id = 'm'")).count() == 2 and df.filter(cat.has_dge()).count() == 3 and df.filter(cat.is_external()).count() == 0 and df.filter(cat.is_spatial(["visium"])).count() == 3
     matches = spark.createDataFrame([("t1", True), ("t2", False)], "tile string, pass_threshold boolean")
     assert sorted(r["puck_id"] for r in cat.passing_tiles(df.filter("sample_id = 'm'"), matches).collect()) == ["no_spatial_data", "t1"]
+    assert cat.sample_info(df, "p", "m").first()["n_pucks"] == 2
+    assert {r["variable"]: r["default"] for r in cat.run_mode_matrix(spark, cat.Config(), ["default"]).collect()}["n_beads"] == "100000"
     c.delete("p", "s2")
     with pytest.raises(cat.Missing):
         c.delete("p", "s2")
