@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 
 from tesserae.llm.common import GAP, let, n_words, staged, text_or_empty
 
-#: Blocks per output shard, on average.
-BLOCKS_PER_SHARD = 64
+#: Blocks per output shard, on average; words of a shard, at most on average; shards there are at least.
+BLOCKS_PER_SHARD, SHARD_WORDS, LEAST_SHARDS = 16, 1 << 24, 64
+#: Levels of the tree that one task computes; deeper ones are dealt out by node.
+TOP_LEVELS = 10
 #: Source tables of up to so many rows are broadcast (their rows are counted first); longer ones are joined by shuffle.
 SMALL_SOURCES = 10_000
 
@@ -80,7 +82,9 @@ def splitting_tree(counts: DataFrame, levels: int, seed: int) -> DataFrame:
 
         return F.aggregate(n, start, draw, lambda s: s["out"])
 
-    for _ in range(levels):
+    for level in range(levels):
+        if level == TOP_LEVELS:
+            counts = counts.repartition("node")
         halves = counts.select("node", "ixs", "counts", left(F.col("node"), F.col("counts")).alias("half"))
         right = F.zip_with("counts", "half", lambda a, b: a - b)
         both = F.array(F.struct((F.col("node") * 2).alias("node"), "ixs", F.col("half").alias("counts")), F.struct((F.col("node") * 2 + 1).alias("node"), "ixs", right.alias("counts")))
@@ -105,17 +109,21 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...], most: int) -> Dat
     return out.withColumn("all_words", all_words).withColumn("all_rows", F.sum("n_rows").over(everything)).drop("level", "cap")
 
 
-def mixture(df: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3, shards: int = 64, seed: int = 0, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+def mixture(df: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3, shards: int | None = None, seed: int = 0, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """Per row of df: key, source, size (words), source_size, target, taken (words, repeats counted), draws.
 
     draws lists (pass, shard, words) of each time the row is drawn; words is below size only for one row per source,
     which is cut there. So a source's taken words are its target, rounded, and no row exceeds most times its size.
     A null text has size 0 and is never drawn; a null source is a source of its own, the last; a null key hashes like
-    any value. Repeated rows are rows of their own. Reruns agree. An empty table gives none.
+    any value. Repeated rows are rows of their own. Reruns agree. An empty table gives none. shards: a power of two; by
+    default one for every SHARD_WORDS words, so that shards stay of a size however large the table is.
     """
+    sizes = staged(df.select(F.col(key).alias("key"), F.col(source).alias("source"), n_words(text_or_empty(text)).alias("size")), "sizes")
+    if shards is None:
+        words = sizes.agg(F.sum("size")).first()[0] or 0
+        shards = max(LEAST_SHARDS, 1 << math.ceil(math.log2(max(1, words / SHARD_WORDS))))
     if shards & (shards - 1):
         raise ValueError("shards: a power of two")
-    sizes = staged(df.select(F.col(key).alias("key"), F.col(source).alias("source"), n_words(text_or_empty(text)).alias("size")), "sizes")
     sources = source_targets(sizes, weights, most)
     n_blocks = float(shards * BLOCKS_PER_SHARD)
     share = F.greatest(F.col("words") / F.greatest("all_words", F.lit(1)), F.col("n_rows") / F.greatest("all_rows", F.lit(1)))
@@ -157,7 +165,7 @@ def mixture(df: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3,
     return out.select(F.col("key").alias(key), F.col("source").alias(source), "size", F.col("words").alias("source_size"), "target", F.aggregate("draws", F.lit(0).cast("long"), lambda a, d: a + d["words"]).alias("taken"), "draws")
 
 
-def mix(df: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3, shards: int = 64, seed: int = 0, key: str = "doc_id", text: str = "text", source: str = "source", length: str | None = "n_chars") -> DataFrame:
+def mix(df: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3, shards: int | None = None, seed: int = 0, key: str = "doc_id", text: str = "text", source: str = "source", length: str | None = "n_chars") -> DataFrame:
     """The mixed rows: df's columns, once per draw, shard after shard, shuffled within each.
 
     A row that is cut keeps its first words, joined by single spaces, and its new length (in code points, where df has

@@ -283,6 +283,17 @@ def test_mix(docs, empty):
     assert rows(mx.mix(empty)) == []
 
 
+def test_deep_tree_and_more_shards(spark, docs, monkeypatch):
+    """Levels beyond the first task's, and shards by the number of words, change nothing about the sums."""
+    monkeypatch.setattr(mx, "TOP_LEVELS", 2)
+    monkeypatch.setattr(mx, "SHARD_WORDS", 10)
+    got = rows(mx.mixture(docs))
+    assert max(d["shard"] for r in got for d in r["draws"]) >= 64
+    for s in {r["source"] for r in got}:
+        own = [r for r in got if r["source"] == s]
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 0.5
+
+
 def test_splitting_tree(spark):
     """Leaves add up, are balanced, and counts vary as drawing without replacement does."""
     root = spark.createDataFrame([(1, [0, 1, 2], [500, 300, 7])], "node long, ixs array<int>, counts array<long>")
