@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tesserae.functions.sequence import cigar_summary
+from tesserae.functions.sequence import cigar_ops, cigar_summary, coarse_cigar
 
 UNIQUE, SECONDARY, UNMAPPED, REVERSE = 255, 256, 4, 16
 #: Gene functions from the most to the least telling (fixed values).
@@ -63,17 +63,28 @@ def top_function(gf: Column) -> Column:
 
 
 def best_genes(genes: Column) -> Column:
-    """Genes at the best priority of (sense, exonic): sense exon 0, sense intron 10... as struct(names, function).
+    """Genes at the best priority, as struct(names: sorted and comma-joined, function: of the last of them).
 
-    genes: array of struct(name, function, sense, exonic). Priorities: both 0, sense only 10, exonic only 20, neither 30.
+    genes: array of struct(name, function, sense, exonic). Sense and exonic comes first, then sense, exonic, neither.
     """
-    order = lambda g: F.when(g["sense"] & g["exonic"], 0).when(g["sense"], 10).when(g["exonic"], 20).otherwise(30)
+    order = lambda g: F.when(g["sense"] & g["exonic"], 0).when(g["sense"], 1).when(g["exonic"], 20).otherwise(30)
     best = F.array_min(F.transform(genes, order))
     top = F.filter(genes, lambda g: order(g) == best)
     return F.struct(F.array_join(F.array_sort(F.array_distinct(F.transform(top, lambda g: g["name"]))), ",").alias("names"), F.element_at(F.transform(top, lambda g: g["function"]), -1).alias("function"))
 
 
-def name_flags(text: Column, words: list[str], prefix: str = "qname") -> dict[str, Column]:
+def overlapping_genes(gn: Column, gf: Column, gs: Column, flag: Column) -> Column:
+    """The input of best_genes from parallel lists and the read's strand."""
+    read = F.when(has_flag(flag, REVERSE), "-").otherwise("+")
+    return F.transform(F.arrays_zip(gn.alias("n"), gf.alias("f"), gs.alias("s")), lambda z: F.struct(z["n"].alias("name"), z["f"].alias("function"), (z["s"] == read).alias("sense"), z["f"].isin("UTR", "CODING").alias("exonic")))
+
+
+def has_part(tags: Column, text: str) -> Column:
+    """Whether any of a list of tag values holds a text (SMART_TSO holds TSO)."""
+    return F.coalesce(F.exists(tags, lambda t: t.contains(text)), F.lit(False))
+
+
+def name_flags(text: Column, words: list[str], prefix: str = "name") -> dict[str, Column]:
     """prefix_has_W and prefix_missing_W by substring."""
     out = {f"{prefix}_has_{w}": text.contains(w) for w in words}
     return out | {f"{prefix}_missing_{w}": ~text.contains(w) for w in words}
@@ -82,33 +93,45 @@ def name_flags(text: Column, words: list[str], prefix: str = "qname") -> dict[st
 def count_predicates(cigar: Column, a5: Column, a3: Column, gene: Column) -> dict[str, Column]:
     """What a counted alignment is: short, primer, targeted_primer, ligation_product, everything."""
     short = cigar_summary(cigar)["n_match"] < 17
-    tailed = F.array_contains(a3, "polyA")
-    primer = F.array_contains(a5, "TSO") | ~tailed
+    tailed = has_part(a3, "polyA")
+    primer = has_part(a5, "TSO") | ~tailed
     return {"short": short, "primer": primer, "targeted_primer": primer, "ligation_product": ~short & ~primer & tailed & (gene != "NA"), "everything": F.lit(True)}
 
 
+#: Domains of the two classes (fixed values).
+READ_TYPES = ["INTERGENIC", "INTRONIC", "CODING", "UTR", "AMB"]
+STRAND_TYPES = ["minus_minus", "minus_plus", "plus_plus", "plus_minus", "plus_AMB", "minus_AMB"]
+
+
 def strand_and_type(gs: Column, gf: Column, flag: Column) -> dict[str, Column]:
-    """strand: sense (+) or antisense (-) of the one gene strand, AMB for several, INTERGENIC for none; type likewise by function."""
-    one = F.get(F.array_distinct(gs), F.lit(0))
-    read = F.when(has_flag(flag, REVERSE), "-").otherwise("+")
-    n = F.size(F.array_distinct(F.coalesce(gs, F.array().cast("array<string>"))))
-    kinds = F.array_distinct(F.coalesce(gf, F.array().cast("array<string>")))
-    return {
-        "strand_type": F.when(n == 0, "INTERGENIC").when(n > 1, "AMB").when(one == read, "sense").otherwise("antisense"),
-        "read_type": F.when(n == 0, "INTERGENIC").when(F.size(kinds) == 1, F.get(kinds, F.lit(0))).otherwise("AMB"),
-    }
+    """strand_type: the read's strand and that of its genes (AMB: none or several), as minus_plus; read_type: the one gene
+    function, AMB for several, INTERGENIC without one gene strand."""
+    none = F.array().cast("array<string>")
+    strands, kinds = F.array_distinct(F.coalesce(gs, none)), F.array_distinct(F.coalesce(gf, none))
+    word = lambda c: F.when(c == "-", "minus").when(c == "+", "plus").otherwise(c)
+    gene = F.when(F.size(strands) == 1, word(F.get(strands, F.lit(0)))).otherwise("AMB")
+    read = F.when(has_flag(flag, REVERSE), "minus").otherwise("plus")
+    kind = F.when(F.size(strands) != 1, "INTERGENIC").when(F.size(kinds) == 1, F.get(kinds, F.lit(0))).otherwise("AMB")
+    return {"strand_type": F.concat(read, F.lit("_"), gene), "read_type": kind}
 
 
 def collapsed(values: Column, ambiguous: str = "AMB") -> Column:
     return F.when(F.size(F.array_distinct(values)) == 1, F.get(values, F.lit(0))).otherwise(F.lit(ambiguous))
 
 
-def small_rna_verdict(cigar: Column, a5: Column, a3: Column, junk: Column, qname: Column) -> Column:
-    """'pass', or what is wrong with a small-RNA alignment, in a fixed order."""
+def small_rna_verdict(cigar: Column, a5: Column, a3: Column, af: Column, pool: Column | None = None, gene_pool: Column | None = None) -> Column:
+    """'pass', or what is wrong with a small-RNA alignment, in a fixed order.
+
+    pool, gene_pool: whether the reference name, else its gene, is targeted; they count for reads with a TSO only.
+    """
     c = cigar_summary(cigar)
+    last = F.element_at(cigar_ops(cigar), -1)
+    clip3 = F.when(last["op"] == "S", last["n"]).otherwise(0)
+    tso, no = has_part(a5, "TSO"), F.lit(False)
+    by_name, by_gene = (no if p is None else p for p in (pool, gene_pool))
     tests = [
-        (F.array_contains(a5, "TSO"), "TSO"), (qname.contains("POOL") | qname.contains("pool"), "POOL"), (junk, "junk"), (~F.array_contains(a3, "polyA"), "no_polyA"),
-        (c["clip5"] != 2, "no_lig_NN"), (c["n_match"] < 17, "short_match"), (c["clip3"] > 10, "too_much_clipped"),
+        (tso, "TSO"), (tso & by_name, "POOL"), (tso & ~by_name & by_gene, "pool"), (af == "junk", "junk"), (~has_part(a3, "polyA"), "no_polyA"),
+        (c["clip5"] != 2, "no_lig_NN"), (c["n_match"] < 17, "short_match"), (clip3 > 10, "too_much_clipped"),
     ]
     wrong = F.array_compact(F.array(*[F.when(t, F.lit(n)) for t, n in tests]))
     return F.when(F.size(wrong) == 0, F.lit("pass")).otherwise(F.array_join(wrong, ","))
@@ -125,21 +148,48 @@ def resolved_multi_mappers(df: DataFrame, read: str = "qname", hits: str = "NH",
     return keep.withColumn("flag", F.col("flag").bitwiseAND(F.lit(~SECONDARY))) if "flag" in df.columns else keep
 
 
-def alignment_statistics(df: DataFrame, adapters: bool = True) -> DataFrame:
-    """(measure, key, n): all counters of one scan; unmapped rows count by length and adapters only."""
-    up = has_flag(F.col("flag"), UNMAPPED)
-    c = F.col("_c")
-    uniq = F.when(F.col("mapq") == UNIQUE, "unique").otherwise("multimapper")
-    rev = has_flag(F.col("flag"), REVERSE)
-    put = lambda m, k: F.struct(F.lit(m).alias("measure"), k.cast("string").alias("key"))
-    always = [put("read_length", F.length("seq")), put("status", F.when(up, "unmapped").otherwise(uniq))]
-    # clips are of the read as sequenced: a reverse alignment swaps its ends
-    aligned = [put("match_length", c["total_match"]), put("longest_match", c["n_match"]), put("clip5", F.when(rev, c["clip3"]).otherwise(c["clip5"])), put("clip3", F.when(rev, c["clip5"]).otherwise(c["clip3"])), put("mapq", F.col("mapq")), put("strand", F.when(rev, "-").otherwise("+"))]
-    rows = F.concat(F.array(*always), F.when(up, F.slice(F.array(*aligned), 1, 0)).otherwise(F.array(*aligned)))
-    if adapters and {"a5", "a3"} <= set(df.columns):
-        rows = F.concat(rows, F.transform("a5", lambda a: put("A5", a)), F.transform("a3", lambda a: put("A3", a)))
-    own = df.withColumn("_c", cigar_summary(F.coalesce("cigar", F.lit("")))).select(F.inline(rows))
-    return own.groupBy("measure", "key").agg(F.count("*").alias("n"))
+def alignment_statistics(df: DataFrame, oligos: bool = False, only: str | None = None) -> DataFrame:
+    """(measure, kind, key, n): all counters of one scan.
+
+    aln_types, read_lengths (by mapping status), tag_types, uniq_tag_types, cigar_types, match_len_by_cigar, _by_tag and
+    _by_utag (each also under `all`), sc_lengths and sc_seq (by end of the read as sequenced), and with oligos the parts
+    that read names list behind __sig: (oligo_count, oligo_by_mapstat, oligo_by_tag). Unmapped rows count by length and
+    oligos only. only: text that a counted row's name holds.
+    """
+    rows = df if only is None else df.filter(F.col("qname").contains(only))
+    up, uniq, rev = has_flag(F.col("flag"), UNMAPPED), F.col("mapq") == UNIQUE, has_flag(F.col("flag"), REVERSE)
+    ops = cigar_ops(F.coalesce("cigar", F.lit("")))
+    first, last = F.get(ops, F.lit(0)), F.try_element_at(ops, F.lit(-1))
+    gf = F.when(F.col("gf").isNull(), "INTERGENIC").otherwise(top_function(F.col("gf"))) if "gf" in df.columns else F.lit("INTERGENIC")
+    own = rows.select(
+        "seq", up.alias("up"), uniq.alias("uniq"), rev.alias("rev"), gf.alias("tag"), F.length("seq").cast("string").alias("L"),
+        F.when(uniq, "unique").otherwise("multimapper").alias("status"), coarse_cigar(F.array_join(F.transform(ops, lambda o: o["op"]), "")).alias("type"),
+        F.aggregate(F.filter(ops, lambda o: o["op"] == "M"), F.lit(0), lambda a, o: a + o["n"]).cast("string").alias("m"),
+        F.when(first["op"] == "S", first["n"]).alias("head"), F.when(last["op"] == "S", last["n"]).alias("tail"),
+        (F.filter(F.split(F.regexp_extract("qname", "__sig:(.*?)(?:__|$)", 1), ","), lambda p: p != "") if oligos else F.array().cast("array<string>")).alias("parts"),
+    )
+    text = lambda c: F.lit(c) if isinstance(c, str) else c
+    put = lambda m, k, v: F.struct(F.lit(m).alias("measure"), text(k).alias("kind"), text(v).alias("key"))
+    col = F.col
+    always = [put("aln_types", "", "N_reads"), put("read_lengths", "all", col("L"))]
+    lost = [put("aln_types", "", "unmapped"), put("read_lengths", "unmapped", col("L"))]
+    found = [put("aln_types", "", "mapped"), put("aln_types", "", col("status")), put("read_lengths", "mapped", col("L")), put("read_lengths", col("status"), col("L")), put("tag_types", "", col("tag")), put("cigar_types", "", col("type"))]
+    found += [put("match_len_by_cigar", k, col("m")) for k in (col("type"), "all")] + [put("match_len_by_tag", k, col("m")) for k in (col("tag"), "all")]
+    only_uniq = [put("uniq_tag_types", "", col("tag"))] + [put("match_len_by_utag", k, col("m")) for k in (col("tag"), "all")]
+
+    def clips(n: str, bases: Column, forward: str, backward: str) -> Column:
+        end = F.when(col("rev"), backward).otherwise(forward)
+        both = F.array(put("sc_lengths", end, col(n).cast("string")), put("sc_seq", end, bases))
+        return F.when(col(n).isNotNull(), both).otherwise(F.slice(both, 1, 0))
+
+    def by_part(m: str, kind) -> Column:
+        return F.transform("parts", lambda p: put(m, kind, p))
+
+    ends = [clips("head", F.substr("seq", F.lit(1), F.coalesce("head", F.lit(0))), "5'", "3'"), clips("tail", F.right("seq", F.coalesce("tail", F.lit(0))), "3'", "5'")]
+    mapped_rows = F.concat(F.array(*found), F.when(col("uniq"), F.array(*only_uniq)).otherwise(F.slice(F.array(*only_uniq), 1, 0)), *ends, by_part("oligo_by_mapstat", "mapped"), by_part("oligo_by_mapstat", col("status")), by_part("oligo_by_tag", col("tag")))
+    unmapped_rows = F.concat(F.array(*lost), by_part("oligo_by_mapstat", "unmapped"), by_part("oligo_by_tag", "NA"))
+    every = F.concat(F.array(*always), by_part("oligo_count", ""), F.when(col("up"), unmapped_rows).otherwise(mapped_rows))
+    return own.select(every.alias("x")).select(F.inline("x")).groupBy("measure", "kind", "key").agg(F.count("*").alias("n"))
 
 
 def mean_length(hist: DataFrame, length: str = "key", n: str = "n") -> DataFrame:

@@ -39,8 +39,8 @@ def equal_width_class(value: Column, low: Column, high: Column, n: int = 4) -> C
     return F.when(value == low, 1).otherwise(F.greatest(F.lit(1), F.least(F.lit(n), at)))
 
 
-def nucleotides(cells: DataFrame, by: list[str], value: str = "total_counts", key: str = "cell_bc") -> DataFrame:
-    """(by, quartile, position, nucleotide, n) of barcodes, quartiles of the cumulative counts by equal width."""
+def nucleotides(cells: DataFrame, by: list[str], value: str = "n_reads", key: str = "cell_bc") -> DataFrame:
+    """(by, quartile, position, nucleotide, n) of barcodes, quartiles of the cumulative reads by equal width."""
     part = Window.partitionBy(*by)
     k = knee(cells, by, value, key)
     q = k.withColumn("quartile", equal_width_class(F.col("cumulative"), F.min("cumulative").over(part), F.max("cumulative").over(part)))
@@ -105,9 +105,9 @@ def medians_above(df: DataFrame, by: list[str], value: str, cutoffs: list[int],
 
 
 def run_mode_summary(cells: DataFrame, by: list[str]) -> DataFrame:
-    """Per run mode: cells, millions of reads, and medians to 3 places."""
+    """Per run mode: n_beads, sum_reads (millions), and medians to 3 places."""
     med = [F.bround(F.median(c), 3).alias(f"median_{n}") for c, n in (("n_genes_by_counts", "genes"), ("reads_per_counts", "pcr"), ("n_reads", "reads"), ("total_counts", "umis"))]
-    return cells.groupBy(*by).agg(F.count("*").alias("n_cells"), F.bround(F.sum("n_reads") / 1e6, 3).alias("million_reads"), *med)
+    return cells.groupBy(*by).agg(F.count("*").alias("n_beads"), F.bround(F.sum("n_reads") / 1e6, 3).alias("sum_reads"), *med)
 
 
 def sample_metrics(cells: DataFrame, n_genes: int, cutoff: int = 0) -> DataFrame:

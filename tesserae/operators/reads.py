@@ -49,7 +49,10 @@ def quality(left: int = 0, right: int = 25) -> Step:
         zero = F.lit(0)
         cut5 = quality_trim_length(F.reverse("q2"), left) if left else zero
         cut3 = quality_trim_length(F.col("q2"), right) if right else zero
-        return _trimmed(df, F.least(cut5, F.length("q2")), F.least(cut3, F.length("q2")), "Q")
+        df = df.withColumn("_5", cut5).withColumn("_3", cut3)
+        gone = F.col("_5") + F.col("_3") >= F.length("q2")  # nothing is left: all of it counts as cut from the end
+        left_, right_ = F.when(gone, 0).otherwise(F.col("_5")), F.when(gone, F.length("q2")).otherwise(F.col("_3"))
+        return _trimmed(df, left_, right_, "Q").drop("_5", "_3")
 
     return step
 
@@ -148,21 +151,26 @@ def random_rows(df: DataFrame, n: int, key: str, seed: int = 0) -> DataFrame:
     return df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(n)
 
 
-def preprocessing_stats(before: DataFrame, after: DataFrame, sample: str) -> DataFrame:
-    """(sample, measure, name, value, count): reads and bases in and out, trims per adapter and length, trimmed totals."""
-    row = lambda m, n, v, c: F.struct(F.lit(m).alias("measure"), n.alias("name"), v.cast("long").alias("value"), c.cast("long").alias("count"))
+def preprocessing_stats(before: DataFrame, after: DataFrame, sample: str, output: DataFrame | None = None) -> DataFrame:
+    """(sample, measure, name, value, count): reads in (and out, where output is given), base counts by length in and out,
+    reads per adapter, and per adapter the trims by length and their total."""
+    row = lambda m, n, v, c: F.struct(F.lit(m).alias("measure"), n.alias("name"), v.cast("string").alias("value"), c.cast("long").alias("count"))
     one = F.lit(1)
-    first = before.select(F.explode(F.array(row("reads", F.lit("N"), F.lit(0), one), row("bases", F.lit("L_in"), F.lit(0), F.length("r2")))).alias("x"))
-    own = [row("bases", F.lit("L_out"), F.lit(0), F.length("r2"))]
 
-    def trims(end: str, total: bool) -> Column:
+    def trims(end: str) -> list[Column]:
         a, t = f"a{end}", f"t{end}"
-        if total:
-            return F.transform(F.arrays_zip(a, t), lambda z: row(f"A{end}_total", z[a], F.lit(0), z[t]))
-        return F.transform(F.arrays_zip(a, t), lambda z: row(f"A{end}", z[a], z[t], F.lit(1)))
-
-    rest = after.select(F.explode(F.concat(F.array(*own), *[trims(e, t) for e in "53" for t in (False, True)])).alias("x"))
-    counted = first.union(rest).select("x.*").groupBy("measure", "name", "value").agg(F.sum("count").alias("count"))
+        z = F.arrays_zip(a, t)
+        reads_ = F.transform(z, lambda x: row("reads", F.lit(f"A{end}"), x[a], one))
+        return [reads_, F.transform(z, lambda x: row("bases", x[a], x[t], one)), F.transform(z, lambda x: row("bases", x[a], F.lit(f"A{end}_total"), x[t]))]
+
+    parts = [before.select(F.explode(F.array(row("reads", F.lit("N"), F.lit("input"), one), row("bases", F.lit("L_in"), F.length("r2"), one))).alias("x"))]
+    parts.append(after.select(F.explode(F.concat(F.array(row("bases", F.lit("L_out"), F.length("r2"), one)), *[x for e in "53" for x in trims(e)])).alias("x")))
+    if output is not None:
+        parts.append(output.select(row("reads", F.lit("N"), F.lit("output"), one).alias("x")))
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.union(p)
+    counted = rows.select("x.*").groupBy("measure", "name", "value").agg(F.sum("count").alias("count"))
     return counted.select(F.lit(sample).alias("sample"), "measure", "name", "value", "count")
 
 

@@ -96,11 +96,11 @@ def coordinate_system(spark, lanes: int, columns: int, rows: int, x_offset: int,
 
 
 def puck_geometry(spots: DataFrame, width_um: float, x: str = "x_pos", y: str = "y_pos") -> DataFrame:
-    """One row: extents, coord_by_um, width_um and height_um (cut to an integer); a degenerate puck has 1 and 1."""
+    """One row: extents, coord_by_um, width_um and height_um (cut to an integer); a puck without width has 1 and 1."""
     e = spots.agg(F.min(x).alias("x0"), F.max(x).alias("x1"), F.min(y).alias("y0"), F.max(y).alias("y1"))
     wide, high = F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")
-    by = F.when((wide > 0) & (high > 0), wide / width_um).otherwise(1.0)
-    height = F.when((wide > 0) & (high > 0), F.floor(high / (wide / width_um))).otherwise(1)
+    by = F.when(wide > 0, wide / width_um).otherwise(1.0)
+    height = F.when(wide > 0, F.floor(high / (wide / width_um))).otherwise(1)
     return e.select("x0", "x1", "y0", "y1", by.cast("double").alias("coord_by_um"), F.lit(float(width_um)).alias("width_um"), height.cast("long").alias("height_um"))
 
 

@@ -40,7 +40,7 @@ SELECT seg, quartile, i::INTEGER AS position, substr(cell_bc, i::INTEGER + 1, 1)
 """)
 def nucleotide_quartiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("seg"), F.concat(F.lit("B"), (F.col("c_custkey") * 7919 % 65536).cast("string")).alias("cell_bc"), (F.col("c_custkey") % 50 + 1).alias("total_counts"))
-    return qc.nucleotides(c, ["seg"])
+    return qc.nucleotides(c, ["seg"], "total_counts")
 
 
 @query("""
@@ -71,7 +71,7 @@ def medians_above(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-WITH c AS ({CELLS_SQL}) SELECT mode, count(*) AS n_cells, round_even(sum(n_reads) / 1e6, 3) AS million_reads, round_even(median(n_genes_by_counts), 3) AS median_genes, round_even(median(reads_per_counts), 3) AS median_pcr, round_even(median(n_reads), 3) AS median_reads, round_even(median(total_counts), 3) AS median_umis FROM c GROUP BY mode
+WITH c AS ({CELLS_SQL}) SELECT mode, count(*) AS n_beads, round_even(sum(n_reads) / 1e6, 3) AS sum_reads, round_even(median(n_genes_by_counts), 3) AS median_genes, round_even(median(reads_per_counts), 3) AS median_pcr, round_even(median(n_reads), 3) AS median_reads, round_even(median(total_counts), 3) AS median_umis FROM c GROUP BY mode
 """)
 def run_mode_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qc.run_mode_summary(cells(spark, sf_dir), ["mode"])

@@ -87,14 +87,20 @@ def read_dge_summary(spark: SparkSession, path: str, preamble: int = 7) -> DataF
     return numbered_lines(spark, path).filter((F.col("line_no") >= preamble) & (F.col("value") != "")).select(*[F.get(f, F.lit(i)).cast("string" if i == 0 else "long").alias(n) for i, n in enumerate(names)])
 
 
+#: Labels of the aligner's final log and what they are called here (fixed values).
+STAR_LABELS = {
+    "Number of input reads": "input_reads", "Uniquely mapped reads number": "uniq_mapped_reads", "Number of reads mapped to multiple loci": "multi_mapped_reads",
+    "Number of reads mapped to too many loci": "too_many_mapped_reads", "Number of reads unmapped: too many mismatches": "unmapped_mismatches", "Number of reads unmapped: too short": "unmapped_too_short",
+    "Number of reads unmapped: other": "unmapped_other", "Number of chimeric reads": "chimeric", "Average mapped length": "avg_mapped_length",
+}
+
+
 def read_star_log(spark: SparkSession, path: str) -> DataFrame:
-    """(metric, value) of an aligner's final log: reads in millions, to two places; percents and lengths as they are."""
+    """(metric, value) of an aligner's final log: reads in millions to two places, the average length as it is, NA as null."""
     p = F.split("value", r"\|")
-    rows = spark.read.text(path).filter(F.size(p) == 2).select(F.trim(F.get(p, F.lit(0))).alias("metric"), F.regexp_replace(F.trim(F.get(p, F.lit(1))), "%$", "").alias("raw"))
-    n = F.try_to_number("raw", F.lit("999999999999999")).cast("double")
-    v = rows.select("metric", F.expr("try_cast(raw AS double)").alias("v"), n.alias("n"))
-    reads = F.col("metric").rlike("(?i)number of (input )?reads|reads number|mapped to (multiple|too many)")
-    return v.filter("v IS NOT NULL").select("metric", F.when(reads & ~F.col("metric").contains("%"), F.bround(F.col("v") / 1e6, 2)).otherwise(F.col("v")).alias("value"))
+    name = F.create_map(*[F.lit(x) for kv in STAR_LABELS.items() for x in kv])[F.trim(F.get(p, F.lit(0)))]
+    rows = spark.read.text(path).filter(F.size(p) == 2).select(name.alias("metric"), F.trim(F.get(p, F.lit(1))).try_cast("double").alias("v")).filter("metric IS NOT NULL")
+    return rows.select("metric", F.when(F.col("metric") == "avg_mapped_length", F.col("v")).otherwise(F.bround(F.col("v") / 1e6, 2)).alias("value"))
 
 
 def read_bowtie_log(spark: SparkSession, path: str) -> DataFrame:
@@ -107,7 +113,8 @@ def read_bowtie_log(spark: SparkSession, path: str) -> DataFrame:
 
 def read_split_counts(spark: SparkSession, path: str) -> DataFrame:
     f = F.split("value", r"\s+")
-    return spark.read.text(path).filter(F.size(f) >= 2).select(F.get(f, F.lit(0)).alias("name"), F.get(f, F.lit(1)).cast("long").alias("n"))
+    n = F.get(f, F.lit(1)).cast("long")
+    return spark.read.text(path).filter(F.size(f) >= 2).select(F.get(f, F.lit(0)).alias("name"), n.alias("n"), F.bround(n / 1e6, 2).alias("millions"))
 
 
 def read_downsampled(spark: SparkSession, paths: dict[int, str]) -> DataFrame:

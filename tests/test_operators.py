@@ -32,7 +32,7 @@ def test_preprocess(spark):
     assert a["r2"] == "ACGTTGCAACGGTTAACCGG" and len(a["q2"]) == 20 and b["r2"] == "ACGT"
     assert reads.long_enough(out).count() == 1
     stats = {(r["measure"], r["name"], r["value"]): r["count"] for r in rows(reads.preprocessing_stats(df, out, "s"))}
-    assert stats["reads", "N", 0] == 2 and stats["bases", "L_in", 0] == 46 and stats["bases", "L_out", 0] == 24 and stats["A3", "polyA", 20] == 1 and stats["A3_total", "Q", 0] == 2
+    assert stats["reads", "N", "input"] == 2 and stats["bases", "L_in", "42"] == 1 and stats["bases", "L_out", "20"] == 1 and stats["reads", "A3", "polyA"] == 1 and stats["bases", "polyA", "20"] == 1 and stats["bases", "Q", "A3_total"] == 2
     flavor = reads.preprocessed(df, [("clip", {"left": 2})])
     assert flavor.first()["CB"] == "ACGTACGTACGT" and flavor.orderBy("record_no").first()["r2"].startswith("GTTG")
     with pytest.raises(ValueError):
@@ -70,21 +70,26 @@ def test_alignment_rules(spark):
     got = df.select(al.gene_of(F.col("gn"), F.col("gf")).alias("g"), *[v.alias(k) for k, v in (p | s).items()], al.top_function(F.col("gf")).alias("top")).collect()
     assert [r["g"] for r in got] == ["g1", "g1", "NA"]
     assert [(r["short"], r["primer"], r["ligation_product"]) for r in got] == [(False, False, True), (True, True, False), (True, True, False)]
-    assert [(r["strand_type"], r["read_type"]) for r in got] == [("sense", "CODING"), ("AMB", "AMB"), ("INTERGENIC", "INTERGENIC")]
+    assert [(r["strand_type"], r["read_type"]) for r in got] == [("plus_plus", "CODING"), ("minus_AMB", "INTERGENIC"), ("plus_AMB", "INTERGENIC")]
     assert [r["top"] for r in got[:2]] == ["CODING", "UTR"]
 
 
 def test_small_rna(spark):
-    df = spark.createDataFrame([("2S20M", [], ["polyA"], False, "q"), ("3S10M12S", ["TSO"], [], True, "POOL1")], "cigar string, a5 array<string>, a3 array<string>, junk boolean, qname string")
-    v = al.small_rna_verdict(F.col("cigar"), F.col("a5"), F.col("a3"), F.col("junk"), F.col("qname"))
-    assert [r[0] for r in df.select(v).collect()] == ["pass", "TSO,POOL,junk,no_polyA,no_lig_NN,short_match,too_much_clipped"]
+    df = spark.createDataFrame([("2S20M", [], ["polyA"], "x", False, False), ("3S10M12S", ["SMART_TSO"], [], "junk", False, True), ("20M", [], ["polyA"], "x", True, True)], "cigar string, a5 array<string>, a3 array<string>, af string, pool boolean, gene boolean")
+    v = al.small_rna_verdict(*map(F.col, ("cigar", "a5", "a3", "af", "pool", "gene")))
+    assert [r[0] for r in df.select(v).collect()] == ["pass", "TSO,pool,junk,no_polyA,no_lig_NN,short_match,too_much_clipped", "no_lig_NN"]
 
 
 def test_statistics(spark):
-    df = spark.createDataFrame([(4, 0, "*", "ACGT", [], ["polyA"]), (16, 255, "2S20M3S", "A" * 25, [], []), (0, 3, "25M", "A" * 25, ["X"], [])], "flag int, mapq int, cigar string, seq string, a5 array<string>, a3 array<string>")
-    got = {(r["measure"], r["key"]): r["n"] for r in rows(al.alignment_statistics(df))}
-    assert got["status", "unmapped"] == 1 and got["status", "unique"] == 1 and got["clip5", "3"] == 1 and got["clip3", "2"] == 1 and got["read_length", "25"] == 2 and got["A3", "polyA"] == 1 and got["A5", "X"] == 1
-    assert ("match_length", "0") not in got
+    df = spark.createDataFrame([("a__sig:x,y__", 4, 0, "*", "ACGT", None), ("b__sig:x__", 16, 255, "2S10M5N10M3S", "AC" + "G" * 20 + "TTT", ["UTR", "CODING"]), ("c", 0, 3, "25M", "A" * 25, None)], "qname string, flag int, mapq int, cigar string, seq string, gf array<string>")
+    got = {(r["measure"], r["kind"], r["key"]): r["n"] for r in rows(al.alignment_statistics(df, oligos=True))}
+    want = {
+        ("aln_types", "", "N_reads"): 3, ("aln_types", "", "unmapped"): 1, ("aln_types", "", "unique"): 1, ("aln_types", "", "mapped"): 2, ("read_lengths", "all", "25"): 2, ("read_lengths", "mapped", "25"): 2,
+        ("tag_types", "", "CODING"): 1, ("uniq_tag_types", "", "CODING"): 1, ("cigar_types", "", "SMS"): 1, ("match_len_by_cigar", "all", "20"): 1, ("match_len_by_utag", "CODING", "20"): 1, ("sc_lengths", "5'", "3"): 1,
+        ("sc_seq", "3'", "AC"): 1, ("oligo_count", "", "x"): 2, ("oligo_by_tag", "NA", "y"): 1, ("oligo_by_mapstat", "unique", "x"): 1, ("tag_types", "", "INTERGENIC"): 1,
+    }
+    assert {k: got.get(k) for k in want} == want and ("match_len_by_tag", "all", "0") not in got
+    assert al.alignment_statistics(df, only="sig").filter("key = 'N_reads'").first()["n"] == 2
 
 
 def test_fisher(spark):
@@ -441,8 +446,8 @@ def test_tables(spark, tmp_path):
     assert [(r["cell"], r["gene"], r["umis"]) for r in rows(tables.read_dge_text(spark, str(tmp_path / "d.txt")))] == [("AA", "g2", 1), ("CC", "g1", 3), (None, "mt-missing", 0)]
     (tmp_path / "s.txt").write_text("\n".join(["x"] * 7) + "\nAA\t10\t5\t3\n")
     assert rows(tables.read_dge_summary(spark, str(tmp_path / "s.txt"))) == [{"cell_bc": "AA", "n_reads": 10, "n_umi": 5, "n_genes": 3}]
-    (tmp_path / "star.log").write_text("     Number of input reads |\t2500000\n  Uniquely mapped reads % |\t81.25%\n  Average input read length |\t60\n")
-    assert {r["metric"]: r["value"] for r in rows(tables.read_star_log(spark, str(tmp_path / "star.log")))} == {"Number of input reads": 2.5, "Uniquely mapped reads %": 81.25, "Average input read length": 60.0}
+    (tmp_path / "star.log").write_text("     Number of input reads |\t2505000\n  Uniquely mapped reads % |\t81.25%\n  Average mapped length |\t60.5\n  Number of chimeric reads |\tNA\n")
+    assert {r["metric"]: r["value"] for r in rows(tables.read_star_log(spark, str(tmp_path / "star.log")))} == {"input_reads": 2.5, "avg_mapped_length": 60.5, "chimeric": None}
     (tmp_path / "b.log").write_text("100 reads; of these:\n  100 (100.00%) were unpaired; of these:\n    60 (60.00%) aligned 0 times\n    30 (30.00%) aligned exactly 1 time\n    10 (10.00%) aligned >1 times\n40.00% overall alignment rate\n")
     assert rows(tables.read_bowtie_log(spark, str(tmp_path / "b.log"))) == [{"reads": 100, "unaligned": 60, "once": 30, "several": 10, "rate": 40.0}]
     (tmp_path / "sheet.csv").write_text("Investigator,me\nDate,2020\n[Data]\nSample_ID,index,Sample_Project,Description\ns1,ACGT,p1,x_mouse\n")
