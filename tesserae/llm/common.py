@@ -10,10 +10,13 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: A word: a run of anything but space and the control characters 9 to 13 (what bytes.split() cuts at).
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]"
+#: Rows of an Arrow batch of texts, at most.
+BATCH_ROWS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +57,14 @@ def let(value: Column, then: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), then), 1)
 
 
+def map_texts(df: DataFrame, run: Callable, schema: str | StructType) -> DataFrame:
+    """df.mapInArrow(run, schema) in batches of at most BATCH_ROWS rows: a batch holds whole texts, which may be long."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name, "10000")) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return df.mapInArrow(run, schema)
+
+
 def worker_state(key: str, build):
     """State that one Python worker process keeps from task to task (caches, loaded tokenizers)."""
     store = sys.modules.setdefault("_tesserae_worker", types.ModuleType("_tesserae_worker")).__dict__

@@ -146,12 +146,13 @@ def exact_groups(df: DataFrame, snapshot: DataFrame | None = None, key: str = "d
     for part, _ in parts:
         own = part.select(F.col(key).alias("key"), text_or_empty(text).alias("text"))
         both = own if both is None else both.unionByName(own)
-    texts = both.join(shared.distinct(), F.col("key").eqNullSafe(F.col("k"))).filter(F.unhex(F.sha2("text", 256)) == F.col("digest"))
+    texts = both.join(shared, F.col("key").eqNullSafe(F.col("k"))).filter(F.unhex(F.sha2("text", 256)) == F.col("digest"))
     checked = texts.groupBy("digest").agg((F.min("text") == F.max("text")).alias("same"))
+    # written, so that the last join has an exchange on either side and a digest of very many rows is split
     groups = groups.join(checked, "digest", "left").select(
         "digest", F.col("keeper.key").alias("keep_id"), F.col("keeper.row").alias("keep_row"), F.when(F.col("same") == F.lit(False), F.raise_error(F.lit("two texts with one SHA-256")).cast("long")).otherwise(F.col("n")).alias("group_size")
     )
-    out = rows.join(groups, "digest")
+    out = rows.join(staged(groups, "kept"), "digest")
     return out.select(F.col("key").alias(key), "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
 
 

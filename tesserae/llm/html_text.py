@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tesserae.llm.common import map_texts
+
 #: Pages that weights are learned from, at most (those first by a hash of their id).
 SAMPLE = 500
 
@@ -238,7 +240,7 @@ def learn_weights(pages: DataFrame, key: str = "page_id", page: str = "html", sa
 
     chosen = pages.select(key).orderBy(F.xxhash64(key), key).limit(sample).withColumnRenamed(key, "_key").distinct()
     rows = pages.select(key, page).join(F.broadcast(chosen), F.col(key) == F.col("_key")).select(page)
-    got = rows.mapInArrow(run, "kind string, inside boolean, n long").groupBy("kind", "inside").agg(F.sum("n").alias("n"))
+    got = map_texts(rows, run, "kind string, inside boolean, n long").groupBy("kind", "inside").agg(F.sum("n").alias("n"))
     return weights_of({(r["kind"], r["inside"]): r["n"] for r in got.limit(4096).collect() if r["kind"]})
 
 
@@ -256,4 +258,4 @@ def extracted(pages: DataFrame, weights: dict[str, float], page: str = "html", k
             yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=[*keep, "text", "n_chars"])
 
     schema = ", ".join(f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in keep)
-    return pages.select(*keep, page).mapInArrow(run, f"{schema}, text string, n_chars long")
+    return map_texts(pages.select(*keep, page), run, f"{schema}, text string, n_chars long")

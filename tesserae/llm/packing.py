@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import staged, worker_state
+from tesserae.llm.common import map_texts, staged, worker_state
 from tesserae.llm.token_count import byte_symbols
 
 #: Pattern of byte-level pre-tokenisation in this vocabulary's format (fixed value).
@@ -162,7 +162,7 @@ def tokenized(df: DataFrame, vocabulary: str, window: int, text: str, key: str,
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([task] * len(b), pa.int32()), *made], names=[key, "task", "doc_tokens", "whole_before", "crcs", "rest", "rank", "ids"])
 
     kind = df.schema[key].dataType.simpleString()
-    return df.select(key, text).mapInArrow(run, f"`{key}` {kind}, task int, doc_tokens long, whole_before long, crcs array<long>, rest int, rank long, ids binary")
+    return map_texts(df.select(key, text), run, f"`{key}` {kind}, task int, doc_tokens long, whole_before long, crcs array<long>, rest int, rank long, ids binary")
 
 
 def pack(df: DataFrame, vocabulary: str, window: int = 1024, text: str = "text", key: str = "doc_id", end_id: int = 0) -> DataFrame:
@@ -200,4 +200,4 @@ def pack(df: DataFrame, vocabulary: str, window: int = 1024, text: str = "text",
 
     ranked = docs.withColumnRenamed(key, "key").join(counts.select("rest", "task", "before"), ["rest", "task"], "left")
     ranked = ranked.select("key", "task", "doc_tokens", "whole_before", "crcs", "rest", "rank", "before", "ids")
-    return ranked.mapInArrow(place, f"`{key}` {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    return map_texts(ranked, place, f"`{key}` {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")

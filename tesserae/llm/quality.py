@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import worker_state
+from tesserae.llm.common import map_texts, worker_state
 
 #: Hash buckets of words; rank of the interactions; bound on the labelled rows that a model is fitted on.
 BUCKETS, RANK, SAMPLE = 1024, 8, 6000
@@ -132,7 +132,7 @@ def train(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
             columns = [b.column(0), pa.array([s.tobytes() for s, _ in made], pa.binary()), pa.array([i.astype("<u2").tobytes() for i in at], pa.binary()), pa.array([c[i].astype("<u4").tobytes() for i, (_, c) in zip(at, made, strict=True)], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["y", "stats", "at", "n"])
 
-    got = rows.mapInArrow(run, f"y {labels.schema[label].dataType.simpleString()}, stats binary, at binary, n binary").collect()
+    got = map_texts(rows, run, f"y {labels.schema[label].dataType.simpleString()}, stats binary, at binary, n binary").collect()
     machine = FactorisationMachine(N_STATS + BUCKETS)
     if got:
         got.sort(key=lambda r: (bytes(r["stats"]), bytes(r["at"]), bytes(r["n"]), r["y"]))  # the order of arrival must not matter
@@ -166,7 +166,7 @@ def quality_scores(df: DataFrame, machine: FactorisationMachine, key: str = "doc
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(score)], names=[key, "score"])
 
     kind = df.schema[key].dataType.simpleString()
-    scored = df.select(key, text).mapInArrow(run, f"`{key}` {kind}, score double")
+    scored = map_texts(df.select(key, text), run, f"`{key}` {kind}, score double")
     return scored.select(key, held_out(key).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
@@ -174,17 +174,16 @@ def keep_quality(df: DataFrame, machine: FactorisationMachine, key: str = "doc_i
     """The rows of df, every column, whose text scores 0.5 or more."""
     model = machine.__dict__
 
-    @F.pandas_udf("double")
-    def score(texts):
+    def run(batches):
         own = FactorisationMachine(1)
         own.__dict__.update(model)
         cache = worker_state("quality-words", dict)
-        out = np.zeros(len(texts))
-        for i in range(0, len(texts), 256):
-            made = [text_features(t or "", cache) for t in texts.iloc[i : i + 256]]
-            out[i : i + 256] = own.score(np.stack([s for s, _ in made]), np.stack([c for _, c in made]))
-        import pandas as pd
-
-        return pd.Series(out)
+        for b in batches:
+            texts = b.column(b.schema.get_field_index(text)).to_pylist()
+            stay = np.zeros(len(b), bool)
+            for i in range(0, len(texts), 256):
+                made = [text_features(t or "", cache) for t in texts[i : i + 256]]
+                stay[i : i + 256] = own.score(np.stack([s for s, _ in made]), np.stack([c for _, c in made])) >= 0.5
+            yield b.filter(pa.array(stay))
 
-    return df.filter(score(F.col(text)) >= 0.5)
+    return map_texts(df, run, df.schema)

@@ -14,7 +14,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
-from tesserae.llm.common import worker_state
+from tesserae.llm.common import map_texts, worker_state
 
 #: The base patterns (fixed values); ASCII letters of `assign` match in either case.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -100,7 +100,7 @@ def secret_spans(df: DataFrame, key: str = "doc_id", text: str = "text", thresho
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, kind)], names=[key, "found"])
 
     kind = df.schema[key].dataType.simpleString()
-    return df.select(key, text).mapInArrow(run, f"`{key}` {kind}, found array<struct<kind:string,start:long,end:long>>")
+    return map_texts(df.select(key, text), run, f"`{key}` {kind}, found array<struct<kind:string,start:long,end:long>>")
 
 
 ORDER = {"assign": 0, "access": 1, "hex": 2, "novel": 3}

@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import staged
+from tesserae.llm.common import map_texts, staged
 from tesserae.llm.components import components
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -48,7 +48,7 @@ def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text", shingle
             made = np.array([fingerprint(t or "", shingle) for t in b.column(1).to_pylist()], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(made.view(np.int64))], names=["key", "fp"])
 
-    return df.select(key, text).mapInArrow(run, f"key {df.schema[key].dataType.simpleString()}, fp long")
+    return map_texts(df.select(key, text), run, f"key {df.schema[key].dataType.simpleString()}, fp long")
 
 
 def covering_masks(radius: int, bits: int = 64) -> list[int]:
@@ -138,7 +138,8 @@ def near_components(df: DataFrame, key: str = "doc_id", text: str = "text", shin
     member = staged(classes.join(roots, F.col("fp") == F.col("node")).select("fp", "least", "root"), "members")
     group = member.groupBy("root").agg(F.min("least").alias("component_id"))
     group = classes.join(member.join(group, "root").select("fp", "component_id"), "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
-    return rows.join(group, "fp").select(F.col("key").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    # written, so that the last join has an exchange on either side and a fingerprint of very many rows is split
+    return rows.join(staged(group, "components"), "fp").select(F.col("key").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def near_dedup(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 4, radius: int = 4) -> DataFrame:

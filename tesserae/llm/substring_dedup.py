@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import staged, text_or_empty
+from tesserae.llm.common import map_texts, staged, text_or_empty
 
 U = np.uint64
 #: Words of a group that is hashed for the minimiser.
@@ -68,7 +68,7 @@ def _summaries(df: DataFrame, window: int) -> DataFrame:
             made = [pa.array(n, pa.int64()), pa.array(whole, pa.string()), pa.array(lows, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *made], names=["id", "h", "n_words", "whole", "lows"])
 
-    return df.mapInArrow(run, "id long, h long, n_words long, whole string, lows array<long>")
+    return map_texts(df, run, "id long, h long, n_words long, whole string, lows array<long>")
 
 
 def _super_kmers(df: DataFrame, window: int) -> DataFrame:
@@ -97,7 +97,7 @@ def _super_kmers(df: DataFrame, window: int) -> DataFrame:
                     rows = [[] for _ in names]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds, strict=True)], names=names)
 
-    return df.mapInArrow(run, "bucket long, packed binary, digest binary, id long, h long, at int")
+    return map_texts(df, run, "bucket long, packed binary, digest binary, id long, h long, at int")
 
 
 def _windows(packed: bytes, window: int) -> list[bytes]:
@@ -156,6 +156,7 @@ def repeats(own: DataFrame, seen: DataFrame, window: int, hot: int) -> DataFrame
     """id, h, spans (array of from, to: words that some repeated window covers) of texts that have any. own: id, h, text."""
     lows = seen.select("id", "h", F.explode("lows").alias("low"))
     shared = lows.groupBy("low").agg(F.min("id").alias("a"), F.max("id").alias("z"), F.count("*").alias("n")).filter("a < z").select("low", (F.col("n") > hot).alias("hot"))
+    shared = staged(shared, "shared")  # so that the join has an exchange on either side and a minimiser of very many documents is split
     wanted = lows.join(shared, "low").groupBy("id", "h").agg(F.collect_set(F.struct("low", "hot")).alias("shared"))
     packed = staged(_super_kmers(own.join(wanted, ["id", "h"]).select("id", "h", "text", "shared"), window), "super-kmers")
     distinct = packed.groupBy("bucket", "packed", "digest").agg(F.min("id").alias("id"))
@@ -196,7 +197,7 @@ def without_repeats(df: DataFrame, window: int = 50, key: str = "doc_id", text:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *made], names=["id", "h", "n_removed", "sha", "kept"])
 
     some = own.join(spans, ["id", "h"], "left" if with_text else "inner").select("id", "h", "text", "spans")
-    some = some.mapInArrow(cut, "id long, h long, n_removed long, sha string, kept string").dropDuplicates(["id", "h"])
+    some = map_texts(some, cut, "id long, h long, n_removed long, sha string, kept string").dropDuplicates(["id", "h"])
     out = seen.select("id", "h", "n_words", "whole").join(some, ["id", "h"], "left")
     kind = df.schema[key].dataType
     return out.select(F.when(F.col("id") != LAST, F.col("id")).cast(kind).alias(key), "n_words", F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce("sha", "whole").alias("kept_sha256"), *(["kept"] if with_text else []))

@@ -14,7 +14,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import worker_state
+from tesserae.llm.common import map_texts, worker_state
 
 #: Entries of a worker's word cache before it starts anew; a bound on memory only, counts do not depend on it.
 CACHE_WORDS = 400_000
@@ -118,4 +118,4 @@ def token_counts(df: DataFrame, vocabulary: str, text: str = "text", keep: tuple
 
     own = df.select(*keep, F.col(text))
     schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
-    return own.mapInArrow(count, f"{schema}, n_bytes long, n_tokens long, over_limit boolean")
+    return map_texts(own, count, f"{schema}, n_bytes long, n_tokens long, over_limit boolean")
