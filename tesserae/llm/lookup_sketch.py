@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 from tesserae.llm.common import let, text_or_empty
 
 PIECE = 12
-#: Cells in a row of a sketch, and the digest bits that place in its three rows, at each try; bins use bits from BIN up.
-TRIES = ((8, (0, 3, 6)), (8, (9, 12, 15)), (32, (18, 23, 28)), (128, (33, 40, 26)))
-BIN = 48
+#: Cells in a row of a sketch, and the digest bits that place in its three rows, at each try; bins use bits from BIN up,
+#: groups of bins the GROUP_BITS bits from GROUP up.
+TRIES = ((8, (0, 3, 6)), (8, (9, 12, 15)), (32, (18, 23, 28)), (128, (19, 26, 33)))
+BIN, GROUP, GROUP_BITS = 48, 40, 8
 #: Digests of both sides a bin has on average at the second try.
 BIN_LOAD = 8
 #: Ordered documents meet their neighbours in buckets of about so many rows; there are at most so many buckets.
@@ -97,23 +98,34 @@ def peel(rows: Column, attempt: int = 0, rounds: int = 16) -> Column:
 def difference(a: Column, b: Column, cells_a: Column, cells_b: Column) -> Column:
     """(a, b): how many digests only array a, only array b has, by sketches; what no try recovers counts as different."""
 
-    def bin_(t: Column, mask: Column) -> Column:
-        inside = lambda keys: F.filter(keys, lambda k: F.shiftrightunsigned(k, BIN).bitwiseAND(mask) == t)
+    def tried(both: Column, attempt: int) -> Column:
+        if attempt == len(TRIES):
+            return F.struct(F.lit(False).alias("ok"), F.size(both["a"]).alias("a"), F.size(both["b"]).alias("b"))
+        found = peel(subtract(sketch(both["a"], attempt), sketch(both["b"], attempt)), attempt)
+        return let(found, lambda r: F.when(r["ok"], r).otherwise(tried(both, attempt + 1)))
 
-        def tried(both: Column, attempt: int) -> Column:
-            if attempt == len(TRIES):
-                return F.struct(F.lit(False).alias("ok"), F.size(both["a"]).alias("a"), F.size(both["b"]).alias("b"))
-            found = peel(subtract(sketch(both["a"], attempt), sketch(both["b"], attempt)), attempt)
-            return let(found, lambda r: F.when(r["ok"], r).otherwise(tried(both, attempt + 1)))
+    def part(both: Column, shift: int, mask: Column, t: Column) -> Column:
+        inside = lambda keys: F.filter(keys, lambda k: F.shiftrightunsigned(k, shift).bitwiseAND(mask) == t)
+        return F.struct(inside(both["a"]).alias("a"), inside(both["b"]).alias("b"))
 
-        return let(F.struct(inside(a).alias("a"), inside(b).alias("b")), lambda both: tried(both, 1))
+    zero = F.struct(F.lit(0).alias("a"), F.lit(0).alias("b"))
+    upto = lambda mask: F.sequence(F.lit(0).cast("long"), mask)
+
+    def add(s: Column, p: Column) -> Column:
+        return F.struct((s["a"] + p["a"]).alias("a"), (s["b"] + p["b"]).alias("b"))
+
+    def group(both: Column, mask: Column) -> Column:
+        """A group's bins, each tried by itself."""
+        return F.aggregate(F.transform(upto(mask), lambda t: let(part(both, BIN, mask, t), lambda own: tried(own, 1))), zero, add)
 
     def larger() -> Column:
-        load = F.greatest(F.lit(1), F.ceil((F.size(a) + F.size(b)) / F.lit(BIN_LOAD)))
-        bins = F.least(F.lit(1 << 15), F.pow(F.lit(2), F.ceil(F.log2(load.cast("double"))))).cast("long")
-        parts = let(bins - 1, lambda mask: F.transform(F.sequence(F.lit(0).cast("long"), mask), lambda t: bin_(t, mask)))
-        zero = F.struct(F.lit(0).alias("a"), F.lit(0).alias("b"))
-        add = lambda s, p: F.struct((s["a"] + p["a"]).alias("a"), (s["b"] + p["b"]).alias("b"))
+        """Bins by the load; groups of bins first, so that a long text's digests aren't gone through for every bin."""
+        load = F.greatest(F.lit(1), F.ceil((F.size(a) + F.size(b)) / F.lit(BIN_LOAD))).cast("double")
+        bits = F.least(F.lit(GROUP_BITS + 15), F.ceil(F.log2(load))).cast("int")
+        high = F.least(F.lit(GROUP_BITS), F.floor(bits / 2).cast("int"))
+        one = lambda n: F.pow(F.lit(2.0), n).cast("long") - 1
+        masks = F.struct(one(high).alias("groups"), one(bits - high).alias("bins"), F.struct(a.alias("a"), b.alias("b")).alias("both"))
+        parts = let(masks, lambda m: F.transform(upto(m["groups"]), lambda g: let(part(m["both"], GROUP, m["groups"], g), lambda own: group(own, m["bins"]))))
         return F.aggregate(parts, zero, add, lambda s: F.struct(F.lit(True).alias("ok"), s["a"].alias("a"), s["b"].alias("b")))
 
     return let(peel(subtract(cells_a, cells_b)), lambda r: F.when(r["ok"], r).otherwise(larger()))
