@@ -29,3 +29,16 @@ def test_whole_intervals(spark):
     for r in seen:
         assert r["ids"] == ",".join(map(str, sorted(f for f, c, s, e in feats if c == r["chrom"] and s < r["end"] and r["start"] < e)))
     assert {i for r in seen for i in r["ids"].split(",")} == {str(f) for f, *_ in feats}
+
+
+def test_whole_signatures(spark, tmp_path):
+    names = ["click", "view", "click"] * 3 + ["purchase", "view", "click", "purchase"]
+    own = [(i, 7, dt.datetime(2024, 1, 1, 0, i), n, 1.0) for i, n in enumerate(names)] + [(99, 8, dt.datetime(2024, 1, 1), "view", 1.0)]
+    spark.createDataFrame(own, "event_id long, user_id long, ts timestamp, event_type string, value double").write.parquet(f"{tmp_path}/events.parquet")
+    got = lambda name: rows(spark, name, str(tmp_path))
+    assert sum(r["n"] for r in got("whole_part_starts")) == len(own)
+    assert {(r["prefix"], r["n"]) for r in got("whole_completeness")} == {("view,click,purchase", 1), ("view", 1)}
+    assert [(r["qname"], r["start"]) for r in got("whole_first_occurrence")] == [("7/2024-01-01", 100)]
+    assert {r["signature"] for r in got("whole_signature_counts")} == {"?click+", "view"}
+    assert {r["parts"]: r["n"] for r in got("whole_synthesis_rates")} == {1: 2, 2: 1, 3: 1}
+    assert sum(r["n"] for r in got("whole_relative_names")) == 2 and {(r["qname"], r["gap_start"]) for r in got("whole_pair_gaps")} == {("7/2024-01-01", 25), ("8/2024-01-01", None)}
