@@ -58,10 +58,10 @@ def hamming(a: Column, b: Column) -> Column:
 
 
 def kmers(seq: Column, k: int) -> Column:
-    """Array of (position from 0, k-mer)."""
-    last = F.length(seq) - k
-    at = F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)))).otherwise(F.array().cast("array<int>"))
-    return F.transform(at, lambda i: F.struct(i.alias("position"), F.substr(seq, i + 1, F.lit(k)).alias("kmer")))
+    """Array of (position from 0, k-mer); k passes of pieces of k, as a substring at every position is quadratic in long texts."""
+    pieces = lambda o: F.regexp_extract_all(F.substring(seq, o + 1, 2**31 - 1), F.lit(f"(?s).{{{k}}}"), F.lit(0))
+    at = lambda o: F.transform(pieces(o), lambda x, j: F.struct((j * k + o).alias("position"), x.alias("kmer")))
+    return F.coalesce(F.array_sort(F.flatten(F.array(*map(at, range(k))))), F.array().cast("array<struct<position:int,kmer:string>>"))
 
 
 def all_kmers(k: int, letters: str = "ACGTN") -> list[str]:

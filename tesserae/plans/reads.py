@@ -60,6 +60,38 @@ def kmer_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qc.kmer_positions(own, "s", 3).withColumn("position", F.col("position").cast("long"))
 
 
+#: The letters of whole texts with their places, for the queries that cut nothing off.
+LETTERS_SQL = f"""b AS (SELECT doc_id, seq AS s FROM ({BASES_SQL}) WHERE length(seq) > 0), c AS (SELECT doc_id, unnest(string_split(s, '')) AS ch, generate_subscripts(string_split(s, ''), 1) AS i FROM b)"""
+
+
+@query(f"""
+WITH {LETTERS_SQL}, n AS (SELECT doc_id, ch, count(*) AS n FROM c GROUP BY ALL), t AS (SELECT doc_id, sum(n) AS total FROM n GROUP BY 1),
+  e AS (SELECT doc_id, -sum(n / total::DOUBLE * log2(n / total::DOUBLE)) AS h FROM n JOIN t USING (doc_id) GROUP BY 1)
+SELECT doc_id, round(h, 2) + 0.0 AS entropy, translate(reverse(s), 'ACGTN', 'TGCAN') AS reverse_complement FROM e JOIN b USING (doc_id)
+""")
+def whole_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = F.col("seq")
+    return bases(spark, sf_dir).filter(F.length("seq") > 0).select("doc_id", sq.shannon_entropy(s).alias("entropy"), sq.reverse_complement(s).alias("reverse_complement"))
+
+
+@query(f"""
+WITH {LETTERS_SQL}, g AS (SELECT doc_id, i, CASE WHEN ch = lag(ch) OVER (PARTITION BY doc_id ORDER BY i) THEN 0 ELSE 1 END AS start FROM c),
+  r AS (SELECT doc_id, sum(start) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM g), n AS (SELECT doc_id, run, count(*) AS n FROM r GROUP BY ALL)
+SELECT doc_id, sum(1 + length(n::VARCHAR))::BIGINT AS compressed, count(*) AS runs FROM n GROUP BY 1
+""")
+def whole_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = F.col("seq")
+    return bases(spark, sf_dir).filter(F.length("seq") > 0).select("doc_id", sq.compressed_length(s).cast("long").alias("compressed"), F.size(sq.runs(s)).cast("long").alias("runs"))
+
+
+@query(f"""
+WITH {LETTERS_SQL}, k AS (SELECT i, ch || lead(ch) OVER w || lead(ch, 2) OVER w AS kmer FROM c WINDOW w AS (PARTITION BY doc_id ORDER BY i))
+SELECT (i - 1)::BIGINT AS position, kmer, count(*) AS n FROM k WHERE kmer IS NOT NULL GROUP BY ALL
+""")
+def whole_kmer_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return qc.kmer_positions(bases(spark, sf_dir), "seq", 3).withColumn("position", F.col("position").cast("long"))
+
+
 @query("""
 WITH p AS (SELECT p_partkey, p_size % 41 AS q FROM part) SELECT p_partkey, q, ord(chr((33 + round_even(q / 10.0, 0) * 10)::INTEGER)) - 33 AS binned FROM p
 """)

@@ -1,6 +1,7 @@
 """Queries that read whole tables, against brute force."""
 
 import datetime as dt
+import math
 
 from tesserae import registry
 
@@ -42,3 +43,19 @@ def test_whole_signatures(spark, tmp_path):
     assert {r["signature"] for r in got("whole_signature_counts")} == {"?click+", "view"}
     assert {r["parts"]: r["n"] for r in got("whole_synthesis_rates")} == {1: 2, 2: 1, 3: 1}
     assert sum(r["n"] for r in got("whole_relative_names")) == 2 and {(r["qname"], r["gap_start"]) for r in got("whole_pair_gaps")} == {("7/2024-01-01", 25), ("8/2024-01-01", None)}
+
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def test_whole_texts(spark, tmp_path):
+    text = "abcd" * 30 + "eee" + "f" * 5000
+    spark.createDataFrame([(1, text, "en", "a", len(text)), (2, "?", "en", "a", 1), (3, None, "en", "a", 0)], DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    seq = "ACGT" * 30 + "NNN" + "A" * 5000
+    got = rows(spark, "whole_kmer_positions", str(tmp_path))
+    assert sorted((r["position"], r["kmer"], r["n"]) for r in got) == [(i, seq[i : i + 3], 1) for i in range(len(seq) - 2)]
+    (r,) = rows(spark, "whole_compression", str(tmp_path))
+    assert (r["runs"], r["compressed"]) == (122, 120 * 2 + 2 + 5)
+    (r,) = rows(spark, "whole_entropy", str(tmp_path))
+    share = [seq.count(c) / len(seq) for c in "ACGTN"]
+    assert r["entropy"] == round(-sum(p * math.log2(p) for p in share), 2) and len(r["reverse_complement"]) == len(seq)
