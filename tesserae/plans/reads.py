@@ -142,3 +142,11 @@ def united_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars")
     both = docs.filter("doc_id % 3 = 0").unionByName(docs.filter("doc_id % 3 = 1"))
     return both.groupBy("source", "lang").agg(F.count("*").alias("n"), F.sum("n_chars").alias("n_chars"))
+
+
+@query("SELECT source, lang, count(*) AS n, sum(n_chars)::BIGINT AS n_chars FROM documents GROUP BY ALL")
+def whole_united_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars")
+    part = F.coalesce(F.pmod("doc_id", F.lit(3)), F.lit(0))
+    every = docs.filter(part == 0).unionByName(docs.filter(part == 1)).unionByName(docs.filter(part == 2))
+    return every.groupBy("source", "lang").agg(F.count("*").alias("n"), F.sum("n_chars").alias("n_chars"))

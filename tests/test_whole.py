@@ -59,3 +59,8 @@ def test_whole_texts(spark, tmp_path):
     (r,) = rows(spark, "whole_entropy", str(tmp_path))
     share = [seq.count(c) / len(seq) for c in "ACGTN"]
     assert r["entropy"] == round(-sum(p * math.log2(p) for p in share), 2) and len(r["reverse_complement"]) == len(seq)
+
+
+def test_whole_union(spark, tmp_path):
+    spark.createDataFrame([(i, "x", "en", "a", 10) for i in (-2, -1, 0, 1, 2, 3, 4, 5, 5, None)], DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    assert [(r["n"], r["n_chars"]) for r in rows(spark, "whole_united_parts", str(tmp_path))] == [(10, 100)]
