@@ -30,6 +30,9 @@ BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 "
     "header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody tfoot thead tr ul".split()
 )
+#: Of those with raw content, the ones whose content is markup all the same.
+MARKED_UP = frozenset("template svg object canvas math".split())
+RAW_END = {n: re.compile(rf"</{n}(?=[\t\n\f\r />])", re.IGNORECASE | re.ASCII) for n in RAW}
 SPACED = frozenset("br td th".split())
 #: Elements that aren't content; classes, ids and roles that say the same; elements and roles that name content.
 AWAY = frozenset("head nav footer aside form script style noscript template svg iframe button select textarea menu dialog input object canvas title datalist".split())
@@ -83,10 +86,24 @@ def _is_away(name: str, attributes: str, inside_content: bool) -> bool:
     return name not in ("html", "body") and any(names.search(found.get(a, "")) for a in ("class", "id"))
 
 
+def raw_end(page: str, at: int, name: str) -> int:
+    """Start of the closing tag of a raw element whose content starts at `at`; the page's end if there is none."""
+    if name not in MARKED_UP:
+        m = RAW_END[name].search(page, at)
+        return m.start() if m else len(page)
+    while m := TOKEN.search(page, at):
+        at, inner = m.end(), (m[2] or "").lower()
+        if m[1] and inner == name:
+            return m.start()
+        if not m[1] and inner in RAW and inner not in MARKED_UP and not m[3].endswith("/") and (end := RAW_END[inner].search(page, at)):
+            at = end.start()
+    return len(page)
+
+
 def runs(page: str) -> list[Run]:
     out: list[Run] = []
     top = Element("", False, False, None)
-    now, at, block, raw_until = top, 0, 0, ""
+    now, at, block = top, 0, 0
 
     def say(text: str) -> None:
         text = html.unescape(text) if "&" in text else text
@@ -104,15 +121,9 @@ def runs(page: str) -> list[Run]:
             e = e.up
         out.append(Run("away" if now.away else place, n, text, block, now))
 
-    for m in TOKEN.finditer(page):
-        if m.start() < at:
-            continue
+    while m := TOKEN.search(page, at):
         closing, name = m[1] == "/", (m[2] or "").lower()
-        if raw_until:
-            if not (closing and name == raw_until):
-                continue
-            raw_until = ""
-        elif m.start() > at:
+        if m.start() > at:
             say(page[at : m.start()])
         at = m.end()
         if not name:
@@ -139,9 +150,9 @@ def runs(page: str) -> list[Run]:
             if not m[3].endswith("/") or name not in ("svg", "script", "iframe"):
                 now = Element(name, away, now.content or name in CONTENT or 'role="main"' in m[3], now)
                 if name in RAW:
-                    raw_until = name
+                    at = raw_end(page, at, name)
         out.append(Run(f"</{name}>" if closing else f"<{name}>", 0, "", -1, now))
-    if at < len(page) and not raw_until:
+    if at < len(page):
         say(page[at:])
     return out
 

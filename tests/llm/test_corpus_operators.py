@@ -436,3 +436,15 @@ def test_extraction_of_other_layouts():
         f"<body><div class='cookiebar' >{noise}</div><div class='col'><div class='post'>{post}</div></div><div style='display:none'>{noise}</div></body>",
     ):
         assert ht.main_text(page, w) == want, page
+
+
+def test_extraction_beside_raw_elements():
+    w = ht.weights_of({})
+    post = "<article><p>A first paragraph with words enough.</p><p>And another one of them.</p></article>"
+    want = "A first paragraph with words enough.\n\nAnd another one of them."
+    for raw in (
+        "<script>for(i=0;i<n;i++){f(i)}</script>", "<script><!-- x </script>", "<SCRIPT>if(a<b)c='</p>'</Script >", "<style>a<b{}</style\n>", "<title>a<b</title>", "<textarea><!--</textarea>",
+        "<template><script>i<n</script></template>", "<svg><title>x</title><path d=''/></svg>", "<script>s='</scripted>';i<n</script/>", "<script>a<b</script><script>c<d</script>",
+    ):
+        assert ht.main_text(f"<body>{raw}{post}</body>", w) == want, raw
+    assert ht.main_text(f"<body>{post}<script>never closed i<n", w) == want
