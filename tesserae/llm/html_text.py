@@ -42,10 +42,18 @@ AWAY_NAME = re.compile(
     r"modal|overlay|lightbox|pagination|pager|toolbar|skip-?link|sr-only|screen-reader-text|visually-hidden|login|signin|signup|search)(?:$|[\s_-])",
     re.IGNORECASE,
 )
+#: Classes and ids that say how a page is laid out, whatever word of the above they hold.
+LAYOUT_NAME = re.compile(r"(?:has|no|not|with|without|is|hide|show)[_-].*|.*[_-](?:open|opened|closed|enabled|disabled|on|off)", re.IGNORECASE)
 #: What says so even of an element that names content.
 AWAY_CONTENT = re.compile(r"(?:^|[\s_-])(?:comments?|reply|replies|related|teasers?|promo\w*|ads?)(?:$|[\s_-])", re.IGNORECASE)
 AWAY_ROLE = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar".split())
 CONTENT = frozenset("article main".split())
+MAIN_ROLE = re.compile(r"(?:^|\s)role\s*=\s*[\"']?main(?:[\"'\s/]|$)", re.IGNORECASE)
+#: What a form around a whole page holds, and one to fill in doesn't.
+PAGE_PART = re.compile(r"<(?:(?:article|main|nav|header|footer|h1)(?=[\s/>])|[a-z]+\s[^<>]*?\brole\s*=\s*[\"']?main\b)", re.IGNORECASE)
+FORM_END = re.compile(r"</form(?=[\s/>])", re.IGNORECASE)
+#: How surely an element isn't content: a layout word or a form, a word that articles are called by too, an element or role.
+SOFT, NAMED, HARD = 1, 2, 3
 
 #: A comment, a declaration, or a tag; a quote opens a value only behind =, and one that never closes takes the rest.
 TOKEN = re.compile(
@@ -58,9 +66,17 @@ ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+
 @dataclass
 class Element:
     name: str
-    away: bool
+    how: int
     content: bool
     up: Element | None
+    wraps: bool = False  # holds the page's main element
+    away: int = 0  # how surely it isn't content, by itself and by what holds it
+
+    def settle(self) -> None:
+        """Set away once that of `up` is: an article undoes SOFT around it, a main element all but HARD."""
+        own = 0 if self.wraps and self.how < HARD else self.how
+        above = self.up.away if self.up else 0
+        self.away = max(own, 0 if not own and self.name in CONTENT and above == SOFT else above)
 
 
 @dataclass
@@ -74,16 +90,27 @@ class Run:
     within: Element | None = field(default=None, repr=False)
 
 
-def _is_away(name: str, attributes: str, inside_content: bool) -> bool:
-    if name in AWAY or (name == "header" and not inside_content):
-        return True
+def _how_away(name: str, attributes: str, inside_content: bool) -> int:
+    if (name in AWAY and name != "form") or (name == "header" and not inside_content):
+        return HARD
+    own = SOFT if name == "form" else 0
     if not attributes.strip():
-        return False
+        return own
     found = {(m[1] or m[5]).lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(attributes)}
     if found.get("role", "").lower() in AWAY_ROLE or "hidden" in found or found.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none", found.get("style", "")):
-        return True
-    names = AWAY_CONTENT if name in CONTENT else AWAY_NAME
-    return name not in ("html", "body") and any(names.search(found.get(a, "")) for a in ("class", "id"))
+        return HARD
+    if name in ("html", "body"):
+        return own
+    names = [n for a in ("class", "id") for n in found.get(a, "").split() if not LAYOUT_NAME.fullmatch(n)]
+    if any(AWAY_CONTENT.search(n) for n in names):
+        return HARD if name in CONTENT else NAMED
+    return SOFT if name not in CONTENT and any(AWAY_NAME.search(n) for n in names) else own
+
+
+def page_form(page: str, at: int) -> bool:
+    """Whether the form whose content starts at `at` is around a page rather than in it."""
+    end = FORM_END.search(page, at)
+    return bool(PAGE_PART.search(page, at, end.start() if end else len(page)))
 
 
 def raw_end(page: str, at: int, name: str) -> int:
@@ -102,8 +129,9 @@ def raw_end(page: str, at: int, name: str) -> int:
 
 def runs(page: str) -> list[Run]:
     out: list[Run] = []
-    top = Element("", False, False, None)
+    top = Element("", 0, False, None)
     now, at, block = top, 0, 0
+    every = [top]
 
     def say(text: str) -> None:
         text = html.unescape(text) if "&" in text else text
@@ -119,7 +147,7 @@ def runs(page: str) -> list[Run]:
                 place = e.name if e.name in ("p", "li") else "heading" if re.fullmatch("h[1-6]", e.name) else "body"
                 break
             e = e.up
-        out.append(Run("away" if now.away else place, n, text, block, now))
+        out.append(Run(place, n, text, block, now))
 
     while m := TOKEN.search(page, at):
         closing, name = m[1] == "/", (m[2] or "").lower()
@@ -146,14 +174,28 @@ def runs(page: str) -> list[Run]:
                         now = e.up
                         break
                     e = e.up
-            away = now.away or _is_away(name, m[3], now.content)
+            how = _how_away(name, m[3], now.content)
+            if how == SOFT and name == "form" and page_form(page, at):
+                how = 0
             if not m[3].endswith("/") or name not in ("svg", "script", "iframe"):
-                now = Element(name, away, now.content or name in CONTENT or 'role="main"' in m[3], now)
+                main = name == "main" or bool(MAIN_ROLE.search(m[3]))
+                how = 0 if main and how == SOFT else how
+                now = Element(name, how, now.content or name in CONTENT or main, now)
+                every.append(now)
+                if main and not how:
+                    e = now.up
+                    while e is not None and not e.wraps:
+                        e.wraps, e = True, e.up
                 if name in RAW:
                     at = raw_end(page, at, name)
         out.append(Run(f"</{name}>" if closing else f"<{name}>", 0, "", -1, now))
     if at < len(page):
         say(page[at:])
+    for e in every:  # what wraps the main element is known only now
+        e.settle()
+    for r in out:
+        if r.text and r.kind != "space" and r.within.away:
+            r.kind = "away"
     return out
 
 

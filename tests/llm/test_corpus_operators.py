@@ -448,3 +448,20 @@ def test_extraction_beside_raw_elements():
     ):
         assert ht.main_text(f"<body>{raw}{post}</body>", w) == want, raw
     assert ht.main_text(f"<body>{post}<script>never closed i<n", w) == want
+
+
+def test_extraction_from_wrappers():
+    w = ht.weights_of({})
+    ps = "<p>A first paragraph with words enough.</p><p>And another one of them.</p>"
+    want = "A first paragraph with words enough.\n\nAnd another one of them."
+    noise = "<p>" + "Loud words that nobody asked for at all. " * 5 + "</p>"
+    for name in ("site-content has-sidebar", "layout no-sidebar", "single comments-open", "page search-enabled"):
+        for inner in (ps, f"<article>{ps}</article>", f"<div role=main>{ps}</div>"):
+            assert ht.main_text(f"<body><div class='{name}'>{inner}</div></body>", w) == want, (name, inner)
+    for page in (
+        f"<body><div class='widgets'><article>{ps}</article></div></body>", f"<body><div class=related><main>{ps}</main></div></body>", f"<body><form id=aspnetForm><nav>{noise}</nav><div>{ps}</div></form></body>",
+        f"<body><form><article>{ps}</article></form></body>", f"<body><div role='main' class='search'>{ps}</div></body>", f"<body><div class='sidebar'>{noise}</div><article>{ps}</article><form>{noise}</form></body>",
+        f"<body><article>{ps}</article><div class=comments><article>{noise}</article></div><div class='site-footer'>{noise}</div></body>",
+        f"<body><aside>{noise}<article>{noise}</article></aside><div class=post>{ps}</div></body>",
+    ):
+        assert ht.main_text(page, w) == want, page
