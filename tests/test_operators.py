@@ -3,6 +3,7 @@
 import gzip
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -475,3 +476,20 @@ def test_stream(spark, tmp_path):
         assert [(r["cell"], r["umis"]) for r in rows(spark.table(f"molecules{i}"))] == [("c0", 3), ("c1", 3)]
     w = ingest.windowed_counts(ingest.stream_table(spark, str(tmp_path / "none"), "ts timestamp, k string"), "ts", "5 minutes", ["k"]) if (tmp_path / "none").mkdir() is None else None
     assert w.isStreaming
+
+
+def test_neighbours_by_vector(spark):
+    from pyspark.ml.functions import array_to_vector
+
+    rng = np.random.default_rng(0)
+    x = np.vstack([rng.normal(size=(60, 5)) * 100, [[1e6] * 5], np.zeros((3, 5))])
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
+    want = {(i, j) for i in range(len(x)) for j in [j for j in sorted(range(len(x)), key=lambda j: (d[i, j], j)) if j != i][:7]}
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(999, None)], "id long, v array<double>")
+    for own in (df, df.filter("v IS NOT NULL").withColumn("v", array_to_vector("v"))):
+        got = matrix.neighbours_by_vector(own, "id", "v", 7, block=20).collect()
+        assert {(r["id"], r["neighbour"]) for r in got} == want and len(got) == len(want)
+        assert all(abs(r["distance"] - d[r["id"], r["neighbour"]]) < 1e-9 for r in got)
+    assert matrix.neighbours_by_vector(df.limit(0), "id", "v").count() == 0
+    names = df.limit(3).select(F.concat(F.lit("c"), "id").alias("id"), "v")
+    assert matrix.neighbours_by_vector(names, "id", "v", 7).count() == 6
