@@ -24,6 +24,7 @@ HINT = re.compile(r"password|passwd|secret|token|api_?key", re.IGNORECASE | re.A
 
 #: What makes a neighbourhood sensitive, beyond the words of the base patterns (fixed values).
 CONTEXT = re.compile(r"(?:password|passwd|passphrase|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credentials?|authorization|bearer|client[_-]?id|session[_-]?id|signature|-----BEGIN [A-Z ]*PRIVATE KEY-----)", re.IGNORECASE | re.ASCII)
+#: Shorter strings aren't measured, nor are those of letters of one case: words measure up to 1.0 and more there, like keys.
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}(?:\.[A-Za-z0-9+/_=-]{8,})*", re.ASCII)
 #: Code points behind a sensitive word within which a candidate starts; text around that primes the compressor.
 REACH, AROUND = 64, 400
@@ -76,7 +77,7 @@ def novel_spans(text: str, base: list[tuple[int, int, str]], novelty: Novelty, t
                 continue
             own = text[s:e]
             kinds = sum(bool(re.search(p, own)) for p in (r"[a-z]", r"[A-Z]", r"[0-9]"))
-            if kinds >= 2 and len(set(own)) >= 8 and novelty.marginal(text, s, e) >= threshold:
+            if ((kinds >= 2 and len(set(own)) >= 8) or own.isdigit()) and novelty.marginal(text, s, e) >= threshold:
                 found.append((s, e, "novel"))
                 last = e
     return found

@@ -465,3 +465,12 @@ def test_extraction_from_wrappers():
         f"<body><aside>{noise}<article>{noise}</article></aside><div class=post>{ps}</div></body>",
     ):
         assert ht.main_text(page, w) == want, page
+
+
+def test_novel_spans_of_digits():
+    n = sc.Novelty()
+    for key in ("8305729461750392", "94713058261740593862", "83057294617503928461570392847561"):
+        t = f"the private_key is {key} and more words follow"
+        assert [t[s:e] for s, e, _ in sc.novel_spans(t, [], n)] == [key]
+    for word in ("internationalization", "responsibilities", "0000000000000000", "conversation", "----------------------"):
+        assert sc.novel_spans(f"the private_key is {word} and more words follow", [], n) == [], word
