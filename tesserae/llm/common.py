@@ -6,11 +6,11 @@ import sys
 import tempfile
 import types
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 #: A word: a run of anything but space and the control characters 9 to 13 (what bytes.split() cuts at).
 WORD = r"[^\x20\x09-\x0D]+"
@@ -24,11 +24,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the session's spark.checkpoint.dir, else (as in tests) one of our own."""
+    """The folder that driver and executors share: the session's spark.checkpoint.dir; one of our own only in local mode, as in tests."""
     there = spark.conf.get("spark.checkpoint.dir", None)
     if not there:
         there = spark.sparkContext.getCheckpointDir()
     if not there:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir is not set: executors need a folder that all of them share")
         there = tempfile.mkdtemp(prefix="tesserae-")
         spark.sparkContext.setCheckpointDir(there)
     return there.rstrip("/")
@@ -58,11 +60,32 @@ def let(value: Column, then: Callable[[Column], Column]) -> Column:
 
 
 def map_texts(df: DataFrame, run: Callable, schema: str | StructType) -> DataFrame:
-    """df.mapInArrow(run, schema) in batches of at most BATCH_ROWS rows: a batch holds whole texts, which may be long."""
-    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(conf.get(name, "10000")) <= BATCH_ROWS:
-        conf.set(name, str(BATCH_ROWS))
-    return df.mapInArrow(run, schema)
+    """df.mapInArrow(run, schema), run being given batches of at most BATCH_ROWS rows: they hold whole texts, which may be long.
+
+    Spark bounds the bytes of a batch that it sends (spark.sql.execution.arrow.maxBytesPerBatch); no setting is touched.
+    """
+    return df.mapInArrow(lambda batches: run(small_batches(batches)), schema)
+
+
+def small_batches(batches: Iterable, rows: int = BATCH_ROWS) -> Iterator:
+    for b in batches:
+        yield from (b.slice(i, rows) for i in range(0, len(b), rows))
+
+
+def column(name: str) -> Column:
+    """The column of that very name, dots and all."""
+    return F.col(f"`{name.replace('`', '``')}`")
+
+
+def _hashable(kind: DataType) -> bool:
+    if isinstance(kind, StructType):
+        return all(_hashable(f.dataType) for f in kind.fields)
+    return _hashable(kind.elementType) if isinstance(kind, ArrayType) else not isinstance(kind, (MapType, VariantType))
+
+
+def row_mark(df: DataFrame) -> Column:
+    """A hash of a whole row, which with its key tells rows apart; rows alike in both are repeats (maps don't count)."""
+    return F.xxhash64(F.lit(0), *[column(f.name) for f in df.schema.fields if _hashable(f.dataType)])
 
 
 def worker_state(key: str, build):

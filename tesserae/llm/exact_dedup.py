@@ -7,13 +7,15 @@ Positives meet the snapshot's exact digests; texts behind a shared digest are co
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
-from tesserae.llm.common import staged, text_or_empty
+from tesserae.llm.common import column, row_mark, staged, text_or_empty
 
 U = np.uint64
 #: Keys of a filter shard, at most on average; a shard is built and probed in one task, and there is one per task at least.
@@ -93,8 +95,11 @@ def _sharded(groups: DataFrame, shards: int) -> DataFrame:
     return groups.withColumn("key", F.conv(F.substring(F.hex("digest"), 1, 15), 16, 10).cast("long")).withColumn("shard", F.pmod(F.conv(F.substring(F.hex("digest"), 17, 15), 16, 10).cast("long"), F.lit(shards)))
 
 
-def screened(groups: DataFrame, filters: DataFrame, shards: int) -> DataFrame:
-    """groups with `positive`: whether the snapshot's filter may hold the digest (never false for one it holds)."""
+def screened(groups: DataFrame, filters: DataFrame, shards: int, parts: int = 1) -> DataFrame:
+    """groups with `positive`: whether the snapshot's filter may hold the digest (never false for one it holds).
+
+    A shard's digests are probed in `parts` tasks, each with a copy of its filter, so a batch may outgrow the snapshot.
+    """
     names = ["digest", "keeper", "n"]
 
     def probe(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -106,68 +111,133 @@ def screened(groups: DataFrame, filters: DataFrame, shards: int) -> DataFrame:
         return left.select(names).append_column("positive", pa.array(hit))
 
     schema = ", ".join(f"{c} {groups.schema[c].dataType.simpleString()}" for c in names) + ", positive boolean"
-    return _sharded(groups, shards).groupBy("shard").cogroup(filters.groupBy("shard")).applyInArrow(probe, schema)
+    left = _sharded(groups, shards).withColumn("part", F.pmod("key", F.lit(parts)))
+    right = filters.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
+    return left.groupBy("shard", "part").cogroup(right.groupBy("shard", "part")).applyInArrow(probe, schema)
 
 
-def exact_groups(df: DataFrame, snapshot: DataFrame | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, keep_id, group_size, kept, text_sha256 of every row of df and of snapshot (an immutable earlier part; None: nothing).
+def _digested(df: DataFrame, old: bool, key: str, text: str, mark: Column) -> DataFrame:
+    return df.select(column(key).alias("key"), F.unhex(F.sha2(text_or_empty(column(text)), 256)).alias("digest"), mark.alias("mark"), F.lit(old).alias("old"))
 
-    Of equal texts the row with the largest key stays, whichever part it is in; exactly one row of a group is kept
-    even where rows repeat (a null key ranks lowest). Null texts count as empty and are one group. An empty table gives
-    no rows. Other columns are not read. Two texts behind one SHA-256 would stop the job.
-    """
-    digest = F.unhex(F.sha2(text_or_empty(text), 256))
-    parts = [(df, False)] + ([(snapshot, True)] if snapshot is not None else [])
-    rows = None
-    for part, old in parts:
-        own = part.select(F.col(key).alias("key"), digest.alias("digest"), F.lit(old).alias("old"))
-        rows = own if rows is None else rows.unionByName(own)
-    rows = staged(rows.withColumn("row", F.monotonically_increasing_id()), "digests")
-    keeper = F.max(F.struct(F.col("key").alias("key"), F.col("row").alias("row"))).alias("keeper")
 
-    new = rows.filter(~F.col("old")).groupBy("digest").agg(keeper, F.count("*").alias("n"))
-    if snapshot is None:
-        groups = new
-    else:
-        old = staged(rows.filter("old").groupBy("digest").agg(keeper, F.count("*").alias("n")), "snapshot")
-        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        shards = max(tasks, 1 << max(0, math.ceil(math.log2(max(1, old.count() / SHARD_KEYS)))))
-        filters = staged(snapshot_filters(old.select("digest"), shards), "filters")
-        found = screened(new, filters, shards)
-        fresh = found.filter(~F.col("positive")).select("digest", "keeper", "n")
+def _grouped(rows: DataFrame) -> DataFrame:
+    """digest, keeper (key, mark, old, row: the largest), n."""
+    return rows.groupBy("digest").agg(F.max(F.struct("key", "mark", "old", "row")).alias("keeper"), F.count("*").alias("n"))
+
+
+@dataclass
+class Snapshot:
+    """An immutable part, digested once: groups (digest, keeper, n), a filter per shard, and a text for each digest."""
+
+    groups: DataFrame
+    filters: DataFrame
+    texts: DataFrame
+    shards: int
+
+    @staticmethod
+    def of(rows: DataFrame, texts: DataFrame, least_shards: int) -> Snapshot:
+        groups = staged(_grouped(rows), "snapshot")
+        shards = max(least_shards, 1 << max(0, math.ceil(math.log2(max(1, groups.count() / SHARD_KEYS)))))
+        return Snapshot(groups, staged(snapshot_filters(groups.select("digest"), shards), "filters"), texts, shards)
+
+    @staticmethod
+    def write(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> Snapshot:
+        """Digest df and write its groups, texts and filters under path; batches that come later only read these."""
+        spark = df.sparkSession
+        rows = staged(_digested(df, True, key, text, F.lit(0).cast("long")).withColumn("row", F.monotonically_increasing_id()), "digests")
+        made = Snapshot.of(rows, _one_text(df, text), _tasks(df))
+        made.groups.write.parquet(f"{path}/groups")
+        made.filters.withColumn("shards", F.lit(made.shards)).write.parquet(f"{path}/filters")
+        made.texts.select("digest", F.col("least").alias("text"), _checked().alias("same")).filter("same").drop("same").write.parquet(f"{path}/texts")
+        return Snapshot.load(spark, path)
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> Snapshot:
+        filters = spark.read.parquet(f"{path}/filters")
+        shards = filters.agg(F.max("shards")).first()[0] or 1
+        texts = spark.read.parquet(f"{path}/texts").select("digest", F.col("text").alias("least"), F.col("text").alias("most"))
+        return Snapshot(spark.read.parquet(f"{path}/groups"), filters.drop("shards"), texts, shards)
+
+
+def _tasks(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _one_text(df: DataFrame, text: str) -> DataFrame:
+    """digest, least, most: a digest's texts meet as the smallest and the largest of each task, so copies never travel together."""
+    own = df.select(text_or_empty(column(text)).alias("text")).select("text", F.unhex(F.sha2("text", 256)).alias("digest"))
+    return own.groupBy("digest").agg(F.min("text").alias("least"), F.max("text").alias("most"))
+
+
+def _checked() -> Column:
+    return F.when(F.col("least") != F.col("most"), F.raise_error(F.lit("two texts with one SHA-256")).cast("boolean")).otherwise(F.lit(True))
+
+
+def _merged(df: DataFrame, snapshot: DataFrame | Snapshot | None, key: str, text: str, mark: Column) -> tuple[DataFrame, DataFrame]:
+    """(rows: key, digest, mark, old, row; groups: digest, keeper, n) of df and, where it is a table, snapshot; texts checked byte for byte."""
+    rows = _digested(df, False, key, text, mark)
+    texts = df.select(column(text).alias("text"))
+    if isinstance(snapshot, DataFrame):
+        rows = rows.unionByName(_digested(snapshot, True, key, text, mark))
+        texts = texts.unionByName(snapshot.select(column(text).alias("text")))
+    rows = staged(rows.withColumn("row", F.monotonically_increasing_id()), "digests")
+    groups = _grouped(rows.filter(~F.col("old")))
+    seen = _one_text(texts, "text")
+    if snapshot is not None:
+        if isinstance(snapshot, DataFrame):
+            snapshot = Snapshot.of(rows.filter("old"), None, _tasks(df))
+        groups = staged(groups, "batch")
+        found = staged(screened(groups, snapshot.filters, snapshot.shards, max(1, math.ceil(groups.count() / (snapshot.shards * 4 * SHARD_KEYS)))), "screened")
+        positive = found.filter("positive").select("digest", "keeper", "n")
         # exact buckets: positives that the snapshot really holds are merged into its groups
-        met = found.filter("positive").select("digest", "keeper", "n").unionByName(old)
-        groups = met.groupBy("digest").agg(F.max("keeper").alias("keeper"), F.sum("n").alias("n")).unionByName(fresh)
+        bucket = snapshot.groups.select("digest", "keeper", "n")
+        if snapshot.texts is not None:  # its rows aren't asked for, so only the groups and texts that positives meet matter
+            bucket = bucket.join(positive.select("digest"), "digest", "left_semi")
+            seen = seen.unionByName(snapshot.texts.join(positive.select("digest"), "digest", "left_semi"))
+            seen = seen.groupBy("digest").agg(F.min("least").alias("least"), F.max("most").alias("most"))
+        met = positive.unionByName(bucket).groupBy("digest").agg(F.max("keeper").alias("keeper"), F.sum("n").alias("n"))
+        groups = met.unionByName(found.filter(~F.col("positive")).select("digest", "keeper", "n"))
     groups = staged(groups, "groups")
+    # the byte check: every digest of two rows or more has one text
+    checked = seen.join(groups.filter("n > 1").select("digest"), "digest", "left_semi").select("digest", _checked().alias("same"))
+    # written, so that a later join has an exchange on either side and a digest of very many rows is split
+    return rows, staged(groups.join(checked, "digest", "left").filter(F.coalesce("same", F.lit(True))).drop("same"), "checked")
+
 
-    # byte check: a group's texts meet as one smallest and one largest per task, so copies never travel together
-    shared = rows.join(groups.filter("n > 1").select("digest"), "digest", "left_semi").select(F.col("key").alias("k"), "digest")
-    both = None
-    for part, _ in parts:
-        own = part.select(F.col(key).alias("key"), text_or_empty(text).alias("text"))
-        both = own if both is None else both.unionByName(own)
-    texts = both.join(shared, F.col("key").eqNullSafe(F.col("k"))).filter(F.unhex(F.sha2("text", 256)) == F.col("digest"))
-    checked = texts.groupBy("digest").agg((F.min("text") == F.max("text")).alias("same"))
-    # written, so that the last join has an exchange on either side and a digest of very many rows is split
-    groups = groups.join(checked, "digest", "left").select(
-        "digest", F.col("keeper.key").alias("keep_id"), F.col("keeper.row").alias("keep_row"), F.when(F.col("same") == F.lit(False), F.raise_error(F.lit("two texts with one SHA-256")).cast("long")).otherwise(F.col("n")).alias("group_size")
-    )
-    out = rows.join(staged(groups, "kept"), "digest")
-    return out.select(F.col("key").alias(key), "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
+def exact_groups(df: DataFrame, snapshot: DataFrame | Snapshot | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """key, keep_id, group_size, kept, text_sha256 of every row of df and of snapshot, an immutable earlier part.
+
+    The snapshot is a table, whose rows are returned too, a Snapshot, which is only probed, or None: nothing. Of equal
+    texts the row with the largest key stays, whichever part it is in; exactly one row of a group is kept even where
+    rows repeat (a null key ranks lowest). Null texts count as empty and are one group. An empty table gives no rows.
+    Other columns are not read. Two texts behind one SHA-256 would stop the job.
+    """
+    rows, groups = _merged(df, snapshot, key, text, F.lit(0).cast("long"))
+    out = rows.join(groups, "digest")
+    kept = (F.col("row") == F.col("keeper.row")) & (F.col("old") == F.col("keeper.old"))
+    return out.select(F.col("key").alias(key), F.col("keeper.key").alias("keep_id"), F.col("n").alias("group_size"), kept.alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
 
 
 def arrivals(df: DataFrame, key: str = "doc_id") -> tuple[DataFrame, DataFrame | None]:
-    """(batch, snapshot) of one table: the lower half of the key's range stands for what came earlier."""
-    least, most = df.agg(F.min(key), F.max(key)).first()
-    if least is None:
-        return df, None
-    old = F.coalesce(F.col(key) <= (least + most) // 2, F.lit(False))
+    """(batch, snapshot) of one table: the lower half of the key's range, or of a hash of keys that are no integers, stands for what came earlier."""
+    if isinstance(df.schema[key].dataType, IntegralType):
+        least, most = df.agg(F.min(column(key)), F.max(column(key))).first()
+        if least is None:
+            return df, None
+        old = F.coalesce(column(key) <= (least + most) // 2, F.lit(False))
+    else:
+        old = F.xxhash64(column(key)) < 0
     return df.filter(~old), df.filter(old)
 
 
 def exact_dedup(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row (every column) of each group of equal texts in df, the one with the largest key; see arrivals."""
-    kept = exact_groups(*arrivals(df, key), key, text).filter("kept").select(F.col(key).alias("_kept_key"), F.unhex("text_sha256").alias("_kept_digest"))
-    own = df.withColumn("_digest", F.unhex(F.sha2(text_or_empty(text), 256)))
-    met = own.join(kept, F.col(key).eqNullSafe(F.col("_kept_key")) & (F.col("_digest") == F.col("_kept_digest")), "left_semi")
-    return met.dropDuplicates([key, "_digest"]).drop("_digest")
+    """One row (every column) of each group of equal texts in df: that with the largest key, of rows with one key that with the largest hash; see arrivals.
+
+    Null texts count as empty; a null key ranks lowest; rows alike in every column count once. An empty table gives no
+    rows. Columns may have any names.
+    """
+    own = df.select(F.struct("*").alias("row"), column(key).alias("key"), column(text).alias("text"), row_mark(df).alias("mark"))
+    _, groups = _merged(*arrivals(own, "key"), "key", "text", F.col("mark"))
+    kept = groups.select(F.struct("keeper.key", "keeper.mark").alias("own"))
+    # repeats of a row meet in their tasks before they travel
+    return own.groupBy(F.struct("key", "mark").alias("own")).agg(F.first("row").alias("row")).join(kept, "own", "left_semi").select("row.*")

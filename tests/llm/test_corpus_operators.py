@@ -296,8 +296,8 @@ def test_deep_tree_and_more_shards(spark, docs, monkeypatch):
 
 def test_splitting_tree(spark):
     """Leaves add up, are balanced, and counts vary as drawing without replacement does."""
-    root = spark.createDataFrame([(1, [0, 1, 2], [500, 300, 7])], "node long, ixs array<int>, counts array<long>")
-    leaves = [r["counts"] for r in mx.splitting_tree(root, 3, 5).collect()]
+    root = spark.createDataFrame([(1, [(0, 500), (1, 300), (2, 7)])], "node long, items array<struct<ix:long,k:long>>")
+    leaves = [[dict(map(tuple, r["items"])).get(i, 0) for i in range(3)] for r in mx.splitting_tree(root, 3, 5).collect()]
     assert np.array(leaves).sum(0).tolist() == [500, 300, 7] and {sum(x) for x in leaves} <= {100, 101}
     assert 1 < np.array(leaves)[:, 0].std() < 12
 
