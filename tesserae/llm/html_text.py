@@ -1,9 +1,10 @@
 """HTML extraction: the maximum-scoring subsequence of a page, words for and tags against it.
 
-A page is one sequence of runs of words and tags. A word scores by where it stands (paragraph, heading, list item, link,
-boilerplate ...), a tag by its name; the weights are log odds learned from labelled pages, those whose markup names its
-article. One linear scan finds the best contiguous region. The region then grows to whole blocks and, where it lies in
-an element that names content, to that element, without the boilerplate in it.
+A page is one sequence of runs of words and tags. A word scores by where it stands (paragraph, heading, list item, link;
+beside the element that the page names as its content, it counts against), a tag by its name; the weights are log odds
+learned from labelled pages, those whose markup names its article. One linear scan finds the best contiguous region. The
+region, grown to whole blocks, is the text; only what its markup says isn't content (menus, asides, forms, scripts,
+adverts, reader comments) is left out of it, and such an element costs the scan one tag, however long it is.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -34,21 +36,31 @@ BLOCK = frozenset(
 MARKED_UP = frozenset("template svg object canvas math".split())
 RAW_END = {n: re.compile(rf"</{n}(?=[\t\n\f\r />])", re.IGNORECASE | re.ASCII) for n in RAW}
 SPACED = frozenset("br td th".split())
-#: Elements that aren't content; classes, ids and roles that say the same; elements and roles that name content.
+#: Names of tags whose weight is learned; others share one weight.
+KNOWN = VOID | RAW | BLOCK | SPACED | frozenset("a abbr audio b bdi bdo big button cite code data datalist del dfn em font i ins kbd label map mark meter output picture progress q ruby s samp select small span strike strong sub sup time tt u var video head".split())
+#: Elements that aren't content; roles that say the same; elements and roles that name content.
 AWAY = frozenset("head nav footer aside form script style noscript template svg iframe button select textarea menu dialog input object canvas title datalist".split())
-AWAY_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ads?|ad(?:box|slot|unit|banner|container)|adverts?|advertis\w*|adsense|sponsor\w*|promo\w*|banner|cookie\w*|consent|gdpr|notices?|notifications?|newsletter|subscri\w*|sidebars?|side|menus?|"
-    r"\w*nav|\w*navbar|navigation|breadcrumbs?|footer|copyright|masthead|site-?header|page-?header|topbar|comments?|commentlist|disqus|respond|replies|reply|related|recommend\w*|share|sharing|social|widgets?|popups?|"
-    r"modal|overlay|lightbox|pagination|pager|toolbar|skip-?link|sr-only|screen-reader-text|visually-hidden|login|signin|signup|search)(?:$|[\s_-])",
-    re.IGNORECASE,
-)
-#: Classes and ids that say how a page is laid out, whatever word of the above they hold.
-LAYOUT_NAME = re.compile(r"(?:has|no|not|with|without|is|hide|show)[_-].*|.*[_-](?:open|opened|closed|enabled|disabled|on|off)", re.IGNORECASE)
-#: What says so even of an element that names content.
-AWAY_CONTENT = re.compile(r"(?:^|[\s_-])(?:comments?|reply|replies|related|teasers?|promo\w*|ads?)(?:$|[\s_-])", re.IGNORECASE)
 AWAY_ROLE = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar".split())
 CONTENT = frozenset("article main".split())
 MAIN_ROLE = re.compile(r"(?:^|\s)role\s*=\s*[\"']?main(?:[\"'\s/]|$)", re.IGNORECASE)
+
+# Whole class and id names that aren't content. A name of several parts means what its last part does (reader-comments,
+# site-footer), or its first where the others only say what kind of box it is (share-buttons, ad-slot-2).
+NOTHING_ELSE = frozenset(
+    "ad ads advert adverts advertisement advertisements advertising adsense sponsor sponsored sponsors promo promos promotion banner cookie cookies cookiebar consent gdpr notice notices notification notifications "
+    "newsletter sidebar sidebars menu menus nav navbar topnav subnav navigation breadcrumb breadcrumbs footer copyright masthead topbar comments commentlist disqus respond replies "
+    "widget widgets popup popups modal overlay lightbox pagination pager toolbar skiplink login signin signup adbox adslot adunit sharing".split()
+)
+FIRST_PART = NOTHING_ELSE | frozenset("share social related recommended search subscribe comment reply skip".split())
+BOX_PART = frozenset(
+    "area author bar block body box button buttons cards container content form group header heading holder icon icons item items link links list media meta module panel posts articles stories reads row section slot title unit "
+    "wrap wrapper inner outer left right top bottom main notice message text to 0 1 2 3 4 5 6 7 8 9".split()
+)
+WHOLE_NAMES = frozenset("ad comment reply share social related search subscribe teaser teasers siteheader pageheader site-header page-header sr-only screen-reader-text visually-hidden skip-to-content".split())
+#: Of these, the ones that say so even of an element that names content.
+OF_CONTENT = frozenset("comment comments commentlist reply replies related teaser teasers promo promos ad ads".split())
+#: Classes and ids that say how a page is laid out, whatever names they hold.
+LAYOUT_NAME = re.compile(r"(?:has|no|not|with|without|is|hide|show)[_-].*|.*[_-](?:open|opened|closed|enabled|disabled|on|off)", re.IGNORECASE)
 #: What a form around a whole page holds, and one to fill in doesn't.
 PAGE_PART = re.compile(r"<(?:(?:article|main|nav|header|footer|h1)(?=[\s/>])|[a-z]+\s[^<>]*?\brole\s*=\s*[\"']?main\b)", re.IGNORECASE)
 FORM_END = re.compile(r"</form(?=[\s/>])", re.IGNORECASE)
@@ -63,7 +75,7 @@ TOKEN = re.compile(
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|([^\s=/"'>]+)""")
 
 
-@dataclass
+@dataclass(slots=True)
 class Element:
     name: str
     how: int
@@ -71,15 +83,28 @@ class Element:
     up: Element | None
     wraps: bool = False  # holds the page's main element
     away: int = 0  # how surely it isn't content, by itself and by what holds it
+    place: str = "body"  # where its words stand
+    para: Element | None = None  # the paragraph that a new one ends
+    inside: bool = False  # in an element that names content, and not away
+
+    def __post_init__(self) -> None:
+        if self.up is None:
+            return
+        if self.name in BLOCK:
+            self.place = self.name if self.name in ("p", "li") else "heading" if re.fullmatch("h[1-6]", self.name) else "body"
+            self.para = self if self.name == "p" else None
+        else:
+            self.place, self.para = "link" if self.name == "a" else self.up.place, self.up.para
 
     def settle(self) -> None:
         """Set away once that of `up` is: an article undoes SOFT around it, a main element all but HARD."""
         own = 0 if self.wraps and self.how < HARD else self.how
         above = self.up.away if self.up else 0
         self.away = max(own, 0 if not own and self.name in CONTENT and above == SOFT else above)
+        self.inside = self.content and not self.away
 
 
-@dataclass
+@dataclass(slots=True)
 class Run:
     """A tag (words = 0) or text between tags; block: number of the block that text belongs to."""
 
@@ -90,6 +115,23 @@ class Run:
     within: Element | None = field(default=None, repr=False)
 
 
+def _parts(name: str) -> list[str]:
+    return [p for p in re.split(r"[_-]+", name.lower()) if p]
+
+
+def says_away(name: str) -> bool:
+    """Whether a whole class or id name says that its element isn't content."""
+    parts = _parts(name)
+    if not parts:
+        return False
+    return name.lower() in WHOLE_NAMES or parts[-1] in NOTHING_ELSE or (len(parts) > 1 and parts[0] in FIRST_PART and all(p in BOX_PART or p in FIRST_PART for p in parts[1:]))
+
+
+def says_no_content(name: str) -> bool:
+    """Whether it says so even of an element that names content."""
+    return says_away(name) and not OF_CONTENT.isdisjoint((_parts(name)[0], _parts(name)[-1]))
+
+
 def _how_away(name: str, attributes: str, inside_content: bool) -> int:
     if (name in AWAY and name != "form") or (name == "header" and not inside_content):
         return HARD
@@ -102,15 +144,23 @@ def _how_away(name: str, attributes: str, inside_content: bool) -> int:
     if name in ("html", "body"):
         return own
     names = [n for a in ("class", "id") for n in found.get(a, "").split() if not LAYOUT_NAME.fullmatch(n)]
-    if any(AWAY_CONTENT.search(n) for n in names):
+    if any(map(says_no_content, names)):
         return HARD if name in CONTENT else NAMED
-    return SOFT if name not in CONTENT and any(AWAY_NAME.search(n) for n in names) else own
+    return SOFT if name not in CONTENT and any(map(says_away, names)) else own
+
 
+class Forms:
+    """Whether a form is around a page rather than in it: it holds a part of a page. Ends and parts are looked up once."""
 
-def page_form(page: str, at: int) -> bool:
-    """Whether the form whose content starts at `at` is around a page rather than in it."""
-    end = FORM_END.search(page, at)
-    return bool(PAGE_PART.search(page, at, end.start() if end else len(page)))
+    def __init__(self, page: str):
+        self.page, self.ends, self.parts = page, None, None
+
+    def around(self, at: int) -> bool:
+        if self.ends is None:
+            self.ends = [m.start() for m in FORM_END.finditer(self.page)]
+            self.parts = [m.start() for m in PAGE_PART.finditer(self.page)]
+        e, p = bisect_left(self.ends, at), bisect_left(self.parts, at)
+        return p < len(self.parts) and self.parts[p] < (self.ends[e] if e < len(self.ends) else len(self.page))
 
 
 def raw_end(page: str, at: int, name: str) -> int:
@@ -128,26 +178,17 @@ def raw_end(page: str, at: int, name: str) -> int:
 
 
 def runs(page: str) -> list[Run]:
+    """The page's tags and texts in order, in time in proportion to its length however deep elements are nested."""
     out: list[Run] = []
     top = Element("", 0, False, None)
     now, at, block = top, 0, 0
-    every = [top]
+    every, forms = [top], Forms(page)
+    open_now: Counter = Counter()
 
     def say(text: str) -> None:
         text = html.unescape(text) if "&" in text else text
-        n = len(text.split())
-        if not text:
-            return
-        e, place = now, "body"
-        while e is not None:
-            if e.name == "a":
-                place = "link"
-                break
-            if e.name in BLOCK:
-                place = e.name if e.name in ("p", "li") else "heading" if re.fullmatch("h[1-6]", e.name) else "body"
-                break
-            e = e.up
-        out.append(Run(place, n, text, block, now))
+        if text:
+            out.append(Run(now.place, len(text.split()), text, block, now))
 
     while m := TOKEN.search(page, at):
         closing, name = m[1] == "/", (m[2] or "").lower()
@@ -160,65 +201,89 @@ def runs(page: str) -> list[Run]:
             block += 1
         elif name in SPACED:
             out.append(Run("space", 0, " ", block, now))
+        tag = name if name in KNOWN else "other"
         if closing:
-            e = now
-            while e is not top and e.name != name:
-                e = e.up
-            if e is not top:
-                now = e.up
-        elif name not in VOID:
-            if name == "p":  # a new paragraph ends one that is open
-                e = now
-                while e is not top and (e.name == "p" or e.name not in BLOCK):
-                    if e.name == "p":
-                        now = e.up
-                        break
-                    e = e.up
+            if open_now[name]:
+                while now.name != name:
+                    open_now[now.name] -= 1
+                    now = now.up
+                open_now[name] -= 1
+                now = now.up
+            out.append(Run(f"</{tag}>", 0, "", -1, now))
+            continue
+        if name not in VOID:
+            if name == "p" and now.para is not None:  # a new paragraph ends one that is open
+                end = now.para.up
+                while now is not end:
+                    open_now[now.name] -= 1
+                    now = now.up
             how = _how_away(name, m[3], now.content)
-            if how == SOFT and name == "form" and page_form(page, at):
+            if how == SOFT and name == "form" and forms.around(at):
                 how = 0
             if not m[3].endswith("/") or name not in ("svg", "script", "iframe"):
                 main = name == "main" or bool(MAIN_ROLE.search(m[3]))
                 how = 0 if main and how == SOFT else how
                 now = Element(name, how, now.content or name in CONTENT or main, now)
                 every.append(now)
+                open_now[name] += 1
                 if main and not how:
                     e = now.up
                     while e is not None and not e.wraps:
                         e.wraps, e = True, e.up
                 if name in RAW:
                     at = raw_end(page, at, name)
-        out.append(Run(f"</{name}>" if closing else f"<{name}>", 0, "", -1, now))
+        out.append(Run(f"<{tag}>", 0, "", -1, now))
     if at < len(page):
         say(page[at:])
     for e in every:  # what wraps the main element is known only now
         e.settle()
-    for r in out:
-        if r.text and r.kind != "space" and r.within.away:
-            r.kind = "away"
+    return out
+
+
+def scored_kinds(seq: list[Run]) -> list[str | None]:
+    """What each run scores by; "": nothing; None: it lies in an element that isn't content, whose first tag alone counts ("<away>").
+
+    On a page that names its content, what stands beside that counts by itself ("p beside"), and so do adverts and the
+    like there; in the content, and on other pages, they are elements that aren't content.
+    """
+    named = any(r.words and r.within.inside for r in seq)
+    out: list[str | None] = []
+    entered = False
+    for r in seq:
+        e = r.within
+        left_out = e.away >= HARD or (e.away and (e.content or not named))
+        if left_out:
+            out.append(None if entered else "<away>")
+            entered = True
+            continue
+        entered = False
+        if r.kind.startswith("<"):
+            out.append(r.kind)
+        else:
+            out.append("" if not r.words else f"{r.kind} beside" if named and not e.inside else r.kind)
     return out
 
 
 def weight_counts(page: str) -> Counter:
     """(kind, inside) -> words or tags of a labelled page, one whose markup names its article; empty for others."""
     seq = runs(page)
-    if not any(r.within and r.within.content for r in seq):
+    if not any(r.words and r.within.inside for r in seq):
         return Counter()
     out: Counter = Counter()
-    for r in seq:
-        if r.kind != "space":
-            out[r.kind if r.words or r.kind.startswith("<") else "", bool(r.within and r.within.content and not r.within.away)] += r.words or 1
+    for r, kind in zip(seq, scored_kinds(seq), strict=True):
+        if kind:
+            out[kind, bool(r.within.inside)] += r.words or 1
     return out
 
 
 def weights_of(counts: dict[tuple[str, bool], int]) -> dict[str, float]:
-    """Smoothed log odds of standing inside content: at least 0.2 for words, at most -0.2 for tags; boilerplate words at most -1."""
+    """Smoothed log odds of standing inside content: from 0.2 for words in it, up to -0.2 for tags and -0.5 for words beside it."""
     own: dict[str, float] = {}
     for kind in {k for k, _ in counts}:
         odds = math.log((counts.get((kind, True), 0) + 1) / (counts.get((kind, False), 0) + 1))
-        own[kind] = min(-0.2, max(-4.0, odds)) if kind.startswith("<") else max(0.2, min(4.0, odds))
+        own[kind] = min(-0.2, max(-4.0, odds)) if kind.startswith("<") else min(-0.5, max(-1.0, odds)) if kind.endswith(" beside") else max(0.2, min(4.0, odds))
     # words of a page without any markup to go by still count for the region
-    return {"p": 1.0, "heading": 1.0, "body": 0.5, "li": 0.4, "link": 0.2} | own | {"away": -1.0, "space": 0.0}
+    return {"p": 1.0, "heading": 1.0, "body": 0.5, "li": 0.4, "link": 0.2} | own
 
 
 def best_region(scores: list[float]) -> tuple[int, int]:
@@ -233,55 +298,34 @@ def best_region(scores: list[float]) -> tuple[int, int]:
     return bounds
 
 
-def _holders(e: Element | None) -> list[Element]:
-    out = []
-    while e is not None:
-        out.append(e)
-        e = e.up
-    return out
+def scores_of(seq: list[Run], kinds: list[str | None], weights: dict[str, float]) -> list[float]:
+    def one(r: Run, kind: str | None) -> float:
+        if not kind:
+            return 0.0
+        if kind.startswith("<"):
+            return weights.get(kind, -0.2)
+        return r.words * weights.get(kind, -0.5 if kind.endswith(" beside") else 0.2)
+
+    return [one(r, k) for r, k in zip(seq, kinds, strict=True)]
 
 
 def main_text(page: str, weights: dict[str, float]) -> str:
+    """The best region, grown to whole blocks."""
     seq = runs(page)
-    start, end = best_region([(r.words * weights.get(r.kind, 0.2)) if r.words else weights.get(r.kind, -0.2) for r in seq])
-    chosen = [r for r in seq[start:end] if r.words and not r.within.away]
-    if not chosen:
-        return ""
-    # the inmost element that names content and holds most of the region, else the smallest that holds all of it
-    held: Counter = Counter()
-    depth = {}
-    for r in chosen:
-        up = _holders(r.within)
-        for i, e in enumerate(up):
-            if e.name in CONTENT:
-                held[id(e)] += r.words
-                depth[id(e)] = len(up) - i
-    most = [i for i, n in held.items() if 2 * n > sum(r.words for r in chosen)]
-    if most:
-        best = max(most, key=depth.__getitem__)
-        keep = lambda r: any(id(e) == best for e in _holders(r.within))
-    else:
-        shared = {id(e) for e in _holders(chosen[0].within)}
-        for r in chosen[1:]:
-            shared &= {id(e) for e in _holders(r.within)}
-        inmost = next((e for e in _holders(chosen[0].within) if id(e) in shared and e.name in BLOCK), None)
-        blocks = {r.block for r in chosen}
-        if inmost is not None and inmost.name not in ("body", "html", ""):
-            keep = lambda r: any(e is inmost for e in _holders(r.within))
-        else:
-            heads = [r for r in seq[:start] if r.kind == "heading" and r.words and not r.within.away][-1:]
-            blocks |= {r.block for r in heads}
-            keep = lambda r: r.block in blocks
+    kinds = scored_kinds(seq)
+    start, end = best_region(scores_of(seq, kinds, weights))
+    said = [bool(r.text) and k is not None and k != "<away>" for r, k in zip(seq, kinds, strict=True)]
+    blocks = {r.block for r, s in zip(seq[start:end], said[start:end], strict=True) if s and r.words}
     parts: dict[int, list[str]] = {}
-    for r in seq:
-        if r.block >= 0 and r.text and not r.within.away and keep(r):
+    for r, s in zip(seq, said, strict=True):
+        if s and r.block in blocks:
             parts.setdefault(r.block, []).append(r.text)
     texts = (" ".join("".join(p).split()) for p in parts.values())
     return "\n\n".join(t for t in texts if t)
 
 
 def learn_weights(pages: DataFrame, key: str = "page_id", page: str = "html", sample: int = SAMPLE) -> dict[str, float]:
-    """Weights from at most `sample` pages; only sums per kind reach the driver. Unlabelled pages add nothing."""
+    """Weights from at most `sample` pages; only sums per kind, of which KNOWN bounds the number, reach the driver. Unlabelled pages add nothing."""
 
     def run(batches):
         for b in batches:
@@ -294,7 +338,7 @@ def learn_weights(pages: DataFrame, key: str = "page_id", page: str = "html", sa
     chosen = pages.select(key).orderBy(F.xxhash64(key), key).limit(sample).withColumnRenamed(key, "_key").distinct()
     rows = pages.select(key, page).join(F.broadcast(chosen), F.col(key) == F.col("_key")).select(page)
     got = map_texts(rows, run, "kind string, inside boolean, n long").groupBy("kind", "inside").agg(F.sum("n").alias("n"))
-    return weights_of({(r["kind"], r["inside"]): r["n"] for r in got.limit(4096).collect() if r["kind"]})
+    return weights_of({(r["kind"], r["inside"]): r["n"] for r in got.collect() if r["kind"]})
 
 
 def extracted(pages: DataFrame, weights: dict[str, float], page: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
