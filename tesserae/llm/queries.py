@@ -15,7 +15,7 @@ from tesserae.llm.lookup_sketch import fingerprints
 from tesserae.llm.mixing import mixture
 from tesserae.llm.packing import pack
 from tesserae.llm.quality import quality_scores, train
-from tesserae.llm.secrets import secret_spans
+from tesserae.llm.secrets import learned_words, secret_spans
 from tesserae.llm.simhash import near_components
 from tesserae.llm.substring_dedup import without_repeats
 from tesserae.llm.token_count import token_counts
@@ -40,10 +40,35 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     def joined(spans):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
+    docs = table(spark, sf_dir, "documents")
     found = F.col("found")
     of = {k: F.size(F.filter(found, lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")}  # noqa: B023
     base = F.filter(found, lambda s: s["kind"] != "novel")
-    return secret_spans(table(spark, sf_dir, "documents")).select("doc_id", *of.values(), F.sha2(joined(base), 256).alias("base_sha256"), joined(found).alias("spans"))
+    return secret_spans(docs, learned=learned_words(docs)).select("doc_id", *of.values(), F.sha2(joined(base), 256).alias("base_sha256"), joined(found).alias("spans"))
+
+
+def secrets_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op4_secrets that SQL can express."""
+    return op4_secrets(spark, sf_dir).drop("spans")
+
+
+def _marked(kind: str, order: int, pattern: str, test: str) -> str:
+    """Spans of a pattern: matches are put between control characters, and lengths of what is before add up."""
+    return f"""
+  SELECT doc_id, '{kind}' AS kind, {order} AS o, s, s + e AS e, m FROM (
+    SELECT doc_id, i, p, (sum(length(p) - CASE WHEN i > 1 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) - length(p) + 1)::BIGINT AS s, instr(p, chr(2)) - 1 AS e, substr(p, 1, instr(p, chr(2)) - 1) AS m
+    FROM (SELECT doc_id, unnest(ps) AS p, generate_subscripts(ps, 1) AS i FROM (SELECT doc_id, string_split(regexp_replace(text, '{pattern}', chr(1) || '\\0' || chr(2), 'g'), chr(1)) AS ps FROM documents WHERE text IS NOT NULL)))
+  WHERE i > 1 AND {test}"""
+
+
+ASSIGN_SQL = """((?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+SECRETS_SQL = f"""
+WITH spans AS ({_marked("assign", 0, ASSIGN_SQL, f"length(regexp_extract(m, '{ASSIGN_SQL}', 2)) >= 8")}
+  UNION ALL {_marked("access", 1, "AKIA[A-Z0-9]+", "length(m) >= 16")}
+  UNION ALL {_marked("hex", 2, "[0-9a-f]{32,}", "true")}),
+  per AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, o) AS b FROM spans GROUP BY 1)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(b, '')) AS base_sha256 FROM documents LEFT JOIN per USING (doc_id)
+"""
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,6 +124,7 @@ def queries() -> dict[str, Query]:
         "op2_html_text": op2_html_text,
         "op3_fingerprints": op3_fingerprints,
         "op4_secrets": op4_secrets,
+        "secrets_base": secrets_base,
         "op5_simhash": op5_simhash,
         "op6_quality": op6_quality,
         "op7_packing": op7_packing,
@@ -109,4 +135,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_substring_dedup": OP8_SQL, "op10_exact_dedup": OP10_SQL}
+    return {"secrets_base": SECRETS_SQL, "op8_substring_dedup": OP8_SQL, "op10_exact_dedup": OP10_SQL}
