@@ -9,10 +9,15 @@ bits, a sketch per bin, and a stuck bin's sketch grows.
 
 from __future__ import annotations
 
+import math
+from collections import Counter
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
-from tesserae.llm.common import let, text_or_empty
+from tesserae.llm.common import column, let, text_or_empty
 
 PIECE = 12
 #: Cells in a row of a sketch, and the digest bits that place in its three rows, at each try; bins use bits from BIN up,
@@ -24,6 +29,7 @@ BIN_LOAD = 8
 #: Ordered documents meet their neighbours in buckets of about so many rows; there are at most so many buckets.
 BUCKET_ROWS, MOST_BUCKETS = 1024, 1 << 16
 
+
 def digests(text: Column) -> Column:
     """The distinct 64-bit digests of a text's paragraphs."""
     word, gap = r"[^\x20\x09-\x0D]++", r"[\x20\x09\x0B-\x0D]*+"
@@ -96,11 +102,12 @@ def peel(rows: Column, attempt: int = 0, rounds: int = 16) -> Column:
 
 
 def difference(a: Column, b: Column, cells_a: Column, cells_b: Column) -> Column:
-    """(a, b): how many digests only array a, only array b has, by sketches; what no try recovers counts as different."""
+    """(a, b): how many digests only array a, only array b has, by sketches; a bin that no try recovers is compared digest by digest."""
 
     def tried(both: Column, attempt: int) -> Column:
         if attempt == len(TRIES):
-            return F.struct(F.lit(False).alias("ok"), F.size(both["a"]).alias("a"), F.size(both["b"]).alias("b"))
+            only = lambda x, y: F.size(F.array_except(both[x], both[y]))
+            return F.struct(F.lit(True).alias("ok"), only("a", "b").alias("a"), only("b", "a").alias("b"))
         found = peel(subtract(sketch(both["a"], attempt), sketch(both["b"], attempt)), attempt)
         return let(found, lambda r: F.when(r["ok"], r).otherwise(tried(both, attempt + 1)))
 
@@ -151,35 +158,46 @@ def _numbers(values: list[int]) -> Column:
 def with_next(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """df with `next`: a struct of columns of the row that follows by descending key (null keys last); the first follows the last.
 
-    Rows with one key follow in the order of a hash of all columns named. Keys are cut into ranges by approximate
-    quantiles of the key alone; the first row of each range is also sent to the range before it, so one exchange serves.
+    Rows with one key follow in the order of a hash of all columns named. Keys (integers) are cut into ranges by approximate
+    quantiles; a key that several quantiles name has a range of its own, parted by that hash, and so have null keys. The
+    first row of each bucket is also sent to the bucket before it, so one exchange serves. Rows alike in key and columns
+    stay together.
     """
+    if not isinstance(df.schema[key].dataType, IntegralType):
+        raise TypeError(f"{key}: an integer column")
     low = -(1 << 63)
-    own = df.withColumn("_key", F.coalesce(F.col(key).cast("long"), F.lit(low)))
-    n = own.count()
-    n_buckets = min(MOST_BUCKETS, max(1, n // BUCKET_ROWS))
-    cuts = own.agg(F.percentile_approx("_key", [i / n_buckets for i in range(1, n_buckets)], max(10_000, 4 * n_buckets))).first()[0] if n_buckets > 1 else []
-    cuts = sorted(set(cuts or []))
-    if cuts:
-        bounds = _numbers(cuts)
-        steps = F.array(*[F.lit(1 << b) for b in reversed(range(len(cuts).bit_length()))])
-        below = F.aggregate(steps, F.lit(0), lambda at, s: F.when((at + s <= len(cuts)) & (F.get(bounds, at + s - 1) <= F.col("_key")), at + s).otherwise(at))
-        bucket = F.lit(len(cuts)) - below
-    else:
-        bucket = F.lit(0)
-    heads = dict(own.select(bucket.alias("b"), "_key").groupBy("b").agg(F.max("_key")).collect())
-    order = sorted(heads)
+    n, known = df.agg(F.count("*"), F.count(key)).first()
+    n_buckets = min(MOST_BUCKETS, max(1, known // BUCKET_ROWS))
+    cuts = df.agg(F.percentile_approx(F.col(key).cast("long"), [i / n_buckets for i in range(1, n_buckets)], max(10_000, 4 * n_buckets))).first()[0] if n_buckets > 1 else []
+    often = Counter(cuts or [])
+    power = lambda rows: max(0, math.ceil(math.log2(max(1, rows))))
+    bounds = sorted({*often, *(c + 1 for c, m in often.items() if m > 1 and c < -low - 1)})
+    # ranges by descending key, then null: bits of the hash that part each, and the first bucket of each
+    bits = [power(often[c]) if often[c] > 1 else 0 for c in reversed(bounds)] + [0, power((n - known) // max(BUCKET_ROWS, n // MOST_BUCKETS))]
+    first = [0, *accumulate(1 << b for b in bits)]
+    span = F.lit(0)
+    if bounds:
+        steps = F.array(*[F.lit(1 << b) for b in reversed(range(len(bounds).bit_length()))])
+        places = _numbers(bounds)
+        below = F.aggregate(steps, F.lit(0), lambda at, s: F.when((at + s <= len(bounds)) & (F.get(places, at + s - 1) <= F.col("_key")), at + s).otherwise(at))
+        span = F.lit(len(bounds)) - below
+    own = df.withColumn("_key", F.col(key).cast("long")).withColumn("_tie", F.xxhash64(*columns))
+    own = own.withColumn("_rev", F.coalesce(F.bitwise_not("_key"), F.lit(0).cast("long"))).withColumn("_span", F.when(F.col("_key").isNull(), len(bounds) + 1).otherwise(span))
+    part = F.expr("shiftright(_tie, 64 - cast(_bits AS int)) + shiftleft(1L, cast(_bits AS int) - 1)")
+    own = own.withColumn("_bits", F.get(_numbers(bits), F.col("_span")))
+    bucket = F.get(_numbers(first), F.col("_span")) + F.when(F.col("_bits") > 0, part).otherwise(0)
+    heads = {r["b"]: r["h"] for r in own.groupBy(bucket.alias("b")).agg(F.min(F.struct("_rev", "_tie")).alias("h")).collect()}
+    order = sorted(heads) or [0]
     before = {b: order[i - 1] for i, b in enumerate(order)}
-    if not order:
-        order, heads, before = [0], {0: low}, {0: 0}
-    head = F.get(_numbers([heads.get(b, low) for b in range(order[-1] + 1)]), F.col("_bucket"))
-    previous = F.get(_numbers([before.get(b, 0) for b in range(order[-1] + 1)]), F.col("_bucket"))
+    every = range(order[-1] + 1)
+    head = [F.get(_numbers([heads[b][c] if b in heads else 0 for b in every]), F.col("_bucket").cast("int")) for c in (0, 1)]
+    previous = F.get(_numbers([before.get(b, 0) for b in every]), F.col("_bucket").cast("int"))
     place = lambda b, copy: F.struct(b.alias("_at"), F.lit(copy).alias("_copy"))
     there = F.array(place(F.col("_bucket"), False))
-    sent = own.withColumn("_bucket", bucket).withColumn("_head", F.col("_key") == head)
-    sent = sent.select(*df.columns, "_key", F.xxhash64(*columns).alias("_tie"), F.inline(F.when(F.col("_head"), F.concat(there, F.array(place(previous, True)))).otherwise(there)))
-    follow = Window.partitionBy("_at").orderBy("_copy", F.desc("_key"), "_tie")
-    return sent.withColumn("next", F.lead(F.struct(*columns)).over(follow)).filter(~F.col("_copy")).drop("_key", "_tie", "_at", "_copy")
+    sent = own.withColumn("_bucket", bucket).withColumn("_head", (F.col("_rev") == head[0]) & (F.col("_tie") == head[1]))
+    sent = sent.select(*df.columns, "_rev", "_tie", F.inline(F.when(F.col("_head"), F.concat(there, F.array(place(previous, True)))).otherwise(there)))
+    follow = Window.partitionBy("_at").orderBy("_copy", "_rev", "_tie")
+    return sent.withColumn("next", F.lead(F.struct(*columns)).over(follow)).filter(~F.col("_copy")).drop("_rev", "_tie", "_at", "_copy")
 
 
 def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -187,9 +205,10 @@ def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text") -> Data
 
     The edited text has its last floor(n_chars / 2) code points replaced by the first as many (or all) of the next row's
     text. A null text counts as empty: its sketch is all zeros; two texts without words are alike (1). A single row is
-    its own next. Repeated rows follow each other. An empty table gives none. Other columns are not read.
+    its own next. Repeated rows follow each other. An empty table gives none. Other columns are not read. key is an
+    integer column.
     """
-    own = df.select(F.col(key).alias("key"), text_or_empty(text).alias("text")).withColumn("keys", digests(F.col("text")))
+    own = df.select(column(key).alias("key"), text_or_empty(column(text)).alias("text")).withColumn("keys", digests(F.col("text")))
     rows = with_next(own, "key", ["text", "keys"])
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
