@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import map_texts, worker_state
+from tesserae.llm.common import column, map_texts, worker_state
 
 #: Hash buckets of words; rank of the interactions; bound on the labelled rows that a model is fitted on.
 BUCKETS, RANK, SAMPLE = 1024, 8, 6000
@@ -111,28 +111,30 @@ class FactorisationMachine:
 
 
 def held_out(key: str = "doc_id"):
-    return F.coalesce(F.crc32(F.col(key).cast("string")) % 3 == 1, F.lit(False))
+    return F.coalesce(F.crc32(column(key).cast("string")) % 3 == 1, F.lit(False))
 
 
 def train(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", sample: int = SAMPLE) -> FactorisationMachine:
     """Fit on at most `sample` labelled rows outside the held-out third, those first by a hash of the key (the documented bound).
 
-    Labels other than 0 and 1, and null keys, are left out; a key with several labels counts once, with its largest.
+    Labels other than 0 and 1, and null keys, are left out; a key with several labels counts once, with its largest, and
+    one with several rows counts once, with the row of the least features.
     Without any labelled row the machine stays blank: every score is 0.5.
     """
     chosen = labels.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull() & ~held_out(key)).groupBy(F.col(key).alias("_key")).agg(F.max(label).alias("_label"))
     chosen = chosen.orderBy(F.xxhash64("_key"), "_key").limit(sample)
-    rows = df.select(key, text).join(F.broadcast(chosen), F.col(key) == F.col("_key")).select("_label", text)
+    rows = df.select(column(key).alias("key"), column(text).alias("text")).join(F.broadcast(chosen), F.col("key") == F.col("_key")).select("_label", "text", "key")
 
     def run(batches):
         for b in batches:
             cache: dict[bytes, int] = {}
             made = [text_features(t or "", cache) for t in b.column(1).to_pylist()]
             at = [np.flatnonzero(c) for _, c in made]
-            columns = [b.column(0), pa.array([s.tobytes() for s, _ in made], pa.binary()), pa.array([i.astype("<u2").tobytes() for i in at], pa.binary()), pa.array([c[i].astype("<u4").tobytes() for i, (_, c) in zip(at, made, strict=True)], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["y", "stats", "at", "n"])
+            columns = [b.column(2), b.column(0), pa.array([s.tobytes() for s, _ in made], pa.binary()), pa.array([i.astype("<u2").tobytes() for i in at], pa.binary()), pa.array([c[i].astype("<u4").tobytes() for i, (_, c) in zip(at, made, strict=True)], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "y", "stats", "at", "n"])
 
-    got = map_texts(rows, run, f"y {labels.schema[label].dataType.simpleString()}, stats binary, at binary, n binary").collect()
+    made = map_texts(rows, run, f"key {df.schema[key].dataType.simpleString()}, y {labels.schema[label].dataType.simpleString()}, stats binary, at binary, n binary")
+    got = made.groupBy("key").agg(F.min(F.struct("stats", "at", "n", "y")).alias("r")).select("r.*").collect()  # one row of each key: `sample` at most
     machine = FactorisationMachine(N_STATS + BUCKETS)
     if got:
         got.sort(key=lambda r: (bytes(r["stats"]), bytes(r["at"]), bytes(r["n"]), r["y"]))  # the order of arrival must not matter
@@ -166,12 +168,15 @@ def quality_scores(df: DataFrame, machine: FactorisationMachine, key: str = "doc
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(score)], names=[key, "score"])
 
     kind = df.schema[key].dataType.simpleString()
-    scored = map_texts(df.select(key, text), run, f"`{key}` {kind}, score double")
+    scored = map_texts(df.select(column(key), column(text)), run, f"`{key}` {kind}, score double")
     return scored.select(key, held_out(key).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def keep_quality(df: DataFrame, machine: FactorisationMachine, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of df, every column, whose text scores 0.5 or more."""
+    """The rows of df, every column, whose text scores 0.5 or more.
+
+    Null texts count as empty; repeated rows go or stay together; an empty table gives none. Columns may have any names.
+    """
     model = machine.__dict__
 
     def run(batches):
