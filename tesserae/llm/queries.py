@@ -27,6 +27,28 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture(table(spark, sf_dir, "documents"), weights=(5, 2, 1), most=3).drop("source")
 
 
+def mixing_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op1_mixing that SQL can express."""
+    return op1_mixing(spark, sf_dir).select("doc_id", "size", "source_size", F.round("target", 3).alias("target"))
+
+
+def _filled(rounds: int) -> str:
+    """Common table expressions: what a unit of weight gets, after so many rounds of filling the sources above their cap."""
+    out = "u0 AS (SELECT sum(w) / sum(weight) AS u FROM src)"
+    for i in range(rounds):
+        out += f",\n  u{i + 1} AS (SELECT coalesce((sum(w) - coalesce(sum(cap) FILTER (cap <= u * weight), 0)) / sum(weight) FILTER (cap > u * weight), 'inf'::DOUBLE) AS u FROM src, u{i} GROUP BY u)"
+    return out
+
+
+MIXING_SQL = f"""
+WITH docs AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size FROM documents),
+  own AS (SELECT source, sum(size) AS w, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS i FROM docs GROUP BY 1),
+  src AS (SELECT *, [5, 2, 1][(i % 3 + 1)::INTEGER]::DOUBLE AS weight, 3.0 * w AS cap FROM own),
+  {_filled(12)}
+SELECT doc_id, size, w::BIGINT AS source_size, round(least(cap, u * weight), 3) AS target FROM docs JOIN src ON docs.source IS NOT DISTINCT FROM src.source, u12
+"""
+
+
 def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return extracted(pages, learn_weights(pages))
@@ -121,6 +143,7 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 def queries() -> dict[str, Query]:
     return {
         "op1_mixing": op1_mixing,
+        "mixing_targets": mixing_targets,
         "op2_html_text": op2_html_text,
         "op3_fingerprints": op3_fingerprints,
         "op4_secrets": op4_secrets,
@@ -135,4 +158,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"secrets_base": SECRETS_SQL, "op8_substring_dedup": OP8_SQL, "op10_exact_dedup": OP10_SQL}
+    return {"mixing_targets": MIXING_SQL, "secrets_base": SECRETS_SQL, "op8_substring_dedup": OP8_SQL, "op10_exact_dedup": OP10_SQL}
