@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -205,20 +206,54 @@ def tag_statistics(df: DataFrame, tag: str, is_first: str = "is_first") -> DataF
     return n.withColumn("percent", 100.0 * F.col("n") / F.sum("n").over(Window.partitionBy("scope")))
 
 
+def hypergeometric_p(x: int, y: int, z: int, w: int) -> float:
+    """Two-sided p of a 2x2 table: the weight of all tables with its margins that are no likelier.
+
+    Likelihoods rise up to the mode and fall from there, so these tables are two tails; each is summed from its inner end
+    outwards by the ratio of neighbours, in pieces, until a piece adds nothing. The far tail's end is found by bisection.
+    """
+    lf = math.lgamma
+    rows, cols, n = x + y, x + z, x + y + z + w
+    low, high = max(0, rows + cols - n), min(rows, cols)
+    const = lf(rows + 1) + lf(n - rows + 1) + lf(cols + 1) + lf(n - cols + 1) - lf(n + 1)
+    log = lambda k: const - lf(k + 1) - lf(rows - k + 1) - lf(cols - k + 1) - lf(n - rows - cols + k + 1)
+    mode = min(high, max(low, (rows + 1) * (cols + 1) // (n + 2)))
+    limit = log(x) + 1e-7
+
+    def last(inside: int, outside: int) -> int | None:
+        """The place nearest the mode, on one side of it, that is no likelier than x; None if there is none."""
+        if log(outside) > limit:
+            return None
+        while abs(inside - outside) > 1:
+            mid = (inside + outside) // 2
+            inside, outside = (mid, outside) if log(mid) > limit else (inside, mid)
+        return outside
+
+    def tail(start: int, step: int) -> float:
+        total, at, end = 0.0, start, high if step > 0 else low
+        while True:
+            k = np.arange(at, min(end, at + 4095) + 1 if step > 0 else max(end, at - 4095) - 1, step, dtype=np.float64)
+            if step > 0:
+                ratio = (rows - k) * (cols - k) / ((k + 1) * np.maximum(n - rows - cols + k + 1, 1))
+            else:
+                ratio = k * np.maximum(n - rows - cols + k, 0) / ((rows - k + 1) * (cols - k + 1))
+            piece = math.exp(log(at)) * float(np.cumprod(np.r_[1.0, ratio[:-1]]).sum())
+            total, at = total + piece, at + step * len(k)
+            if (at - end) * step > 0 or piece <= total * 1e-15:
+                return total
+
+    if log(mode) <= limit:
+        return 1.0
+    ends = [(last(mode, low), -1) if low < mode else (None, -1), (last(mode, high), 1) if high > mode else (None, 1)]
+    return min(1.0, sum(tail(k, step) for k, step in ends if k is not None))
+
+
 def fisher_exact(table: DataFrame, a: str, b: str, c: str, d: str, pseudo: int = 1, alpha: float = 0.05) -> DataFrame:
     """Two-sided exact test of each row's 2x2 table (pseudo added to every cell): odds_ratio and p_value, p below alpha only."""
 
     @F.pandas_udf("double")
     def p_value(wa: pd.Series, wb: pd.Series, wc: pd.Series, wd: pd.Series) -> pd.Series:
-        def one(x: int, y: int, z: int, w: int) -> float:
-            lf = math.lgamma
-            rows, cols, n = x + y, x + z, x + y + z + w
-            const = lf(rows + 1) + lf(n - rows + 1) + lf(cols + 1) + lf(n - cols + 1) - lf(n + 1)
-            log = lambda k: const - lf(k + 1) - lf(rows - k + 1) - lf(cols - k + 1) - lf(n - rows - cols + k + 1)
-            here = log(x)
-            return min(1.0, sum(math.exp(v) for k in range(max(0, rows + cols - n), min(rows, cols) + 1) if (v := log(k)) <= here + 1e-7))
-
-        return pd.Series([one(*map(int, q)) for q in zip(wa, wb, wc, wd, strict=True)])
+        return pd.Series([hypergeometric_p(*map(int, q)) for q in zip(wa, wb, wc, wd, strict=True)])
 
     cells = [F.col(x) + pseudo for x in (a, b, c, d)]
     out = table.withColumn("odds_ratio", cells[0] * cells[3] / (cells[1] * cells[2]).cast("double")).withColumn("p_value", p_value(*cells))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAIN = "count"
@@ -16,11 +16,14 @@ def molecule_counts(df: DataFrame, cell: str, gene: str, umi: str, channels: dic
     Cells and genes that any channel touches are rows of the matrix; in long form a missing row is a zero.
     """
     channels = channels or {MAIN: F.lit(True)}
-    names = F.array_compact(F.array(*[F.when(p, F.lit(n)) for n, p in channels.items()]))
-    long = df.select(F.col(cell).alias("cell"), F.col(gene).alias("gene"), F.col(umi).alias("umi"), F.explode(names).alias("channel"))
-    # rows of one molecule are merged first: the second exchange then moves molecules, not reads
-    molecules = long.groupBy("cell", "gene", "channel", "umi").agg(F.count("*").alias("reads"))
-    return molecules.groupBy("cell", "gene", "channel").agg(F.count("umi").alias("umis"), F.sum("reads").alias("reads"))
+    own = df.select(F.col(cell).alias("cell"), F.col(gene).alias("gene"), F.col(umi).alias("umi"), *[p.alias(f"c{i}") for i, p in enumerate(channels.values())])
+    # rows of one molecule are merged first, all channels at once: the second exchange then moves molecules, not reads
+    molecules = own.groupBy("cell", "gene", "umi").agg(*[F.count_if(f"c{i}").alias(f"c{i}") for i in range(len(channels))])
+    per = molecules.groupBy("cell", "gene").agg(*[x for i in range(len(channels)) for x in (F.count(F.when(F.col(f"c{i}") > 0, F.col("umi"))).alias(f"u{i}"), F.sum(f"c{i}").alias(f"r{i}"))])
+    if len(channels) == 1:
+        return per.select("cell", "gene", F.lit(next(iter(channels))).alias("channel"), F.col("u0").alias("umis"), F.col("r0").alias("reads")).filter("reads > 0")
+    rows = F.array(*[F.struct(F.lit(n).alias("channel"), F.col(f"u{i}").alias("umis"), F.col(f"r{i}").alias("reads")) for i, n in enumerate(channels)])
+    return per.select("cell", "gene", F.inline(F.filter(rows, lambda r: r["reads"] > 0)))
 
 
 def dge(df: DataFrame, flavor: str = "exon", reads: bool = False, multi_mappers: bool = False, cell: str = "CB", gene: str = "gn", umi: str = "MI", function: str = "gf", mapq: str = "mapq") -> DataFrame:
@@ -69,10 +72,10 @@ def whitelisted(df: DataFrame, key: str, whitelist: DataFrame, by: str) -> DataF
 def cell_metrics(counts: DataFrame, mitochondrial: str = "^(mt|Mt|MT)-", reads: DataFrame | None = None) -> DataFrame:
     """Per cell: total_counts, n_genes_by_counts, total_counts_mt, pct_counts_mt, n_reads and reads_per_counts.
 
-    counts: (cell, gene, umis, reads). n_reads comes from `reads` (cell, n_reads; cells without are dropped) or from counts.
+    counts: (cell, gene, umis, reads), one row for each cell and gene. n_reads comes from `reads` (cell, n_reads; cells without are dropped) or from counts.
     """
     mt = F.sum(F.when(F.col("gene").rlike(mitochondrial), F.col("umis")).otherwise(0))
-    out = counts.groupBy("cell").agg(F.sum("umis").alias("total_counts"), F.countDistinct(F.when(F.col("umis") > 0, F.col("gene"))).alias("n_genes_by_counts"), mt.alias("total_counts_mt"), F.sum("reads").alias("n_reads"))
+    out = counts.groupBy("cell").agg(F.sum("umis").alias("total_counts"), F.count_if(F.col("umis") > 0).alias("n_genes_by_counts"), mt.alias("total_counts_mt"), F.sum("reads").alias("n_reads"))
     if reads is not None:
         out = out.drop("n_reads").join(reads.select("cell", "n_reads"), "cell")
     pct = F.coalesce(F.try_divide(F.col("total_counts_mt") * 100.0, F.col("total_counts")), F.lit(0.0))
@@ -80,7 +83,8 @@ def cell_metrics(counts: DataFrame, mitochondrial: str = "^(mt|Mt|MT)-", reads:
 
 
 def gene_metrics(counts: DataFrame) -> DataFrame:
-    return counts.groupBy("gene").agg(F.sum("umis").alias("total_counts"), F.countDistinct(F.when(F.col("umis") > 0, F.col("cell"))).alias("n_cells_by_counts"))
+    """Per gene: total_counts and n_cells_by_counts, from one row for each cell and gene."""
+    return counts.groupBy("gene").agg(F.sum("umis").alias("total_counts"), F.count_if(F.col("umis") > 0).alias("n_cells_by_counts"))
 
 
 def above_cutoff(metrics: DataFrame, cutoff: int, column: str = "total_counts") -> DataFrame:
@@ -89,11 +93,12 @@ def above_cutoff(metrics: DataFrame, cutoff: int, column: str = "total_counts")
 
 
 def filtered_matrix(counts: DataFrame, least_genes: int = 1, least_cells: int = 3) -> DataFrame:
-    """Cells with few genes go first, then genes in few of the cells that stay."""
-    cells = counts.groupBy("cell").agg(F.countDistinct("gene").alias("n")).filter(F.col("n") >= least_genes)
-    some = counts.join(cells.select("cell"), "cell", "left_semi")
-    genes = some.groupBy("gene").agg(F.countDistinct("cell").alias("n")).filter(F.col("n") >= least_cells)
-    return some.join(genes.select("gene"), "gene", "left_semi")
+    """Cells with few genes go first, then genes in few of the cells that stay; counts have one row for each cell and gene.
+
+    The matrix is counted once: what is counted per cell and per gene are windows over it, not joins with it.
+    """
+    some = counts.withColumn("_n", F.count("*").over(Window.partitionBy("cell"))).filter(F.col("_n") >= least_genes)
+    return some.withColumn("_n", F.count("*").over(Window.partitionBy("gene"))).filter(F.col("_n") >= least_cells).drop("_n")
 
 
 def large_enough(counts: DataFrame, least_cells: int = 100, least_genes: int = 1001) -> bool:
@@ -109,6 +114,6 @@ def bulk_counts(df: DataFrame, gene: str, discard: Column) -> DataFrame:
 def domain_counts(df: DataFrame, columns: dict[str, list[str]], other: str = "OTHER") -> DataFrame:
     """Counts of (measure, value) over fixed domains, zeros included; values outside a domain count as `other`."""
     pairs = F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), F.when(F.col(m).isin(*v), F.col(m)).otherwise(other).alias("value")) for m, v in columns.items()]))
-    seen = df.select(pairs.alias("p")).groupBy("p.measure", "p.value").agg(F.count("*").alias("n"))
+    seen = df.select(pairs.alias("p")).groupBy("p.measure", "p.value").agg(F.count("*").alias("n"))  # no more rows than the domains have
     every = df.sparkSession.createDataFrame([(m, x) for m, v in columns.items() for x in [*v, other]], "measure string, value string")
-    return F.broadcast(every).join(seen, ["measure", "value"], "left").select("measure", "value", F.coalesce("n", F.lit(0)).alias("n"))
+    return every.join(F.broadcast(seen), ["measure", "value"], "left").select("measure", "value", F.coalesce("n", F.lit(0)).alias("n"))

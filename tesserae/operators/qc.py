@@ -110,9 +110,12 @@ def run_mode_summary(cells: DataFrame, by: list[str]) -> DataFrame:
     return cells.groupBy(*by).agg(F.count("*").alias("n_beads"), F.bround(F.sum("n_reads") / 1e6, 3).alias("sum_reads"), *med)
 
 
-def sample_metrics(cells: DataFrame, n_genes: int, cutoff: int = 0) -> DataFrame:
+def sample_metrics(cells: DataFrame, counts: DataFrame, cutoff: int = 0, cell: str = "cell_bc", gene: str = "gene") -> DataFrame:
+    """One row: genes and spots of cells above the cutoff, and their medians. counts: (cell, gene) of the count matrix."""
     rows = cells.filter(F.col("total_counts") > cutoff)
-    return rows.agg(F.lit(n_genes).cast("long").alias("n_genes"), F.count("*").alias("n_spots"), F.median("total_counts").alias("median_umis"), F.median("n_genes_by_counts").alias("median_genes"))
+    genes = counts.join(rows.select(F.col(cell).alias("cell")), "cell", "left_semi").agg(F.countDistinct(gene).alias("n_genes"))
+    per = rows.agg(F.count("*").alias("n_spots"), F.median("total_counts").alias("median_umis"), F.median("n_genes_by_counts").alias("median_genes"))
+    return genes.crossJoin(per)  # two single rows
 
 
 def collapsed_counts(counts: DataFrame, by: list[str], name: str = "name", n: str = "n", threshold: float = 0.01, total: str | None = None, missing: str = "NA") -> DataFrame:
@@ -171,7 +174,13 @@ def overview(stats: DataFrame, sample: str, name: str, n: str, names: list[str],
     return wide.select(sample, F.col(total).alias(total), *[F.coalesce(F.try_divide(F.col(x) * 100.0, F.col(total)), F.lit(0.0)).alias(x) for x in names])
 
 
+def reads_order(logs: DataFrame, sample: str = "sample", reads: str = "reads") -> DataFrame:
+    """Mapping logs by falling reads, then sample."""
+    return logs.orderBy(F.desc(reads), sample)
+
+
 def normalised_histogram(counts: DataFrame, by: list[str], n: str = "n") -> DataFrame:
+    """counts with `fraction`: n over the sum of its group."""
     return counts.withColumn("fraction", F.col(n) / F.sum(n).over(Window.partitionBy(*by)))
 
 
@@ -180,13 +189,25 @@ def top_per_group(df: DataFrame, by: list[str], order: list[Column], n: int = 20
 
 
 def mismatch_bound(barcodes: DataFrame, code: str = "barcode", most: int = 3, alone: int = 4) -> int:
-    """Mismatches that demultiplexing can allow: least over pairs of ceil(distance / 2) - 1, at most `most`; `alone` for one."""
+    """Mismatches that demultiplexing can allow: least over pairs of ceil(distance / 2) - 1, at most `most`; `alone` for one.
+
+    Barcodes within 2 * most of each other agree in one of 2 * most + 1 pieces, so only those that share a piece meet;
+    where none do, `most` is allowed. Repeated barcodes are at distance 0. A code is compared up to the shorter length.
+    """
     from tesserae.functions.sequence import hamming
 
-    own = barcodes.select(F.col(code).alias("a")).withColumn("i", F.monotonically_increasing_id()).cache()
-    pairs = own.join(own.select(F.col("a").alias("b"), F.col("i").alias("j")), F.col("i") < F.col("j"))
-    least = pairs.agg(F.min(hamming(F.col("a"), F.col("b")))).first()[0]
-    return alone if least is None else min(most, math.ceil(least / 2) - 1)
+    own = barcodes.select(F.col(code).alias("a")).groupBy("a").agg(F.count("*").alias("n"))
+    n, several, short = own.agg(F.sum("n"), F.max("n"), F.min(F.length("a"))).first()
+    if (n or 0) < 2:
+        return alone
+    if several > 1:
+        return -1
+    parts = 2 * most + 1
+    cuts = [short * i // parts for i in range(parts + 1)]
+    pieces = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.substring("a", cuts[i] + 1, cuts[i + 1] - cuts[i]).alias("p")) for i in range(parts)]))
+    dealt = own.select("a", pieces.alias("x")).select("a", "x.i", "x.p")
+    least = dealt.join(dealt.withColumnRenamed("a", "b"), ["i", "p"]).filter("a < b").agg(F.min(hamming(F.col("a"), F.col("b")))).first()[0]
+    return most if least is None else min(most, math.ceil(least / 2) - 1)
 
 
 def attribute_by_sample(stats: DataFrame, samples: DataFrame, sample: str, kind: str, name: str, value: str = "value") -> DataFrame:

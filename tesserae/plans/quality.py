@@ -77,9 +77,10 @@ def run_mode_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qc.run_mode_summary(cells(spark, sf_dir), ["mode"])
 
 
-@query(f"WITH c AS ({CELLS_SQL}) SELECT 5::BIGINT AS n_genes, count(*) AS n_spots, median(total_counts) AS median_umis, median(n_genes_by_counts) AS median_genes FROM c WHERE total_counts > 3")
+@query(f"""WITH c AS ({CELLS_SQL}), g AS (SELECT count(DISTINCT gene) AS n_genes FROM ({MOLECULES_SQL}) WHERE cell IN (SELECT cell_bc FROM c WHERE total_counts > 3))
+SELECT (SELECT n_genes FROM g) AS n_genes, count(*) AS n_spots, median(total_counts) AS median_umis, median(n_genes_by_counts) AS median_genes FROM c WHERE total_counts > 3""")
 def sample_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return qc.sample_metrics(cells(spark, sf_dir), 5, 3)
+    return qc.sample_metrics(cells(spark, sf_dir), molecules(spark, sf_dir).select("cell", "gene"), 3)
 
 
 @query("""

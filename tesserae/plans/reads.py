@@ -30,37 +30,7 @@ def barcode_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bases(spark, sf_dir).select("doc_id", *[parse_slices(e, r1).alias(n) for n, e in x.items()])
 
 
-@query(f"""
-WITH b AS (SELECT doc_id, substr(seq, 1, 24) AS s FROM ({BASES_SQL})), c AS (SELECT doc_id, s, unnest(list_distinct(string_split(s, ''))) AS ch FROM b),
-  e AS (SELECT doc_id, s, coalesce(-sum((length(s) - length(replace(s, ch, ''))) / length(s)::DOUBLE * log2((length(s) - length(replace(s, ch, ''))) / length(s)::DOUBLE)), 0) AS h FROM c WHERE ch <> '' GROUP BY ALL)
-SELECT doc_id, round(h, 2) + 0.0 AS entropy, translate(reverse(s), 'ACGTN', 'TGCAN') AS reverse_complement FROM e
-""")
-def barcode_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = F.substring("seq", 1, 24)
-    return bases(spark, sf_dir).filter(F.length("seq") > 0).select("doc_id", sq.shannon_entropy(s).alias("entropy"), sq.reverse_complement(s).alias("reverse_complement"))
-
-
-@query(f"""
-WITH b AS (SELECT doc_id, substr(seq, 1, 24) AS s FROM ({BASES_SQL})), c AS (SELECT doc_id, s, unnest(range(1, length(s) + 1)) AS i FROM b),
-  g AS (SELECT doc_id, i, substr(s, i, 1) AS ch, CASE WHEN i > 1 AND substr(s, i, 1) = substr(s, i - 1, 1) THEN 0 ELSE 1 END AS start FROM c),
-  r AS (SELECT doc_id, sum(start) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM g), n AS (SELECT doc_id, run, count(*) AS n FROM r GROUP BY ALL)
-SELECT doc_id, sum(1 + length(n::VARCHAR))::BIGINT AS compressed, count(*) AS runs FROM n GROUP BY 1
-""")
-def barcode_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = F.substring("seq", 1, 24)
-    return bases(spark, sf_dir).filter(F.length("seq") > 0).select("doc_id", sq.compressed_length(s).cast("long").alias("compressed"), F.size(sq.runs(s)).cast("long").alias("runs"))
-
-
-@query(f"""
-WITH b AS (SELECT doc_id, substr(seq, 1, 40) AS s FROM ({BASES_SQL})), k AS (SELECT s, unnest(range(1, length(s) - 1)) AS i FROM b WHERE length(s) >= 3)
-SELECT (i - 1)::BIGINT AS position, substr(s, i, 3) AS kmer, count(*) AS n FROM k GROUP BY ALL
-""")
-def kmer_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = bases(spark, sf_dir).select(F.substring("seq", 1, 40).alias("s"))
-    return qc.kmer_positions(own, "s", 3).withColumn("position", F.col("position").cast("long"))
-
-
-#: The letters of whole texts with their places, for the queries that cut nothing off.
+#: The letters of whole texts with their places.
 LETTERS_SQL = f"""b AS (SELECT doc_id, seq AS s FROM ({BASES_SQL}) WHERE length(seq) > 0), c AS (SELECT doc_id, unnest(string_split(s, '')) AS ch, generate_subscripts(string_split(s, ''), 1) AS i FROM b)"""
 
 
@@ -69,7 +39,7 @@ WITH {LETTERS_SQL}, n AS (SELECT doc_id, ch, count(*) AS n FROM c GROUP BY ALL),
   e AS (SELECT doc_id, -sum(n / total::DOUBLE * log2(n / total::DOUBLE)) AS h FROM n JOIN t USING (doc_id) GROUP BY 1)
 SELECT doc_id, round(h, 2) + 0.0 AS entropy, translate(reverse(s), 'ACGTN', 'TGCAN') AS reverse_complement FROM e JOIN b USING (doc_id)
 """)
-def whole_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+def barcode_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = F.col("seq")
     return bases(spark, sf_dir).filter(F.length("seq") > 0).select("doc_id", sq.shannon_entropy(s).alias("entropy"), sq.reverse_complement(s).alias("reverse_complement"))
 
@@ -79,7 +49,7 @@ WITH {LETTERS_SQL}, g AS (SELECT doc_id, i, CASE WHEN ch = lag(ch) OVER (PARTITI
   r AS (SELECT doc_id, sum(start) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM g), n AS (SELECT doc_id, run, count(*) AS n FROM r GROUP BY ALL)
 SELECT doc_id, sum(1 + length(n::VARCHAR))::BIGINT AS compressed, count(*) AS runs FROM n GROUP BY 1
 """)
-def whole_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+def barcode_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = F.col("seq")
     return bases(spark, sf_dir).filter(F.length("seq") > 0).select("doc_id", sq.compressed_length(s).cast("long").alias("compressed"), F.size(sq.runs(s)).cast("long").alias("runs"))
 
@@ -88,7 +58,7 @@ def whole_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {LETTERS_SQL}, k AS (SELECT i, ch || lead(ch) OVER w || lead(ch, 2) OVER w AS kmer FROM c WINDOW w AS (PARTITION BY doc_id ORDER BY i))
 SELECT (i - 1)::BIGINT AS position, kmer, count(*) AS n FROM k WHERE kmer IS NOT NULL GROUP BY ALL
 """)
-def whole_kmer_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def kmer_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qc.kmer_positions(bases(spark, sf_dir), "seq", 3).withColumn("position", F.col("position").cast("long"))
 
 
@@ -135,17 +105,8 @@ def shared_run_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("n_regionkey", F.concat(F.lit("["), F.array_join("run_modes", ", "), F.lit("]")).alias("run_modes"))
 
 
-@query("""
-SELECT source, lang, count(*) AS n, sum(n_chars)::BIGINT AS n_chars FROM documents WHERE doc_id % 3 < 2 GROUP BY ALL
-""")
-def united_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars")
-    both = docs.filter("doc_id % 3 = 0").unionByName(docs.filter("doc_id % 3 = 1"))
-    return both.groupBy("source", "lang").agg(F.count("*").alias("n"), F.sum("n_chars").alias("n_chars"))
-
-
 @query("SELECT source, lang, count(*) AS n, sum(n_chars)::BIGINT AS n_chars FROM documents GROUP BY ALL")
-def whole_united_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def united_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars")
     part = F.coalesce(F.pmod("doc_id", F.lit(3)), F.lit(0))
     every = docs.filter(part == 0).unionByName(docs.filter(part == 1)).unionByName(docs.filter(part == 2))

@@ -1,4 +1,4 @@
-"""Long-read signatures: a user's first events of a day, in order, as the parts of a read."""
+"""Long-read signatures: a user's events of a day, in order, as the parts of a read."""
 
 from __future__ import annotations
 
@@ -7,21 +7,17 @@ from pyspark.sql import functions as F
 
 from tesserae.operators import longread, qc
 from tesserae.plans.common import table
-from tesserae.registry import Query, query, sql_of
+from tesserae.registry import query
 
-#: Up to six events of a user and day are a read; whole_... queries take all.
-FIRST = 6
 READS_SQL = """
 e AS (SELECT user_id || '/' || strftime(ts, '%Y-%m-%d') AS qname, event_type, ts, event_id, value FROM events),
   k AS (SELECT *, row_number() OVER (PARTITION BY qname ORDER BY ts, event_id) AS i FROM e),
-  r AS (SELECT qname, list(event_type ORDER BY i) AS sig FROM k WHERE i <= 6 GROUP BY 1)"""
+  r AS (SELECT qname, list(event_type ORDER BY i) AS sig FROM k GROUP BY 1)"""
 
 
-def signatures(spark: SparkSession, sf_dir: str, most: int | None = FIRST) -> DataFrame:
-    """Reads of the first `most` events of a user and day, all of them if None."""
+def signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").withColumn("qname", F.concat(F.col("user_id").cast("string"), F.lit("/"), F.date_format("ts", "yyyy-MM-dd")))
     k = e.withColumn("i", F.row_number().over(Window.partitionBy("qname").orderBy("ts", "event_id")))
-    k = k if most is None else k.filter(F.col("i") <= most)
     parts = F.array_sort(F.collect_list(F.struct((F.col("i") * 10).alias("start"), (F.col("i") * 10 + 5).alias("end"), F.col("event_type").alias("oligo"), F.col("value").alias("score"))))
     return k.groupBy("qname").agg((F.max("i") * 10 + 20).alias("L"), parts.alias("parts")).withColumn("signature", F.transform("parts", lambda p: p["oligo"]))
 
@@ -32,8 +28,8 @@ WITH {READS_SQL}, a AS (SELECT qname, unnest(sig) AS part, generate_subscripts(s
   rep AS (SELECT qname, part, count(*) AS n, min(i) AS first FROM b WHERE again = 1 GROUP BY ALL), top AS (SELECT qname, part FROM rep QUALIFY row_number() OVER (PARTITION BY qname ORDER BY n DESC, first) = 1)
 SELECT CASE WHEN top.part IS NULL THEN array_to_string(sig, ',') ELSE '?' || top.part || '+' END AS signature, count(*) AS n, 0::BIGINT AS reprimed, top.part IS NOT NULL AS concatemer FROM r LEFT JOIN top USING (qname) GROUP BY ALL
 """)
-def signature_counts(spark: SparkSession, sf_dir: str, most: int | None = FIRST) -> DataFrame:
-    return longread.signature_counts(signatures(spark, sf_dir, most))
+def signature_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return longread.signature_counts(signatures(spark, sf_dir))
 
 
 INTACT = ["view", "click", "purchase"]
@@ -42,25 +38,25 @@ INTACT = ["view", "click", "purchase"]
 @query(f"""
 WITH {READS_SQL} SELECT CASE WHEN contains(s, 'view,click,purchase') THEN 'view,click,purchase' WHEN contains(s, 'view,click') THEN 'view,click' WHEN contains(s, 'view') THEN 'view' ELSE '' END AS prefix, count(*) AS n FROM (SELECT array_to_string(sig, ',') AS s FROM r) GROUP BY 1
 """)
-def completeness(spark: SparkSession, sf_dir: str, most: int | None = FIRST) -> DataFrame:
-    return longread.completeness(signatures(spark, sf_dir, most), INTACT)
+def completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return longread.completeness(signatures(spark, sf_dir), INTACT)
 
 
 @query(f"""
-WITH {READS_SQL}, p AS (SELECT qname, i, event_type AS a, lead(event_type) OVER (PARTITION BY qname ORDER BY i) AS b FROM k WHERE i <= 6),
+WITH {READS_SQL}, p AS (SELECT qname, i, event_type AS a, lead(event_type) OVER (PARTITION BY qname ORDER BY i) AS b FROM k),
   h AS (SELECT qname, min(i) AS i FROM p WHERE a = 'view' AND b = 'click' GROUP BY 1)
 SELECT r.qname, h.i * 10 + 5 AS gap_start, h.i * 10 + 10 AS gap_end FROM r LEFT JOIN h USING (qname)
 """)
-def pair_gaps(spark: SparkSession, sf_dir: str, most: int | None = FIRST) -> DataFrame:
-    return longread.between(signatures(spark, sf_dir, most), "view", "click").select("qname", F.col("gap_start").cast("long").alias("gap_start"), F.col("gap_end").cast("long").alias("gap_end"))
+def pair_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return longread.between(signatures(spark, sf_dir), "view", "click").select("qname", F.col("gap_start").cast("long").alias("gap_start"), F.col("gap_end").cast("long").alias("gap_end"))
 
 
 @query(f"""
-WITH {READS_SQL}, f AS (SELECT qname, event_type AS oligo, i FROM k WHERE i <= 6)
+WITH {READS_SQL}, f AS (SELECT qname, event_type AS oligo, i FROM k)
 SELECT qname, min(i) * 10 AS "start", min(i) * 10 + 5 AS "end" FROM f WHERE oligo = 'purchase' GROUP BY 1
 """)
-def first_occurrence(spark: SparkSession, sf_dir: str, most: int | None = FIRST) -> DataFrame:
-    return longread.first_occurrence(signatures(spark, sf_dir, most), "purchase").select("qname", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"))
+def first_occurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return longread.first_occurrence(signatures(spark, sf_dir), "purchase").select("qname", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"))
 
 
 @query(f"""
@@ -68,8 +64,8 @@ WITH {READS_SQL}, s AS (SELECT array_to_string(sig, ',') AS s, list_distinct(sig
   x AS (SELECT s, list_sort(list_filter(['click', 'purchase', 'view'], lambda c: list_contains(u, c))) AS there, list_sort(list_filter(['click', 'purchase', 'view'], lambda c: NOT list_contains(u, c))) AS missing, list_sort(list_filter(u, lambda c: NOT list_contains(['click', 'purchase', 'view'], c))) AS extra FROM s)
 SELECT CASE WHEN s = 'view,click,purchase' THEN 'complete' ELSE CASE WHEN len(missing) <= len(there) THEN 'missing_' || array_to_string(missing, ',') ELSE 'only_' || array_to_string(there, ',') END || CASE WHEN len(extra) > 0 THEN '_extra_' || array_to_string(extra, ',') ELSE '' END END AS name, count(*) AS n FROM x GROUP BY 1
 """)
-def relative_names(spark: SparkSession, sf_dir: str, most: int | None = FIRST) -> DataFrame:
-    s = signatures(spark, sf_dir, most).select(qc.relative_name(F.array_join("signature", ","), INTACT).alias("name"))
+def relative_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = signatures(spark, sf_dir).select(qc.relative_name(F.array_join("signature", ","), INTACT).alias("name"))
     return s.groupBy("name").agg(F.count("*").alias("n"))
 
 
@@ -78,26 +74,15 @@ WITH {READS_SQL}, f AS (SELECT qname, CASE WHEN contains(s, 'view') THEN 1 ELSE
   c AS (SELECT CASE WHEN contains(s, 'view,click,purchase') THEN 3 WHEN contains(s, 'view,click') THEN 2 WHEN contains(s, 'view') THEN 1 ELSE 0 END AS d FROM f), n AS (SELECT p AS parts, count(*) AS n FROM c, range(1, 4) t(p) WHERE d >= p GROUP BY 1)
 SELECT parts, n, round(coalesce(n / lag(n) OVER (ORDER BY parts), 1), 6) AS rate FROM n
 """)
-def synthesis_rates(spark: SparkSession, sf_dir: str, most: int | None = FIRST) -> DataFrame:
-    c = longread.completeness(signatures(spark, sf_dir, most), INTACT).filter("prefix <> ''")
+def synthesis_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = longread.completeness(signatures(spark, sf_dir), INTACT).filter("prefix <> ''")
     up = F.transform(F.sequence(F.lit(1), F.size(F.split("prefix", ","))), lambda i: F.array_join(F.slice(F.split("prefix", ","), F.lit(1), i), ","))
     found = c.select(F.explode(up).alias("name"), "n").groupBy("name").agg(F.sum("n").alias("n"))
     return longread.synthesis_rates(found).select(F.col("parts").cast("long").alias("parts"), "n", F.round("rate", 6).alias("rate"))
 
 
-@query(f"WITH {READS_SQL} SELECT event_type AS oligo, i * 10.0 AS value, count(*) AS n FROM k WHERE i <= 6 GROUP BY ALL")
-def part_starts(spark: SparkSession, sf_dir: str, most: int | None = FIRST) -> DataFrame:
-    h = longread.part_histograms(signatures(spark, sf_dir, most)).filter("attr = 'start'")
+@query(f"WITH {READS_SQL} SELECT event_type AS oligo, i * 10.0 AS value, count(*) AS n FROM k GROUP BY ALL")
+def part_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = longread.part_histograms(signatures(spark, sf_dir)).filter("attr = 'start'")
     return h.groupBy("oligo", "value").agg(F.sum("freq").alias("n"))
 
-
-def _whole(own: Query) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return own(spark, sf_dir, most=None)
-
-    run.__name__ = f"whole_{own.__name__}"
-    return run
-
-
-for _own in (signature_counts, completeness, pair_gaps, first_occurrence, relative_names, synthesis_rates, part_starts):
-    query(sql_of(_own.__name__).replace(f" WHERE i <= {FIRST}", ""))(_whole(_own))

@@ -24,11 +24,6 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return put
 
 
-def sql_of(name: str) -> str:
-    """The SQL of a query that is registered already."""
-    return _SQL[name]
-
-
 def queries() -> dict[str, Query]:
     from tesserae import plans  # noqa: F401  its modules register themselves
 

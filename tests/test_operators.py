@@ -169,7 +169,13 @@ def test_mesh(spark):
     for r in inside:  # nearest in the lattice's own metric
         d = lambda c, r=r: ((r["x_pos"] + 1 - c[1]) / sx) ** 2 + 3 * ((r["y_pos"] + 2 - c[2]) / sy) ** 2
         assert r["h"] is None or d((0, r["h"]["cx"], r["h"]["cy"])) <= min(map(d, centres)) + 1e-9
-    assert mesh.nonsingular(1.0, 1.0) == (0.999, 1.001) and mesh.nonsingular(0.0, 0.0) == (-0.001, 0.001) and mesh.nonsingular(3, 1) == (1, 3)
+    assert mesh.divisible(1.0, 1.0) == (0.999, 1.001) and mesh.divisible(0.0, 0.0) == (-0.001, 0.001) and mesh.divisible(3, 1) == (1, 3)
+    nan, inf = float("nan"), float("inf")
+    assert {mesh.divisible(*e) for e in ((nan, 1.0), (1.0, nan), (inf, 2.0), (-inf, inf), (nan, nan))} == {(-0.001, 0.001)}
+    for e in ((5.0, 5.0), (-5.0, -5.0), (1e15, 1e15 + 0.125), (5e-324, 5e-324), (-1e300, -1e300), (7.0, 7.0 + 1e-15), (-2.0, 3.0), (0.0, 1e-300)):
+        low, high = mesh.divisible(*e)
+        assert low < high and low <= min(e) and high >= max(e), e
+    assert mesh.divisible(-2.0, 3.0) == (-2.0, 3.0) and mesh.divisible(0.0, 1e-300) == (0.0, 1e-300)
     with pytest.raises(ValueError):
         mesh.meshed(spots, mesh_type="square")
 
