@@ -120,6 +120,18 @@ def tag(tags: Column, name: str, default: str = "NA") -> Column:
     return F.coalesce(tags[name], F.lit(default))
 
 
+def random_barcode(length: int, *key: Column, seed: int = 0, letters: str = "ACTG") -> Column:
+    """A string of random letters, the same for the same key and seed."""
+    each = [F.substring(F.lit(letters), F.pmod(F.xxhash64(F.lit(seed), F.lit(i), *key), F.lit(len(letters))).cast("int") + 1, F.lit(1)) for i in range(length)]
+    return F.concat(*each) if each else F.lit("")
+
+
+def sample_name(path: Column) -> Column:
+    """A sample's name from its file's: without folders, what conversion tools put around it, and beyond its second _ part."""
+    base = F.regexp_replace(F.regexp_replace(path, "^.*/", ""), r"sts_|pb_|ds_|\.fq|\.bam|lima\.", "")
+    return F.when(F.length(base) - F.length(F.replace(base, F.lit("_"), F.lit(""))) > 1, F.substring_index(base, "_", 2)).otherwise(base)
+
+
 def oligo_partner(name: Column) -> Column:
     """X <-> X_RC."""
     return F.when(name.endswith("_RC"), F.regexp_replace(name, "_RC$", "")).otherwise(F.concat(name, F.lit("_RC")))

@@ -292,6 +292,18 @@ def run_mode_matrix(spark: SparkSession, config: Config, names: list[str]) -> Da
     return spark.createDataFrame([(v, *[None if m.get(v) is None else str(m[v]) for m in modes.values()]) for v in every], ", ".join(["variable string", *[f"`{n}` string" for n in names]]))
 
 
+def signature_catalog(text: str) -> tuple[dict[str, str], dict[str, dict]]:
+    """(blocks, signatures) of a YAML file of long-read signatures: oligos with their reverse complements as X_RC, and every
+    signature with the fields of the default one where it has none."""
+    import yaml
+
+    own = yaml.safe_load(text)
+    turn = str.maketrans("ACGTUNRYSWKMBDHVacgtunryswkmbdhv", "TGCAANYRSWMKVHDBtgcaanyrswmkvhdb")
+    blocks = {n: s for name, seq in own["blocks"].items() for n, s in ((name, seq), (f"{name}_RC", seq[::-1].translate(turn)))}
+    default = own["signatures"][own["default"]]
+    return blocks, {n: default | d for n, d in own["signatures"].items()}
+
+
 def sample_info(df: DataFrame, project_id: str, sample_id: str) -> DataFrame:
     """What a report says about one sample."""
     own = df.filter((F.col("project_id") == project_id) & (F.col("sample_id") == sample_id))

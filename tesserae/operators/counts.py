@@ -101,6 +101,12 @@ def filtered_matrix(counts: DataFrame, least_genes: int = 1, least_cells: int =
     return some.withColumn("_n", F.count("*").over(Window.partitionBy("gene"))).filter(F.col("_n") >= least_cells).drop("_n")
 
 
+def sorted_axes(counts: DataFrame) -> DataFrame:
+    """The matrix with its cells and genes in order, each numbered from 0: (cell, gene, i, j, ...), sorted."""
+    cells, genes = (counts.select(c).distinct().withColumn(n, F.row_number().over(Window.orderBy(c)) - 1) for c, n in (("cell", "i"), ("gene", "j")))
+    return counts.join(cells, "cell").join(genes, "gene").orderBy("i", "j")
+
+
 def large_enough(counts: DataFrame, least_cells: int = 100, least_genes: int = 1001) -> bool:
     n = counts.agg(F.countDistinct("cell"), F.countDistinct("gene")).first()
     return n[0] >= least_cells and n[1] >= least_genes

@@ -147,6 +147,15 @@ def matching_signature(reads: DataFrame, query: list[str], substring: bool = Fal
     return out.withColumn("from", first).withColumn("to", first + len(query))
 
 
+def with_signatures(reads: DataFrame, include: str | None = None, exclude: str | None = None, signature: str = "signature") -> DataFrame:
+    """Reads whose signature, joined by commas, holds one text and doesn't hold another."""
+    text = F.array_join(signature, ",")
+    for part, wanted in ((include, True), (exclude, False)):
+        if part:
+            reads = reads.filter(text.contains(part) if wanted else ~text.contains(part))
+    return reads
+
+
 def part_dimensions(reads: DataFrame) -> DataFrame:
     """Arrays starts, ends and scores of the parts from..to of matching reads."""
     some = F.slice("parts", F.col("from") + 1, F.col("to") - F.col("from"))

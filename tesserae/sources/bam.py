@@ -1,11 +1,12 @@
 """BAM files without a native library: BGZF members inflated and records decoded in Arrow batches.
 
-A file is one row of Spark's binaryFile source, so any file system works; files up to 2 GB are read, larger ones are to be
-split or converted first.
+A file is one row of Spark's binaryFile source, so any file system works; files up to 2 GB are read (a row's limit), larger
+ones are to be split first. Its members are inflated one after the other, so no task holds more than the file and a record.
 """
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -18,14 +19,60 @@ SCHEMA = "file string, record_no long, qname string, flag int, rname string, pos
 SIZES = {"c": "b", "C": "B", "s": "h", "S": "H", "i": "i", "I": "I", "f": "f"}
 
 
-def inflated(data: bytes) -> bytes:
-    """All gzip members of a BGZF file."""
-    out, at = [], 0
-    while at < len(data):
+def inflated(data: bytes) -> Iterator[bytes]:
+    """The contents of a file's gzip members, one after the other; the data is never copied as a whole.
+
+    A BGZF member says how long it is (the BC field of its header); other members are inflated piece by piece.
+    """
+    view, at = memoryview(data), 0
+    while at < len(view):
+        size = member_size(view, at)
+        if size:
+            yield zlib.decompress(view[at : at + size], 31)
+            at += size
+            continue
         d = zlib.decompressobj(31)
-        out.append(d.decompress(data[at:]) + d.flush())
-        at = len(data) - len(d.unused_data)
-    return b"".join(out)
+        while not d.eof and at < len(view):
+            piece = view[at : at + (1 << 16)]
+            out = d.decompress(piece)
+            at += len(piece) - len(d.unused_data)
+            if out:
+                yield out
+
+
+def member_size(view: memoryview, at: int) -> int:
+    """Bytes of the BGZF member at a place; 0 if it doesn't say."""
+    if len(view) < at + 18 or view[at + 3] != 4:
+        return 0
+    end, p = at + 12 + int.from_bytes(view[at + 10 : at + 12], "little"), at + 12
+    while p + 4 <= end:
+        length = int.from_bytes(view[p + 2 : p + 4], "little")
+        if bytes(view[p : p + 2]) == b"BC" and length == 2:
+            return int.from_bytes(view[p + 4 : p + 6], "little") + 1
+        p += 4 + length
+    return 0
+
+
+class Pieces:
+    """A stream over pieces of bytes of which only what is asked for is held."""
+
+    def __init__(self, pieces: Iterator[bytes]):
+        self.pieces, self.held, self.at = pieces, b"", 0
+
+    def read(self, n: int) -> bytes:
+        """The next n bytes; fewer at the end."""
+        have = len(self.held) - self.at
+        if have < n:
+            parts = [self.held[self.at :]]
+            for p in self.pieces:
+                parts.append(p)
+                have += len(p)
+                if have >= n:
+                    break
+            self.held, self.at = b"".join(parts), 0
+        out = self.held[self.at : self.at + n]
+        self.at += len(out)
+        return out
 
 
 def _tags(raw: bytes) -> list[tuple[str, str]]:
@@ -55,21 +102,20 @@ def _tags(raw: bytes) -> list[tuple[str, str]]:
 
 def records(data: bytes) -> Iterator[tuple]:
     """(qname, flag, rname, pos from 1, mapq, cigar, seq, qual, tags) of every record."""
-    raw = inflated(data)
-    if raw[:4] != b"BAM\1":
+    src = Pieces(inflated(data))
+    number = lambda: struct.unpack("<i", src.read(4))[0]
+    if src.read(4) != b"BAM\1":
         raise ValueError("not a BAM file")
-    at = 8 + struct.unpack_from("<i", raw, 4)[0]
-    n = struct.unpack_from("<i", raw, at)[0]
-    at, names = at + 4, []
-    for _ in range(n):
-        size = struct.unpack_from("<i", raw, at)[0]
-        names.append(raw[at + 4 : at + 3 + size].decode())
-        at += 8 + size
-    while at < len(raw):
-        size, ref, pos, l_name, mapq, _, n_ops, flag, l_seq = struct.unpack_from("<iiiBBHHHi", raw, at)
-        end, p = at + 4 + size, at + 36
-        qname = raw[p : p + l_name - 1].decode()
-        p += l_name
+    src.read(number())
+    names = []
+    for _ in range(number()):
+        names.append(src.read(number())[:-1].decode())
+        src.read(4)
+    while len(head := src.read(4)) == 4:
+        raw = src.read(struct.unpack("<i", head)[0])
+        ref, pos, l_name, mapq, _, n_ops, flag, l_seq = struct.unpack_from("<iiBBHHHi", raw)
+        p = 32 + l_name
+        qname = raw[32 : p - 1].decode()
         cigar = "".join(f"{op >> 4}{OPS[op & 15]}" for op in struct.unpack_from(f"<{n_ops}I", raw, p)) or "*"
         p += 4 * n_ops
         packed = raw[p : p + (l_seq + 1) // 2]
@@ -77,8 +123,65 @@ def records(data: bytes) -> Iterator[tuple]:
         p += (l_seq + 1) // 2
         qual = raw[p : p + l_seq]
         text = "*" if not qual or qual[0] == 255 else bytes(q + 33 for q in qual).decode()
-        yield qname, flag, names[ref] if ref >= 0 else "*", pos + 1, mapq, cigar, seq, text, _tags(raw[p + l_seq : end])
-        at = end
+        yield qname, flag, names[ref] if ref >= 0 else "*", pos + 1, mapq, cigar, seq, text, _tags(raw[p + l_seq :])
+
+
+#: The empty member that ends a BGZF file (fixed value); bytes of records in a member, at most.
+END_OF_FILE = bytes.fromhex("1f8b08040000000000ff0600424302001b0003000000000000000000")
+MEMBER = 0xFF00
+
+
+def member(raw: bytes) -> bytes:
+    """One BGZF member."""
+    d = zlib.compressobj(6, zlib.DEFLATED, -15)
+    body = d.compress(raw) + d.flush()
+    return struct.pack("<BBBBIBBHBBHH", 31, 139, 8, 4, 0, 0, 255, 6, 66, 67, 2, len(body) + 25) + body + struct.pack("<II", zlib.crc32(raw), len(raw))
+
+
+def encoded(qname: str, flag: int, ref: int, pos: int, mapq: int, cigar: str, seq: str, qual: str, tags: dict[str, str]) -> bytes:
+    """A record's bytes; tags are written as text, whole numbers as such."""
+    seq, cigar = ("" if seq in (None, "*") else seq), ("" if cigar in (None, "*") else cigar)
+    ops = [(int(n), o) for n, o in re.findall(r"(\d+)([MIDNSHP=X])", cigar)]
+    codes = [BASES.find(c) if c in BASES else 15 for c in seq.upper()] + [0]
+    packed = bytes(codes[i] << 4 | codes[i + 1] for i in range(0, len(seq), 2))
+    scores = bytes([255] * len(seq)) if qual in (None, "*") else bytes(ord(c) - 33 for c in qual)
+    own = b"".join(k.encode() + (b"i" + struct.pack("<i", int(v)) if re.fullmatch(r"-?\d{1,9}", v) else b"Z" + v.encode() + b"\0") for k, v in sorted((tags or {}).items()))
+    body = struct.pack("<iiBBHHHiiii", ref, pos - 1, len(qname) + 1, mapq, 4680, len(ops), flag, len(seq), -1, -1, 0)
+    body += qname.encode() + b"\0" + b"".join(struct.pack("<I", n << 4 | OPS.index(o)) for n, o in ops) + packed + scores + own
+    return struct.pack("<i", len(body)) + body
+
+
+def write_bam(df: DataFrame, path: str, references: dict[str, int] | None = None, header: str = "@HD\tVN:1.6\n") -> None:
+    """One BAM file of df's records (qname, flag, rname, pos, mapq, cigar, seq, qual, tags), partition after partition.
+
+    Records are encoded and compressed in the tasks; the driver only appends their members to the file, which Spark's own
+    file system opens.
+    """
+    refs = dict(references or {})
+    at = {n: i for i, n in enumerate(refs)}
+
+    def run(batches):
+        for b in batches:
+            raw, out = bytearray(), []
+            for r in b.to_pylist():
+                raw += encoded(r["qname"], r["flag"], at.get(r["rname"], -1), r["pos"], r["mapq"], r["cigar"], r["seq"], r["qual"], dict(r["tags"] or {}))
+            for i in range(0, len(raw), MEMBER):
+                out.append(member(bytes(raw[i : i + MEMBER])))
+            yield pa.RecordBatch.from_arrays([pa.array([b"".join(out)], pa.binary())], names=["members"])
+
+    names = ["qname", "flag", "rname", "pos", "mapq", "cigar", "seq", "qual", "tags"]
+    text = (header + "".join(f"@SQ\tSN:{n}\tLN:{size}\n" for n, size in refs.items() if f"SN:{n}\t" not in header)).encode()
+    head = b"BAM\1" + struct.pack("<i", len(text)) + text + struct.pack("<i", len(refs)) + b"".join(struct.pack("<i", len(n) + 1) + n.encode() + b"\0" + struct.pack("<i", size) for n, size in refs.items())
+    spark = df.sparkSession
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(spark._jsc.hadoopConfiguration()).create(p, True)
+    try:
+        out.write(bytearray(member(head)))
+        for r in df.select(*names).mapInArrow(run, "members binary").toLocalIterator(prefetchPartitions=True):
+            out.write(bytearray(r["members"]))
+        out.write(bytearray(END_OF_FILE))
+    finally:
+        out.close()
 
 
 def read_bam(spark: SparkSession, paths: str | list[str]) -> DataFrame:

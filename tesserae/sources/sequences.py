@@ -17,6 +17,22 @@ def read_fastq(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return rec.agg(F.regexp_replace(part(0), "^@", "").alias("name"), part(1).alias("seq"), part(3).alias("qual")).filter("seq IS NOT NULL")
 
 
+def read_any(spark: SparkSession, paths: str | list[str], skim: int = 0) -> DataFrame:
+    """(pair, record_no, name, seq, qual) of read files by their extension, BAM or FASTQ (gzip included); globs are allowed.
+
+    skim: only every n-th record of a file, from its first.
+    """
+    from tesserae.sources.bam import read_bam
+
+    every = [paths] if isinstance(paths, str) else list(paths)
+    bams, fastqs = [p for p in every if p.endswith(".bam")], [p for p in every if not p.endswith(".bam")]
+    parts = [read_fastq(spark, fastqs)] if fastqs else []
+    if bams:
+        parts.append(read_bam(spark, bams).select(F.col("file").alias("pair"), "record_no", F.col("qname").alias("name"), "seq", "qual"))
+    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return rows.filter(F.col("record_no") % skim == 0) if skim > 1 else rows
+
+
 def read_reads(spark: SparkSession, r2: list[str], r1: list[str | None] | None = None) -> DataFrame:
     """Reads of all file pairs, numbered by pair and record; without R1 as single-end reads."""
     out = None

@@ -33,15 +33,21 @@ def read_gtf(spark: SparkSession, paths: str | list[str], features: tuple[str, .
 ALIASES = {"xcoord": "x_pos", "ycoord": "y_pos", "barcodes": "cell_bc", "barcode": "cell_bc"}
 
 
-def read_barcodes(spark: SparkSession, path: str, puck_id: str | None = None) -> DataFrame:
-    """(cell_bc, x_pos, y_pos, puck_id) of a table separated by comma, bar or tab; the first of equal barcodes stays."""
+def read_barcodes(spark: SparkSession, path: str, puck_id: str | None = None, puck_column: str | None = None, pattern: str = PUCK_NAME) -> DataFrame:
+    """(cell_bc, x_pos, y_pos, puck_id) of a table separated by comma, bar or tab; the first of equal barcodes stays.
+
+    The puck's id is given, a column of the table, or the first group of `pattern` in the file's name (else its stem).
+    """
     lines = numbered_lines(spark, path)
     head = lines.filter("line_no = 0").first()["value"]
     sep = max(",|\t", key=head.count)
     names = [ALIASES.get(h.strip().strip('"'), h.strip().strip('"')) for h in head.split(sep)]
     f = F.split("value", f"\\Q{sep}\\E")
-    puck = F.lit(puck_id) if puck_id else F.coalesce(F.nullif(F.regexp_extract("file", PUCK_NAME, 1), F.lit("")), F.regexp_extract("file", r"([^/]+?)(?:\.[^/]*)?$", 1))
     get = lambda n: F.get(f, F.lit(names.index(n)))
+    if puck_id or puck_column:
+        puck = F.lit(puck_id) if puck_id else get(ALIASES.get(puck_column, puck_column))
+    else:
+        puck = F.coalesce(F.nullif(F.regexp_extract("file", pattern, 1), F.lit("")), F.regexp_extract("file", r"([^/]+?)(?:\.[^/]*)?$", 1))
     rows = lines.filter("line_no > 0 AND value <> ''").select("line_no", get("cell_bc").alias("cell_bc"), get("x_pos").cast("double").alias("x_pos"), get("y_pos").cast("double").alias("y_pos"), puck.alias("puck_id"))
     return keep_first(rows, ["cell_bc"], ["line_no"]).drop("line_no")
 
@@ -129,15 +135,19 @@ def read_downsampled(spark: SparkSession, paths: dict[int, str]) -> DataFrame:
 def read_sample_sheet(spark: SparkSession, path: str) -> DataFrame:
     """(project_id, sample_id, demux_index, species, investigator, sequencing_date) of an Illumina sheet's [Data] table;
     the species is the last _ part of the description."""
-    lines = [r["value"] for r in numbered_lines(spark, path).orderBy("line_no").limit(100_000).collect()]
-    cut = next(i for i, x in enumerate(lines) if x.startswith("[Data]"))
-    meta = dict(x.split(",")[:2] for x in lines[:cut] if x.count(",") >= 1)
-    head = lines[cut + 1].split(",")
-    rows = []
-    for x in filter(None, lines[cut + 2 :]):
-        r = dict(zip(head, x.split(","), strict=False))
-        rows.append((r.get("Sample_Project"), r.get("Sample_ID"), r.get("index"), (r.get("Description") or "").split("_")[-1], meta.get("Investigator"), meta.get("Date")))
-    return spark.createDataFrame(rows, "project_id string, sample_id string, demux_index string, species string, investigator string, sequencing_date string")
+    lines = numbered_lines(spark, path)
+    f = F.split("value", ",")
+    at = lambda i: F.get(f, F.lit(i))
+    cut = lines.filter(F.col("value").startswith("[Data]")).agg(F.min("line_no")).first()[0]
+    if cut is None:
+        raise ValueError(f"{path}: no [Data] table")
+    head = lines.filter(F.col("line_no") == cut + 1).first()["value"].split(",")
+    named = [F.max_by(F.when(at(0) == n, at(1)), F.when(at(0) == n, F.col("line_no"))) for n in ("Investigator", "Date")]
+    who, when = lines.filter(F.col("line_no") < cut).agg(*named).first()
+    get = lambda n: at(head.index(n)) if n in head else F.lit(None).cast("string")
+    rows = lines.filter((F.col("line_no") > cut + 1) & (F.col("value") != ""))
+    species = F.element_at(F.split(F.coalesce(get("Description"), F.lit("")), "_"), -1)
+    return rows.select(get("Sample_Project").alias("project_id"), get("Sample_ID").alias("sample_id"), get("index").alias("demux_index"), species.alias("species"), F.lit(who).alias("investigator"), F.lit(when).alias("sequencing_date"))
 
 
 def write_stats(df: DataFrame, path: str) -> None:
