@@ -115,7 +115,8 @@ def sample_metrics(cells: DataFrame, counts: DataFrame, cutoff: int = 0, cell: s
     rows = cells.filter(F.col("total_counts") > cutoff)
     genes = counts.join(rows.select(F.col(cell).alias("cell")), "cell", "left_semi").agg(F.countDistinct(gene).alias("n_genes"))
     per = rows.agg(F.count("*").alias("n_spots"), F.median("total_counts").alias("median_umis"), F.median("n_genes_by_counts").alias("median_genes"))
-    return genes.crossJoin(per)  # two single rows
+    both = per.unionByName(genes, allowMissingColumns=True)  # two single rows become one
+    return both.agg(*[F.max(c).alias(c) for c in ("n_genes", "n_spots", "median_umis", "median_genes")])
 
 
 def collapsed_counts(counts: DataFrame, by: list[str], name: str = "name", n: str = "n", threshold: float = 0.01, total: str | None = None, missing: str = "NA") -> DataFrame:

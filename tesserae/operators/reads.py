@@ -141,9 +141,23 @@ def every_nth(df: DataFrame, n: int, number: str = "record_no") -> DataFrame:
     return df.filter(F.col(number) % n == 0) if n > 1 else df
 
 
+def sample_number(key: str) -> Column:
+    """From 0 to 99 by a hash of the name."""
+    return F.pmod(F.xxhash64(key), F.lit(100))
+
+
 def subsampled(df: DataFrame, percent: int, key: str = "qname") -> DataFrame:
     """A deterministic sample by name: all rows of a name stay together, larger samples hold smaller ones."""
-    return df.filter(F.pmod(F.xxhash64(key), F.lit(100)) < percent)
+    return df.filter(sample_number(key) < percent)
+
+
+def in_samples(df: DataFrame, number: Column, step: int = 10) -> DataFrame:
+    """df once for every sample (pct: step, 2 step ... 100) that a row is in: those above its number from 0 to 99.
+
+    One scan makes all samples, and larger ones hold smaller ones.
+    """
+    first = (F.floor(number / step) + 1) * step
+    return df.withColumn("pct", F.explode(F.sequence(first.cast("long"), F.lit(100).cast("long"), F.lit(step).cast("long"))))
 
 
 def random_rows(df: DataFrame, n: int, key: str, seed: int = 0) -> DataFrame:

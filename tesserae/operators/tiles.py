@@ -110,7 +110,8 @@ def known_barcodes(detected: DataFrame, known: DataFrame, key: str = "cell_bc",
     listed = known.select(F.col(by).alias("bc")).distinct().withColumn("hit", F.lit(1))
     n = own.join(listed, "bc", "left").agg(F.count("*").alias("n_detected"), F.count("hit").alias("n_known"))
     back = own.select(F.reverse("bc").alias("bc")).join(listed, "bc", "left_semi").agg(F.count("*").alias("n_reversed"))
-    return n.crossJoin(back)  # two single rows
+    both = n.unionByName(back, allowMissingColumns=True)  # two single rows become one
+    return both.agg(*[F.max(c).alias(c) for c in ("n_detected", "n_known", "n_reversed")])
 
 
 def image_coordinates(spots: DataFrame, scale: float, x0: float = 0.0, y0: float = 0.0, x: str = "x_pos", y: str = "y_pos") -> DataFrame:

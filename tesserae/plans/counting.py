@@ -181,3 +181,117 @@ def gene_variability(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = counts.molecule_counts(line, "l_suppkey", "p_brand", "l_orderkey")
     n = c.select("cell").distinct().count()
     return matrix.gene_dispersion(matrix.normalised(c, 1000.0), n).select("gene", F.round("mean", 6).alias("mean"), F.round("var", 6).alias("var"))
+
+
+FLAVORED_SQL = """SELECT l_suppkey AS cell, l_orderkey AS umi, l_returnflag AS gene, CASE WHEN l_quantity < 15 THEN 'CODING' WHEN l_quantity < 25 THEN 'UTR' WHEN l_quantity < 40 THEN 'INTRONIC' ELSE 'INTERGENIC' END AS gf, CASE WHEN l_tax < 0.05 THEN 255 ELSE 3 END AS mapq FROM lineitem"""
+
+
+@query(f"""
+WITH r AS ({FLAVORED_SQL}), f AS (SELECT * FROM (VALUES ('exon', ['CODING', 'UTR']), ('intron', ['INTRONIC']), ('all', ['CODING', 'UTR', 'INTRONIC'])) t(flavor, gfs)),
+  x AS (SELECT flavor, multi, cell, gene, count(DISTINCT umi) AS umis, count(*) AS reads FROM r, f, (VALUES (false), (true)) m(multi) WHERE list_contains(gfs, gf) AND (multi OR mapq >= 255) GROUP BY ALL)
+SELECT flavor, multi, false AS reads, cell, gene, umis AS n FROM x UNION ALL SELECT flavor, multi, true, cell, gene, reads FROM x
+""")
+def dge_flavors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every flavour: exon, intron, all; unique or several mappings; molecules or reads."""
+    q = F.col("l_quantity")
+    gf = F.when(q < 15, "CODING").when(q < 25, "UTR").when(q < 40, "INTRONIC").otherwise("INTERGENIC")
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("CB"), F.col("l_orderkey").alias("MI"), F.col("l_returnflag").alias("gn"), gf.alias("gf"), F.when(F.col("l_tax") < 0.05, 255).otherwise(3).alias("mapq"))
+    out = None
+    for flavor in counts.FLAVORS:
+        for multi in (False, True):
+            for in_reads in (False, True):
+                own = counts.dge(rows, flavor, in_reads, multi).select(F.lit(flavor).alias("flavor"), F.lit(multi).alias("multi"), F.lit(in_reads).alias("reads"), "cell", "gene", "n")
+                out = own if out is None else out.unionByName(own)
+    return out
+
+
+@query(f"WITH m AS ({MOLECULES_SQL}), c AS (SELECT cell, gene, count(DISTINCT umi) AS umis FROM m GROUP BY ALL) SELECT gene, sum(umis)::BIGINT AS total_counts, count(*) FILTER (umis > 0) AS n_cells_by_counts FROM c GROUP BY 1")
+def gene_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counts.gene_metrics(counts.molecule_counts(molecules(spark, sf_dir), "cell", "gene", "umi"))
+
+
+@query("SELECT p_brand AS gene, count(*) FILTER (l_quantity >= 10 AND l_tax < 0.07) AS counted, count(*) FILTER (l_quantity < 10 OR l_tax >= 0.07) AS discarded FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1")
+def bulk_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    line = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
+    return counts.bulk_counts(line, "p_brand", F.when(F.col("l_quantity") < 10, "short").when(F.col("l_tax") >= 0.07, "multi"))
+
+
+@query("""
+WITH c AS (SELECT l_suppkey AS cell, l_returnflag AS gene, count(DISTINCT l_orderkey) AS umis FROM lineitem GROUP BY ALL)
+SELECT cell, gene, umis, (dense_rank() OVER (ORDER BY cell) - 1)::INTEGER AS i, (dense_rank() OVER (ORDER BY gene) - 1)::INTEGER AS j FROM c
+""")
+def sorted_axes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = counts.molecule_counts(table(spark, sf_dir, "lineitem"), "l_suppkey", "l_returnflag", "l_orderkey").select("cell", "gene", "umis")
+    return counts.sorted_axes(c).select("cell", "gene", "umis", "i", "j")
+
+
+@query("SELECT l_partkey AS gene, l_returnflag AS flag, count(*) AS n FROM lineitem GROUP BY ALL")
+def joined_tiles_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tile's genes, whether others have them or not."""
+    line = table(spark, sf_dir, "lineitem").select("l_returnflag", F.col("l_partkey").alias("gene"))
+    parts = [line.filter(F.col("l_returnflag") == f).groupBy("gene").agg(F.first("l_returnflag").alias("flag"), F.count("*").alias("n")) for f in "ANR"]
+    return tiles.joined_counts(parts, "outer")
+
+
+VALUES_SQL = """c AS (SELECT l_suppkey AS cell, p_brand AS gene, count(DISTINCT l_orderkey) AS umis FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL),
+  t AS (SELECT cell, sum(umis) AS total FROM c GROUP BY 1), x AS (SELECT cell, gene, log2(1 + umis * 1000.0 / total) AS x FROM c JOIN t USING (cell)), n AS (SELECT count(*) AS n FROM t),
+  g AS (SELECT gene, sum(x) / n AS mean, (sum(x * x) - n * (sum(x) / n) * (sum(x) / n)) / (n - 1) AS var FROM x, n GROUP BY gene, n)"""
+
+
+def brand_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    line = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
+    return matrix.normalised(counts.molecule_counts(line, "l_suppkey", "p_brand", "l_orderkey"), 1000.0)
+
+
+@query(f"""
+WITH {VALUES_SQL}, b AS (SELECT gene, mean, var / mean AS d, ntile(4) OVER (ORDER BY mean, gene) AS b FROM g),
+  z AS (SELECT gene, coalesce((d - avg(d) OVER (PARTITION BY b)) / nullif(stddev_samp(d) OVER (PARTITION BY b), 0), 0) AS z FROM b)
+SELECT gene, round(z, 6) AS z FROM z ORDER BY z.z DESC, gene LIMIT 10
+""")
+def variable_genes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten that stand out most among genes of similar mean (a top-k report)."""
+    v = brand_values(spark, sf_dir)
+    n = v.select("cell").distinct().count()
+    return matrix.variable_genes(v, n, 10, 4).select("gene", F.round("z", 6).alias("z"))
+
+
+@query(f"""
+WITH {VALUES_SQL}, k AS (SELECT cell % 3 AS cluster, cell FROM t), s AS (SELECT cluster, count(*) AS n FROM k GROUP BY 1), a AS (SELECT sum(n) AS n FROM s),
+  m AS (SELECT cluster, gene, sum(x) AS s, sum(x * x) AS q, count(*) FILTER (x > 0) AS p FROM x JOIN k USING (cell) GROUP BY ALL),
+  w AS (SELECT m.*, s.n, a.n - s.n AS r, sum(m.s) OVER g - m.s AS os, sum(m.q) OVER g - m.q AS oq, sum(m.p) OVER g - m.p AS op FROM m JOIN s USING (cluster), a WINDOW g AS (PARTITION BY gene)),
+  v AS (SELECT cluster, gene, s / n - os / r AS diff, (q - n * (s / n) * (s / n)) / greatest(n - 1, 1) AS va, (oq - r * (os / r) * (os / r)) / greatest(r - 1, 1) AS vr, n, r, p / n AS pts, op / r AS pts_rest FROM w)
+SELECT cluster, gene, round(coalesce(diff / nullif(sqrt(greatest(va / n + vr / r, 0)), 0), 0), 5) AS score, round(diff, 6) AS logfoldchange, round(pts, 6) AS pts, round(pts_rest, 6) AS pts_rest FROM v
+""")
+def cluster_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = brand_values(spark, sf_dir)
+    clusters = v.select("cell").distinct().withColumn("cluster", F.col("cell") % 3)
+    out = matrix.markers(v, clusters)
+    return out.select("cluster", "gene", F.round("score", 5).alias("score"), *[F.round(c, 6).alias(c) for c in ("logfoldchange", "pts", "pts_rest")])
+
+
+@query("""
+WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings), d AS (SELECT a.vec_id, b.vec_id AS neighbour, list_distance(a.v, b.v) AS distance FROM e a JOIN e b ON a.vec_id <> b.vec_id)
+SELECT vec_id, neighbour, round(distance, 5) AS distance FROM d QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY distance, neighbour) <= 5
+""")
+def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest of every vector, exact."""
+    out = matrix.neighbours_by_vector(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 5)
+    return out.withColumn("distance", F.round("distance", 5))
+
+
+@query("""
+WITH m AS (SELECT l_suppkey AS location, l_returnflag AS cluster, median(l_quantity) AS w FROM lineitem GROUP BY ALL) SELECT location, arg_max(cluster, {'w': w, 'c': cluster}) AS cluster FROM m GROUP BY 1
+""")
+def clusters_of_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("location"), F.col("l_returnflag").alias("cluster"), F.col("l_quantity").alias("weight"))
+    return matrix.cluster_of_location(t)
+
+
+@query("""
+WITH d AS (SELECT DISTINCT c_custkey::VARCHAR AS bc FROM customer), k AS (SELECT DISTINCT o_custkey::VARCHAR AS bc FROM orders WHERE o_orderpriority = '1-URGENT')
+SELECT count(*) AS n_detected, count(*) FILTER (bc IN (SELECT bc FROM k)) AS n_known, count(*) FILTER (reverse(bc) IN (SELECT bc FROM k)) AS n_reversed FROM d
+""")
+def known_barcodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("cell_bc"))
+    k = table(spark, sf_dir, "orders").filter("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").cast("string").alias("cell_bc"))
+    return tiles.known_barcodes(d, k)

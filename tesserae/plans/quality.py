@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesserae.operators import qc
+from tesserae.operators import qc, reads
 from tesserae.plans.common import MOLECULES_SQL, molecules, table
 from tesserae.registry import query
 
@@ -121,13 +121,72 @@ def top_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qc.top_per_group(table(spark, sf_dir, "events").select("user_id", "event_id", "value"), ["user_id"], [F.desc("value"), F.col("event_id")], 5)
 
 
+@query("SELECT least(floor((log10(o_totalprice) - 2) / 0.1), 39)::INTEGER AS bin, round(pow(10.0, 2 + bin * 0.1), 4) AS low, round(pow(10.0, 2 + (bin + 1) * 0.1), 4) AS high, count(*) AS n FROM orders WHERE log10(o_totalprice) BETWEEN 2 AND 6 GROUP BY ALL")
+def log_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = qc.histogram(table(spark, sf_dir, "orders"), "o_totalprice", 40, 2.0, 6.0, log=True)
+    return h.withColumns({"low": F.round("low", 4), "high": F.round("high", 4)})
+
+
+@query("SELECT p_brand, p_type, count(*) AS n, round(count(*) / sum(count(*)) OVER (PARTITION BY p_brand), 6) AS fraction FROM part GROUP BY p_brand, p_type")
+def normalised_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "part").groupBy("p_brand", "p_type").agg(F.count("*").alias("n"))
+    return qc.normalised_histogram(c, ["p_brand"]).withColumn("fraction", F.round("fraction", 6))
+
+
+@query("SELECT regexp_matches(p_type, '^(ECONOMY|SMALL)') AS matches, count(*) AS n FROM part GROUP BY 1")
+def regrouped_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "part").groupBy(F.col("p_type").alias("name")).agg(F.count("*").alias("n"))
+    return qc.regrouped(c, "^(ECONOMY|SMALL)")
+
+
+@query("""
+WITH c AS (SELECT l_linenumber AS position, l_returnflag AS name, count(*) AS n FROM lineitem GROUP BY ALL)
+SELECT e.position, e.name, coalesce(n, 0) AS n FROM (SELECT DISTINCT c.position, d.name FROM c, (VALUES ('A'), ('N'), ('R'), ('X')) d(name)) e LEFT JOIN c ON e.position = c.position AND e.name = c.name
+""")
+def zero_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "lineitem").groupBy(F.col("l_linenumber").alias("position"), F.col("l_returnflag").alias("name")).agg(F.count("*").alias("n"))
+    return qc.zero_filled(c, "position", "name", ["A", "N", "R", "X"])
+
+
 @query("""
-WITH p AS (SELECT unnest(range(10, 101, 10)) AS pct), m AS (SELECT pct, user_id, count(DISTINCT event_type) AS genes, count(*) AS n_reads FROM events JOIN p ON event_id * 7919 % 100 < pct GROUP BY ALL)
+WITH s AS (SELECT l_suppkey AS sample, l_returnflag AS name, count(*) AS value FROM lineitem WHERE l_suppkey % 2 = 0 GROUP BY ALL) SELECT s_suppkey AS sample, value FROM supplier LEFT JOIN (SELECT * FROM s WHERE name = 'R') ON s_suppkey = sample
+""")
+def attributes_by_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = table(spark, sf_dir, "lineitem").filter("l_suppkey % 2 = 0").groupBy(F.col("l_suppkey").alias("sample"), F.col("l_returnflag").alias("name")).agg(F.count("*").alias("value")).withColumn("kind", F.lit("reads"))
+    samples = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("sample"))
+    return qc.attribute_by_sample(s, samples, "sample", "reads", "R")
+
+
+@query("""
+WITH c AS (SELECT n_name AS a, row_number() OVER (ORDER BY n_nationkey) AS i FROM nation),
+  d AS (SELECT min(list_sum(list_transform(range(1, least(length(a.a), length(b.a)) + 1), lambda i: CASE WHEN substr(a.a, i, 1) = substr(b.a, i, 1) THEN 0 ELSE 1 END))) AS d FROM c a JOIN c b ON a.i < b.i)
+SELECT least(3, ceil(d / 2) - 1)::BIGINT AS bound FROM d
+""")
+def mismatch_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = qc.mismatch_bound(table(spark, sf_dir, "nation").select(F.col("n_name").alias("barcode")))
+    return spark.createDataFrame([(n,)], "bound long")
+
+
+SAMPLES_SQL = """e AS (SELECT event_id, user_id, event_type, event_id * 7919 % 100 AS own FROM events), p AS (SELECT unnest(range(10, 101, 10)) AS pct)"""
+
+
+@query(f"""
+WITH {SAMPLES_SQL}, m AS (SELECT pct, user_id, count(DISTINCT event_type) AS genes, count(*) AS n_reads FROM e JOIN p ON own < pct GROUP BY ALL)
 SELECT pct, count(*) AS n_cells, round(median(n_reads), 6) AS median_reads, round(median(genes), 6) AS median_genes FROM m GROUP BY 1
 """)
 def saturation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested samples: a record is in every sample above its own number modulo 100."""
-    own = F.col("event_id") * 7919 % 100
-    e = table(spark, sf_dir, "events").withColumn("pct", F.explode(F.sequence((F.floor(own / 10) + 1) * 10, F.lit(100).cast("long"), F.lit(10).cast("long"))))
+    e = reads.in_samples(table(spark, sf_dir, "events"), F.col("event_id") * 7919 % 100, 10)
     m = e.groupBy("pct", "user_id").agg(F.countDistinct("event_type").alias("genes"), F.count("*").alias("n_reads"))
     return m.groupBy("pct").agg(F.count("*").alias("n_cells"), F.round(F.median("n_reads"), 6).alias("median_reads"), F.round(F.median("genes"), 6).alias("median_genes"))
+
+
+@query("SELECT user_id, count(*) AS n FROM events GROUP BY 1")
+def hash_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested samples by a hash of the name: what is new in each of them adds up to all records."""
+    e = table(spark, sf_dir, "events").select("user_id", F.col("event_id").cast("string").alias("qname"))
+    out = None
+    for low, high in ((0, 20), (20, 70), (70, 100)):
+        own = reads.subsampled(e, high).join(reads.subsampled(e, low).select("qname"), "qname", "left_anti")
+        out = own if out is None else out.unionByName(own)
+    return out.groupBy("user_id").agg(F.count("*").alias("n"))

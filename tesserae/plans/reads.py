@@ -81,16 +81,39 @@ def hamming_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
     return met.select("a", "b", sq.hamming(F.col("a"), F.col("b")).cast("long").alias("distance"))
 
 
-@query("""
-SELECT l_linenumber, ops.op AS ops, n_match, clip5, clip3, count(*) AS n FROM (
-  SELECT l_linenumber, (l_linenumber || 'S' || l_quantity::INTEGER || 'M' || l_linenumber || 'N' || (l_quantity::INTEGER + 1) || 'M') AS op, l_quantity::INTEGER + 1 AS n_match, l_linenumber AS clip5, 0 AS clip3, {'op': 'SMNM'} AS ops FROM lineitem) GROUP BY ALL
+CIGAR_SHAPES = ("{k}S{q}M{k}N{r}M", "{q}M{k}I{r}M{k}S", "{k}S{q}M", "{q}M{k}D{r}M", "{k}H{k}S{r}M{k}S{k}H", "{q}M")
+
+
+def _cigar_sql() -> str:
+    parts = {"k": "l_linenumber", "q": "l_quantity::INTEGER", "r": "(l_quantity::INTEGER + l_partkey % 9)"}
+    cases = []
+    for i, shape in enumerate(CIGAR_SHAPES):
+        text = shape
+        for n, v in parts.items():
+            text = text.replace("{" + n + "}", f"' || {v} || '")
+        cases.append(f"WHEN {i} THEN '{text}'")
+    return f"CASE l_suppkey % {len(CIGAR_SHAPES)} {' '.join(cases)} END"
+
+
+@query(f"""
+WITH c AS (SELECT l_orderkey, l_linenumber, l_partkey, {_cigar_sql()} AS cigar FROM lineitem), o AS (SELECT *, regexp_extract_all(cigar, '[0-9]+[A-Z]') AS parts FROM c),
+  p AS (SELECT *, list_transform(parts, lambda x: right(x, 1)) AS ops, list_transform(parts, lambda x: left(x, length(x) - 1)::INTEGER) AS ns FROM o),
+  m AS (SELECT *, list_filter(list_transform(range(1, len(ops) + 1), lambda i: CASE WHEN ops[i] = 'M' THEN ns[i] END), lambda x: x IS NOT NULL) AS ms, list_filter(list_transform(range(2, len(ops) + 1), lambda i: CASE WHEN ops[i] = 'S' THEN ns[i] END), lambda x: x IS NOT NULL) AS later FROM p)
+SELECT l_orderkey, l_linenumber, l_partkey, array_to_string(ops, '') AS ops, list_max(ms) AS n_match, list_sum(ms)::INTEGER AS total_match, CASE WHEN ops[1] = 'S' THEN ns[1] ELSE 0 END AS clip5, coalesce(later[-1], 0) AS clip3 FROM m
 """)
 def cigar_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    q, k = F.col("l_quantity").cast("int"), F.col("l_linenumber")
-    line = table(spark, sf_dir, "lineitem").select("l_linenumber", F.concat(k.cast("string"), F.lit("S"), q.cast("string"), F.lit("M"), k.cast("string"), F.lit("N"), (q + 1).cast("string"), F.lit("M")).alias("cigar"))
+    """Alignments of six shapes."""
+    s = lambda c: c.cast("string")
+    values = {"k": s(F.col("l_linenumber")), "q": s(F.col("l_quantity").cast("int")), "r": s(F.col("l_quantity").cast("int") + F.col("l_partkey") % 9)}
+    cigar = F.lit("")
+    for i, shape in enumerate(CIGAR_SHAPES):
+        text = F.lit(shape)
+        for n, v in values.items():
+            text = F.replace(text, F.lit("{" + n + "}"), v)
+        cigar = F.when(F.col("l_suppkey") % len(CIGAR_SHAPES) == i, text).otherwise(cigar)
+    line = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", cigar.alias("cigar"))
     ops = F.array_join(F.transform(sq.cigar_ops(F.col("cigar")), lambda o: o["op"]), "")
-    s = sq.cigar_summary(F.col("cigar"))
-    return line.select("l_linenumber", ops.alias("ops"), s["n_match"].alias("n_match"), s["clip5"].alias("clip5"), s["clip3"].alias("clip3")).groupBy("l_linenumber", "ops", "n_match", "clip5", "clip3").agg(F.count("*").alias("n"))
+    return line.select("l_orderkey", "l_linenumber", "l_partkey", ops.alias("ops"), sq.cigar_summary(F.col("cigar")).alias("s")).select("l_orderkey", "l_linenumber", "l_partkey", "ops", *[F.col(f"s.{c}").alias(c) for c in ("n_match", "total_match", "clip5", "clip3")])
 
 
 @query("""

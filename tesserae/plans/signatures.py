@@ -22,6 +22,82 @@ def signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return k.groupBy("qname").agg((F.max("i") * 10 + 20).alias("L"), parts.alias("parts")).withColumn("signature", F.transform("parts", lambda p: p["oligo"]))
 
 
+@query(f"""
+WITH {READS_SQL.replace("list(event_type ORDER BY i) AS sig", "list(event_type || CASE WHEN event_id % 2 = 0 THEN '' ELSE '_RC' END ORDER BY i) AS sig")},
+  t AS (SELECT sig, len(sig) > 1 AND CASE WHEN sig[1] LIKE '%_RC' THEN left(sig[1], length(sig[1]) - 3) ELSE sig[1] || '_RC' END = sig[-1] AS re FROM r)
+SELECT 'reprimed' AS kind, replace(sig[1], '_RC', '') AS part, count(*) AS n FROM t WHERE re GROUP BY ALL UNION ALL
+SELECT 'with view_RC and no error', '', count(*) FROM t WHERE contains(array_to_string(sig, ','), 'view_RC') AND NOT contains(array_to_string(sig, ','), 'error')
+""")
+def reprimed_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts of either strand: reads that end in the reverse of their start, and reads by what their signature holds."""
+    s = stranded(spark, sf_dir)
+    held = longread.with_signatures(s, "view_RC", "error").agg(F.lit("with view_RC and no error").alias("kind"), F.lit("").alias("part"), F.count("*").alias("n"))
+    return longread.repriming_counts(s.filter(F.size("signature") > 1)).select(F.lit("reprimed").alias("kind"), "part", "n").unionByName(held)
+
+
+def stranded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reads whose parts from records of odd numbers are reversed."""
+    e = table(spark, sf_dir, "events").withColumn("qname", F.concat(F.col("user_id").cast("string"), F.lit("/"), F.date_format("ts", "yyyy-MM-dd")))
+    name = F.concat("event_type", F.when(F.col("event_id") % 2 == 0, "").otherwise("_RC"))
+    parts = F.array_sort(F.collect_list(F.struct("ts", "event_id", name.alias("oligo"))))
+    return e.groupBy("qname").agg(F.transform(parts, lambda p: p["oligo"]).alias("signature"))
+
+
+@query(f"""
+WITH {READS_SQL.replace("list(event_type ORDER BY i) AS sig", "list(event_type || CASE WHEN event_id % 2 = 0 THEN '' ELSE '_RC' END ORDER BY i) AS sig")},
+  a AS (SELECT qname, unnest(sig) AS part, generate_subscripts(sig, 1) AS i, sig FROM r), b AS (SELECT *, CASE WHEN i > 1 AND part = sig[i - 1] THEN 1 ELSE 0 END AS again FROM a),
+  rep AS (SELECT qname, part, count(*) AS n, min(i) AS first FROM b WHERE again = 1 GROUP BY ALL), top AS (SELECT qname, part FROM rep QUALIFY row_number() OVER (PARTITION BY qname ORDER BY n DESC, first) = 1)
+SELECT CASE WHEN top.part IS NULL THEN array_to_string(sig, ',') ELSE '?' || replace(top.part, '_RC', '') || '+' END AS signature, count(*) AS n,
+  count(*) FILTER (len(sig) > 1 AND CASE WHEN sig[1] LIKE '%_RC' THEN left(sig[1], length(sig[1]) - 3) ELSE sig[1] || '_RC' END = sig[-1]) AS reprimed, top.part IS NOT NULL AS concatemer FROM r LEFT JOIN top USING (qname) GROUP BY ALL
+""")
+def stranded_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return longread.signature_counts(stranded(spark, sf_dir))
+
+
+@query(f"""
+WITH {READS_SQL}, a AS (SELECT qname, unnest(sig) AS part, generate_subscripts(sig, 1) AS i, sig FROM r), rep AS (SELECT qname, part, count(*) AS n, min(i) AS first FROM a WHERE i > 1 AND part = sig[i - 1] GROUP BY ALL),
+  top AS (SELECT qname, part FROM rep QUALIFY row_number() OVER (PARTITION BY qname ORDER BY n DESC, first) = 1)
+SELECT '?' || part || '+' AS part, count(*) AS n FROM top GROUP BY ALL
+""")
+def concatenated_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return longread.concatenation_counts(longread.signature_counts(signatures(spark, sf_dir)))
+
+
+@query(f"WITH {READS_SQL}, p AS (SELECT event_type AS oligo, i, value FROM k), a AS (SELECT oligo, unnest(['start', 'end', 'len', 'score']) AS attr, unnest([i * 10.0, i * 10.0 + 5, 5.0, value]) AS value FROM p) SELECT oligo, attr, value, count(*) AS n FROM a GROUP BY ALL")
+def part_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Start, end, length and score of every part."""
+    return longread.part_histograms(signatures(spark, sf_dir)).groupBy("oligo", "attr", "value").agg(F.sum("freq").alias("n"))
+
+
+@query(f"""
+WITH {READS_SQL}, m AS (SELECT event_type, value FROM events), f AS (SELECT * FROM (VALUES ('view', 2.0 * 30 * 0.4), ('click', 2.0 * 50 * 0.4)) t(event_type, floor))
+SELECT event_type AS oligo, count(*) AS n, round(min(value), 6) AS least FROM m LEFT JOIN f USING (event_type) WHERE value > coalesce(floor, 22) AND event_type IN ('view', 'click', 'purchase') GROUP BY 1
+""")
+def relevant_oligos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matches above their oligo's floor, of relevant oligos."""
+    m = table(spark, sf_dir, "events").select(F.col("event_id").cast("string").alias("qname"), F.col("event_type").alias("oligo"), F.col("value").alias("score"))
+    out = longread.relevant_matches(m, {"view": "A" * 30, "click": "C" * 50}, relevant=["view", "click", "purchase"])
+    return out.groupBy("oligo").agg(F.count("*").alias("n"), F.round(F.min("score"), 6).alias("least"))
+
+
+@query(f"""
+WITH {READS_SQL}, x AS (SELECT qname, CASE WHEN list_bool_or(list_transform(range(2, len(sig) + 1), lambda i: sig[i] = sig[i - 1])) THEN 'again' ELSE array_to_string(sig, ',') END AS signature FROM r)
+SELECT qname, signature FROM x WHERE signature <> 'again' QUALIFY row_number() OVER (PARTITION BY signature ORDER BY qname) <= 3
+""")
+def signature_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three reads of every signature without repeats (a top-k report)."""
+    s = signatures(spark, sf_dir).withColumn("seq", F.lit("A"))
+    return longread.examples(s, n=3).filter(~F.col("signature").contains("+")).select("qname", "signature")
+
+
+@query("SELECT s_suppkey::BIGINT AS sample, row_number() OVER (ORDER BY nullif(s_nationkey, 3) NULLS LAST, s_name) AS place FROM supplier")
+def ordered_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples by the priority of their signature, those without one last."""
+    s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("sample"), "s_name", F.nullif("s_nationkey", F.lit(3)).alias("prio"))
+    rows = longread.sample_order(s, "s_name").collect()
+    return spark.createDataFrame([(r["sample"], i) for i, r in enumerate(rows, 1)], "sample long, place long")
+
+
 @query(f"""
 WITH {READS_SQL}, a AS (SELECT qname, unnest(sig) AS part, generate_subscripts(sig, 1) AS i, sig FROM r),
   b AS (SELECT *, CASE WHEN i > 1 AND part = sig[i - 1] THEN 1 ELSE 0 END AS again FROM a),

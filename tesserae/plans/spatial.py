@@ -105,9 +105,7 @@ WITH p AS ({POINTS_SQL}), {_hexagons_sql(LATTICE)}
 SELECT unit, count(*) AS n_joined, sum(puck_id)::BIGINT AS total_counts, round(avg(x_pos), 6) AS x_mean, trunc(avg(puck_id))::BIGINT AS compression FROM h WHERE sqrt((x_pos - cx) * (x_pos - cx) + (y_pos - cy) * (y_pos - cy)) < 0.1 GROUP BY unit
 """)
 def circle_mesh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = points(spark, sf_dir)
-    h = p.select("*", mesh.hexagon_of(F.col("x_pos"), F.col("y_pos"), LATTICE).alias("h")).select(*p.columns, "h.*").filter("unit IS NOT NULL")
-    inside = h.filter(F.hypot(F.col("x_pos") - F.col("cx"), F.col("y_pos") - F.col("cy")) < 0.1)
+    inside = mesh.placed(points(spark, sf_dir), LATTICE, 0.1)
     own = inside.withColumns({"total_counts": F.col("puck_id").cast("long"), "x_mean": F.col("x_pos"), "compression": F.col("puck_id")})
     return mesh.mesh_metrics(own, ["total_counts"], ["x_mean"], ["compression"]).drop("cx", "cy").withColumn("x_mean", F.round("x_mean", 6))
 
@@ -165,3 +163,47 @@ def nearest_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = points(spark, sf_dir).select(F.col("cell_bc").alias("point"), F.col("x_pos").alias("x"), F.col("y_pos").alias("y"))
     c = p.select(mesh.hexagon_of(F.col("x"), F.col("y"), LATTICE).alias("h")).select("h.*").filter("unit IS NOT NULL").distinct()
     return tissue.nearest(p, c, 0.25).withColumn("distance", F.round("distance", 6))
+
+
+MESH = mesh.mesh_lattice(6.0, 6.0, 0.4 * mesh.ROOT3, 0.4 * mesh.ROOT3)
+
+
+@query(f"WITH p AS (SELECT cell_bc, x_pos + 3 AS x_pos, y_pos + 3 AS y_pos FROM ({POINTS_SQL})), {_hexagons_sql(MESH)} SELECT unit, count(*) AS n FROM h GROUP BY 1")
+def hexagon_mesh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mesh of hexagons leaves no holes: spots by unit."""
+    p = points(spark, sf_dir).withColumns({"x_pos": F.col("x_pos") + 3, "y_pos": F.col("y_pos") + 3})
+    return mesh.placed(p, MESH).groupBy("unit").agg(F.count("*").alias("n"))
+
+
+@query(f"""
+WITH p AS ({POINTS_SQL}), r AS (SELECT floor(x_pos / 0.25)::BIGINT AS px, floor(y_pos / 0.25)::BIGINT AS py, sum(puck_id + 1)::BIGINT AS value FROM p GROUP BY ALL), c AS (SELECT quantile_cont(value, 0.7) AS c FROM r),
+  i AS (SELECT px, py, value >= c AS on_ FROM r, c), v AS (SELECT px + dx AS px, py + dy AS py, count(*) AS votes FROM i, range(-1, 2) a(dx), range(-1, 2) b(dy) WHERE on_ AND (dx <> 0 OR dy <> 0) GROUP BY ALL)
+SELECT px, py, on_ AS "on", on_ OR coalesce(votes, 0) >= 3 AS filled FROM i LEFT JOIN v USING (px, py)
+""")
+def filled_raster(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The blocks of most expression, and holes among them filled."""
+    r = mesh.raster(points(spark, sf_dir).withColumn("v", (F.col("puck_id") + 1).cast("long")), 0.25, "v")
+    on = mesh.thresholded(r, 30).select("px", "py", "on")
+    return on.join(mesh.filled(on).withColumnRenamed("on", "filled"), ["px", "py"])
+
+
+@query("SELECT c_custkey, (c_acctbal - 10) * 0.5 AS x_pos, ((c_custkey % 97)::DOUBLE - 20) * 0.5 AS y_pos FROM customer")
+def image_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiles.image_coordinates(customer_tiles(spark, sf_dir), 0.5, 10.0, 20.0).select(F.col("cell_bc").alias("c_custkey"), "x_pos", "y_pos")
+
+
+#: Barcodes of customers: a run of one base, and for some the end of a reversed primer or the placeholder.
+BARCODES_SQL = """SELECT c_custkey, CASE WHEN c_custkey % 50 = 0 THEN 'TAG=XC' ELSE 'GATC' || repeat(substr('ACGT', (c_custkey % 4 + 1)::INTEGER, 1), (c_custkey // 4 % 12)::INTEGER) || CASE WHEN c_custkey % 7 = 0 THEN 'NTTGGCCAA' WHEN c_custkey % 7 = 1 THEN 'NTTG' ELSE 'N' END END AS cell_bc FROM customer"""
+
+
+@query(f"""
+WITH b AS ({BARCODES_SQL})
+SELECT c_custkey, cell_bc FROM b WHERE cell_bc <> 'TAG=XC' AND NOT contains(cell_bc, 'TTTTTT') AND NOT contains(cell_bc, 'AAAAAAAA') AND NOT contains(cell_bc, 'CCCCCCCC') AND NOT contains(cell_bc, 'GGGGGGGG') AND c_custkey % 7 <> 0
+""")
+def clean_barcodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Homopolymers, the placeholder and what shares more than six bases with the reversed primer go."""
+    k = F.col("c_custkey")
+    run = F.repeat(F.substr(F.lit("ACGT"), (k % 4 + 1).cast("int"), F.lit(1)), (F.floor(k / 4) % 12).cast("int"))
+    end = F.when(k % 7 == 0, "NTTGGCCAA").when(k % 7 == 1, "NTTG").otherwise("N")
+    c = table(spark, sf_dir, "customer").select("c_custkey", F.when(k % 50 == 0, "TAG=XC").otherwise(F.concat(F.lit("GATC"), run, end)).alias("cell_bc"))
+    return tiles.clean_barcodes(c, "AACCGGTT")
