@@ -10,21 +10,45 @@ from pyspark.sql import functions as F
 DENSE = 2.5066282746310002  # sqrt(2 pi)
 
 
-def _running(by: list[str], order: list[Column]) -> Window:
-    return Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-
 def knee(cells: DataFrame, by: list[str], value: str = "n_reads", key: str = "cell_bc") -> DataFrame:
-    """Rank and cumulative sum of reads, largest first; ties by key."""
-    order = [F.desc(value), F.col(key)]
-    return cells.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).withColumn("cumulative", F.sum(value).over(_running(by, order)))
+    """Rank and cumulative sum of reads, largest first; ties by key. Cells without a value go.
+
+    No task sorts a whole group: cells are counted per value and stretch of keys, running sums over these counts say what
+    comes before each stretch, and rows are numbered within theirs.
+    """
+    own = cells.filter(F.col(value).isNotNull()).withColumn("_part", _stretch(cells, key))
+    counts = own.groupBy(*by, value, "_part").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(*by).orderBy(F.desc(value), "_part").rowsBetween(Window.unboundedPreceding, -1)
+    zero = lambda c: F.coalesce(c, F.lit(0).cast("long"))
+    counts = counts.select(*by, value, "_part", zero(F.sum("_n").over(before)).alias("_before"), F.coalesce(F.sum(F.col("_n") * F.col(value)).over(before), F.lit(0)).alias("_sum"))
+    own = own.withColumn("_i", F.row_number().over(Window.partitionBy(*by, value, "_part").orderBy(key)))
+    same = None
+    for c in (*by, value, "_part"):
+        test = F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
+        same = test if same is None else same & test
+    met = own.alias("a").join(counts.alias("b"), same)
+    return met.select(*[F.col(f"a.{c}") for c in cells.columns], (F.col("b._before") + F.col("a._i")).alias("rank"), (F.col("b._sum") + F.col("a._i") * F.col(f"a.{value}")).alias("cumulative"))
+
+
+def _stretch(cells: DataFrame, key: str) -> Column:
+    """A coarser key that sorts alike: the first characters of a text, a number without its last digits."""
+    return F.substring(key, 1, 4) if cells.schema[key].dataType.typeName() == "string" else F.floor(F.col(key) / 4096)
+
+
+def _per_group(rows: DataFrame, cells: DataFrame, by: list[str], **values: Column) -> DataFrame:
+    """rows with aggregates of their group's cells beside them: a row per group is joined."""
+    per = cells.groupBy(*[F.col(c).alias(f"_{c}") for c in by]).agg(*[v.alias(n) for n, v in values.items()])
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return rows.join(per, same).drop(*[f"_{c}" for c in by]) if by else rows.withColumn("_one", F.lit(1)).join(per.withColumn("_one", F.lit(1)), "_one").drop("_one")
 
 
 def deciles(cells: DataFrame, by: list[str], value: str = "n_reads", key: str = "cell_bc") -> DataFrame:
     """Tenths of the cumulative reads, 1 to 10; the row that reaches the total falls out, as its number is 11."""
-    total = F.sum(value).over(Window.partitionBy(*by))
-    out = knee(cells, by, value, key).withColumn("decile", (F.floor(F.col("cumulative") / (total / 10)) + 1).cast("int"))
-    return out.filter("decile < 11").drop("rank", "cumulative")
+    k = _per_group(knee(cells, by, value, key), cells, by, _total=F.sum(value))
+    out = k.withColumn("decile", (F.floor(F.col("cumulative") / (F.col("_total") / 10)) + 1).cast("int"))
+    return out.filter("decile < 11").drop("rank", "cumulative", "_total")
 
 
 def decile_medians(cells: DataFrame, by: list[str], values: list[str], key: str = "cell_bc", weight: str = "n_reads") -> DataFrame:
@@ -41,9 +65,9 @@ def equal_width_class(value: Column, low: Column, high: Column, n: int = 4) -> C
 
 def nucleotides(cells: DataFrame, by: list[str], value: str = "n_reads", key: str = "cell_bc") -> DataFrame:
     """(by, quartile, position, nucleotide, n) of barcodes, quartiles of the cumulative reads by equal width."""
-    part = Window.partitionBy(*by)
-    k = knee(cells, by, value, key)
-    q = k.withColumn("quartile", equal_width_class(F.col("cumulative"), F.min("cumulative").over(part), F.max("cumulative").over(part)))
+    # reads aren't negative: the cumulative sum starts at the most reads of a cell and ends at their sum
+    k = _per_group(knee(cells, by, value, key), cells, by, _low=F.max(value), _high=F.sum(value))
+    q = k.withColumn("quartile", equal_width_class(F.col("cumulative"), F.col("_low"), F.col("_high")))
     chars = F.filter(F.split(F.col(key), ""), lambda c: c != "")
     return q.select(*by, "quartile", F.posexplode(chars).alias("position", "nucleotide")).groupBy(*by, "quartile", "position", "nucleotide").agg(F.count("*").alias("n"))
 

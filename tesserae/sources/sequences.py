@@ -55,10 +55,16 @@ def read_sample_matrix(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_fasta(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(file, name, seq): lines of a record fused; lines that start with # are left out."""
-    lines = numbered_lines(spark, paths).filter(~F.col("value").startswith("#"))
-    w = Window.partitionBy("file").orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rec = lines.withColumn("rec", F.sum(F.when(F.col("value").startswith(">"), 1).otherwise(0)).over(w)).filter("rec > 0")
+    """(file, name, seq): lines of a record fused; lines that start with # are left out.
+
+    Records are numbered within a block of a file, from what the blocks before it hold.
+    """
+    lines = numbered_lines(spark, paths, blocks_too=True).filter(~F.col("value").startswith("#")).withColumn("head", F.col("value").startswith(">").cast("int"))
+    heads = lines.groupBy("file", "block").agg(F.sum("head").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
+    w = Window.partitionBy("file", "block").orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rec = lines.withColumn("own", F.sum("head").over(w)).join(heads.select("file", "block", F.coalesce(before, F.lit(0)).alias("before")), ["file", "block"])
+    rec = rec.withColumn("rec", F.col("own") + F.col("before")).filter("rec > 0")
     head = F.max(F.when(F.col("value").startswith(">"), F.substring("value", 2, 1 << 30)))
     body = F.array_sort(F.collect_list(F.when(~F.col("value").startswith(">"), F.struct("line_no", F.trim("value").alias("s")))))
     return rec.groupBy("file", "rec").agg(head.alias("name"), body.alias("b")).select("file", "name", F.array_join(F.transform("b", lambda x: x["s"]), "").alias("seq"))
