@@ -57,11 +57,25 @@ def hamming(a: Column, b: Column) -> Column:
     return F.aggregate(pairs, F.lit(0), lambda s, x: s + x)
 
 
+#: Characters of the pieces that long texts are cut into, as a substring far into a text is slow to get at.
+PIECE = 48
+
+
+def overlapping_pieces(seq: Column, k: int) -> Column:
+    """A text in pieces of PIECE characters, each with the first k - 1 of the next."""
+    pieces = F.regexp_extract_all(seq, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+    return F.transform(F.arrays_zip(pieces.alias("p"), F.slice(pieces, F.lit(2), F.greatest(F.size(pieces), F.lit(1))).alias("q")), lambda z: F.concat(z["p"], F.substring(F.coalesce(z["q"], F.lit("")), 1, k - 1)))
+
+
 def kmers(seq: Column, k: int) -> Column:
-    """Array of (position from 0, k-mer); k passes of pieces of k, as a substring at every position is quadratic in long texts."""
-    pieces = lambda o: F.regexp_extract_all(F.substring(seq, o + 1, 2**31 - 1), F.lit(f"(?s).{{{k}}}"), F.lit(0))
-    at = lambda o: F.transform(pieces(o), lambda x, j: F.struct((j * k + o).alias("position"), x.alias("kmer")))
-    return F.coalesce(F.array_sort(F.flatten(F.array(*map(at, range(k))))), F.array().cast("array<struct<position:int,kmer:string>>"))
+    """Array of (position from 0, k-mer), in order; each is a substring of a short piece, as at every position of a long text it would be quadratic."""
+    joined = overlapping_pieces(seq, k)
+
+    def of_piece(text: Column, j: Column) -> Column:
+        places = F.filter(F.sequence(F.lit(0), F.least(F.length(text) - k, F.lit(PIECE - 1))), lambda i: (i >= 0) & (i <= F.length(text) - k))
+        return F.transform(places, lambda i: F.struct((j * PIECE + i).cast("int").alias("position"), F.substr(text, i + 1, F.lit(k)).alias("kmer")))
+
+    return F.coalesce(F.flatten(F.transform(joined, of_piece)), F.array().cast("array<struct<position:int,kmer:string>>"))
 
 
 def all_kmers(k: int, letters: str = "ACGTN") -> list[str]:
@@ -110,9 +124,14 @@ def safe_divide(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(a, b), F.lit(0.0))
 
 
+def one_place(x: Column) -> Column:
+    """A number with one decimal place; halves are what the binary number makes of them."""
+    return F.call_function("format_number", x, F.lit("0.0"))
+
+
 def short_number(n: Column) -> Column:
     """1234567 as 1.2M."""
-    return F.when(n >= 1_000_000, F.concat(F.format_string("%.1f", n / 1e6), F.lit("M"))).when(n >= 1000, F.concat(F.format_string("%.1f", n / 1e3), F.lit("k"))).otherwise(n.cast("string"))
+    return F.when(n >= 1_000_000, F.concat(one_place(n / 1e6), F.lit("M"))).when(n >= 1000, F.concat(one_place(n / 1e3), F.lit("k"))).otherwise(n.cast("string"))
 
 
 def tag(tags: Column, name: str, default: str = "NA") -> Column:

@@ -172,9 +172,12 @@ def regrouped(counts: DataFrame, pattern: str, name: str = "name", n: str = "n")
 
 def kmer_positions(df: DataFrame, seq: str, k: int, letters: str = "ACGTN") -> DataFrame:
     """(position, kmer, n) over all sequences; zeros of the full domain come from `zero_filled`."""
-    from tesserae.functions.sequence import kmers
+    from tesserae.functions.sequence import PIECE, overlapping_pieces
 
-    return df.select(F.inline(kmers(F.col(seq), k))).groupBy("position", "kmer").agg(F.count("*").alias("n"))
+    pieces = df.select(F.posexplode(overlapping_pieces(F.col(seq), k)).alias("j", "piece")).filter(F.length("piece") >= k)
+    at = pieces.select("j", "piece", F.explode(F.sequence(F.lit(0), F.least(F.length("piece") - k, F.lit(PIECE - 1)))).alias("i"))
+    rows = at.select((F.col("j") * PIECE + F.col("i")).alias("position"), F.substr("piece", F.col("i") + 1, F.lit(k)).alias("kmer"))
+    return rows.groupBy("position", "kmer").agg(F.count("*").alias("n"))
 
 
 def zero_filled(counts: DataFrame, position: str, name: str, domain: list[str]) -> DataFrame:
@@ -189,7 +192,9 @@ def merged_mapping_logs(logs: DataFrame, sums: list[str], mean: str) -> DataFram
 
 def mapping_table(stats: DataFrame, total: str, parts: list[str]) -> DataFrame:
     """Counts as text with their percent of the total: '123 (45.6%)'."""
-    pct = lambda c: F.format_string("%d (%.1f%%)", F.col(c).cast("long"), F.coalesce(F.try_divide(F.col(c) * 100.0, F.col(total)), F.lit(0.0)))
+    from tesserae.functions.sequence import one_place, safe_divide
+
+    pct = lambda c: F.concat(F.col(c).cast("long").cast("string"), F.lit(" ("), one_place(safe_divide(F.col(c) * 100.0, F.col(total))), F.lit("%)"))
     return stats.select(*[c for c in stats.columns if c not in parts], *[pct(c).alias(c) for c in parts])
 
 

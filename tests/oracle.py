@@ -44,6 +44,7 @@ def differences(df, con: duckdb.DuckDBPyConnection, sql: str) -> str:
         return f"columns {sorted(df.columns)} and {sorted(rel.columns)}"
     a, b = rows_of(df.columns, [tuple(r) for r in df.collect()]), rows_of(rel.columns, rel.fetchall())
     if len(a) != len(b):
-        return f"{len(a)} and {len(b)} rows; first {[x for x in a if x not in set(b)][:2]}, {[x for x in b if x not in set(a)][:2]}"
+        one, other = set(a), set(b)
+        return f"{len(a)} and {len(b)} rows; first {[x for x in a if x not in other][:2]}, {[x for x in b if x not in one][:2]}"
     bad = [(x, y) for x, y in zip(a, b, strict=True) if x != y]
     return f"{len(bad)} of {len(a)} rows differ: {bad[:2]}" if bad else ""
