@@ -155,10 +155,10 @@ def _numbers(values: list[int]) -> Column:
     return F.split(F.lit(",".join(map(str, values))), ",").cast("array<long>")
 
 
-def with_next(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
+def with_next(df: DataFrame, key: str, columns: list[str], tie: list[str] | None = None) -> DataFrame:
     """df with `next`: a struct of columns of the row that follows by descending key (null keys last); the first follows the last.
 
-    Rows with one key follow in the order of a hash of all columns named. Keys (integers) are cut into ranges by approximate
+    Rows with one key follow in the order of a hash of the columns in tie (default: all those named). Keys (integers) are cut into ranges by approximate
     quantiles; a key that several quantiles name has a range of its own, parted by that hash, and so have null keys. The
     first row of each bucket is also sent to the bucket before it, so one exchange serves. Rows alike in key and columns
     stay together.
@@ -181,7 +181,7 @@ def with_next(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
         places = _numbers(bounds)
         below = F.aggregate(steps, F.lit(0), lambda at, s: F.when((at + s <= len(bounds)) & (F.get(places, at + s - 1) <= F.col("_key")), at + s).otherwise(at))
         span = F.lit(len(bounds)) - below
-    own = df.withColumn("_key", F.col(key).cast("long")).withColumn("_tie", F.xxhash64(*columns))
+    own = df.withColumn("_key", F.col(key).cast("long")).withColumn("_tie", F.xxhash64(*(tie or columns)))
     own = own.withColumn("_rev", F.coalesce(F.bitwise_not("_key"), F.lit(0).cast("long"))).withColumn("_span", F.when(F.col("_key").isNull(), len(bounds) + 1).otherwise(span))
     part = F.expr("shiftright(_tie, 64 - cast(_bits AS int)) + shiftleft(1L, cast(_bits AS int) - 1)")
     own = own.withColumn("_bits", F.get(_numbers(bits), F.col("_span")))
@@ -209,7 +209,7 @@ def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     integer column.
     """
     own = df.select(column(key).alias("key"), text_or_empty(column(text)).alias("text")).withColumn("keys", digests(F.col("text")))
-    rows = with_next(own, "key", ["text", "keys"])
+    rows = with_next(own, "key", ["text", "keys"], ["text"])
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     rows = rows.select("key", n.cast("long").alias("n_chars"), "keys", F.col("next.keys").alias("next_keys"), F.concat(F.substr("text", F.lit(1), n - half), F.substr("next.text", F.lit(1), half)).alias("edited"))
