@@ -149,12 +149,14 @@ def zero_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH s AS (SELECT l_suppkey AS sample, l_returnflag AS name, count(*) AS value FROM lineitem WHERE l_suppkey % 2 = 0 GROUP BY ALL) SELECT s_suppkey AS sample, value FROM supplier LEFT JOIN (SELECT * FROM s WHERE name = 'R') ON s_suppkey = sample
+WITH s AS (SELECT l_suppkey AS sample, CASE WHEN l_quantity >= 49 AND l_discount >= 0.1 THEN 'rare' ELSE l_returnflag END AS name, count(*) AS value FROM lineitem GROUP BY ALL)
+SELECT s_suppkey AS sample, value FROM supplier LEFT JOIN (SELECT * FROM s WHERE name = 'rare') ON s_suppkey = sample
 """)
 def attributes_by_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = table(spark, sf_dir, "lineitem").filter("l_suppkey % 2 = 0").groupBy(F.col("l_suppkey").alias("sample"), F.col("l_returnflag").alias("name")).agg(F.count("*").alias("value")).withColumn("kind", F.lit("reads"))
+    name = F.when((F.col("l_quantity") >= 49) & (F.col("l_discount") >= 0.1), "rare").otherwise(F.col("l_returnflag"))
+    s = table(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("sample"), name.alias("name")).agg(F.count("*").alias("value")).withColumn("kind", F.lit("reads"))
     samples = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("sample"))
-    return qc.attribute_by_sample(s, samples, "sample", "reads", "R")
+    return qc.attribute_by_sample(s, samples, "sample", "reads", "rare")
 
 
 @query("""
