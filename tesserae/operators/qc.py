@@ -156,6 +156,17 @@ def collapsed_counts(counts: DataFrame, by: list[str], name: str = "name", n: st
     return kept.select(*by, "name", "n", "_all").unionByName(rest).select(*by, "name", "n", (F.col("n") / F.col("_all")).alias("fraction"))
 
 
+def ordered_counts(counts: DataFrame, name: str = "name", n: str = "n") -> DataFrame:
+    """(place, name, n): counts by falling n, ties by name, numbered from 1; for tables of a few names."""
+    order = Window.orderBy(F.desc(n), name)
+    return counts.select(F.row_number().over(order).alias("place"), F.col(name).alias("name"), F.col(n).alias("n")).orderBy("place")
+
+
+def transposed(table: DataFrame, key: str) -> DataFrame:
+    """A small table's columns as rows, named `key`, and the values of its key as columns."""
+    return table.transpose(F.col(key))
+
+
 def relative_name(signature: Column, intact: list[str]) -> Column:
     """complete, missing_..., or only_..., with _extra_... for parts that the intact signature lacks."""
     every = F.array(*map(F.lit, sorted(set(intact))))

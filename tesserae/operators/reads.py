@@ -200,6 +200,14 @@ def single(r2: DataFrame) -> DataFrame:
     return r2.select("pair", "record_no", F.regexp_extract("name", r"^(\S*)", 1).alias("qname"), F.lit("NA").alias("r1"), F.lit("##").alias("q1"), F.col("seq").alias("r2"), F.col("qual").alias("q2"))
 
 
+def merged_samples(parts: list[DataFrame], name: str = "qname") -> DataFrame:
+    """All rows of several samples (columns that one lacks are null there), sorted by name."""
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out.orderBy(name)
+
+
 def first_seen(df: DataFrame, key: list[str], order: list[str], name: str = "is_first") -> DataFrame:
     """Flag the first row of every key in a stated order (duplicates are PCR copies of a molecule)."""
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*key).orderBy(*order)) == 1)

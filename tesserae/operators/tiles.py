@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -114,6 +116,31 @@ def known_barcodes(detected: DataFrame, known: DataFrame, key: str = "cell_bc",
     return both.agg(*[F.max(c).alias(c) for c in ("n_detected", "n_known", "n_reversed")])
 
 
+#: Smallest bead of a map by the number of spots from which on it holds (fixed values).
+BEADS = ((25_000, 0.05), (10_000, 0.1), (5_000, 0.5), (-1, 0.75))
+
+
+def map_scales(spots: DataFrame, px_by_um: float = 1.0, spot_diameter_um: float = 1.0, mesh_diameter_um: float | None = None, x: str = "x_pos", y: str = "y_pos") -> dict:
+    """What a map of spots needs: marks on both axes with their labels in mm, and the size of a bead. Extents alone reach the driver.
+
+    Marks stand a third of the width apart, in tenths of a millimetre where it is under 3 mm, else in whole ones; at least one such unit.
+    """
+    e = spots.agg(F.count("*").alias("n"), F.min(x).alias("x0"), F.max(x).alias("x1"), F.min(y).alias("y0"), F.max(y).alias("y1")).first()
+    if not e["n"]:
+        return {"x": [], "y": [], "x_labels": [], "y_labels": [], "bead": BEADS[-1][1], "px_by_um": px_by_um}
+    width = (e["x1"] - e["x0"]) / px_by_um
+    digits = 2 if width < 3000 else 3
+    apart = max(10.0**digits, round(width / 3, digits))
+    out: dict = {"px_by_um": px_by_um}
+    for axis in "xy":
+        low, high = e[f"{axis}0"], e[f"{axis}1"]
+        marks = range(math.ceil((high - low) / (apart * px_by_um)))
+        out[axis] = [low + i * apart * px_by_um for i in marks]
+        out[f"{axis}_labels"] = [f"{round(i * apart / 1000, 1)} mm" for i in marks]
+    least = next(size for above, size in BEADS if e["n"] > above)
+    return out | {"bead": max(least, spot_diameter_um if mesh_diameter_um is None else mesh_diameter_um)}
+
+
 def image_coordinates(spots: DataFrame, scale: float, x0: float = 0.0, y0: float = 0.0, x: str = "x_pos", y: str = "y_pos") -> DataFrame:
     """Spots in pixels of an image: moved to its corner and scaled."""
     return spots.withColumns({x: (F.col(x) - x0) * scale, y: (F.col(y) - y0) * scale})

@@ -295,3 +295,15 @@ def known_barcodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("cell_bc"))
     k = table(spark, sf_dir, "orders").filter("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").cast("string").alias("cell_bc"))
     return tiles.known_barcodes(d, k)
+
+
+@query(f"""
+WITH {VALUES_SQL}, k AS (SELECT cell % 3 AS cluster, cell FROM t), s AS (SELECT cluster, count(*) AS n FROM k GROUP BY 1), m AS (SELECT cluster, gene, sum(x) AS total, count(*) FILTER (x > 0) AS p FROM x JOIN k USING (cell) GROUP BY ALL)
+SELECT cluster, gene, round(total, 6) AS total, round(p / n, 6) AS pts FROM m JOIN s USING (cluster)
+""")
+def marker_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A ranking's rows with the shares of cells looked up by gene and cluster."""
+    v = brand_values(spark, sf_dir)
+    clusters = v.select("cell").distinct().withColumn("cluster", F.col("cell") % 3)
+    ranked = v.join(clusters, "cell").groupBy("cluster", "gene").agg(F.round(F.sum("x"), 6).alias("total"))
+    return matrix.marker_table(ranked, matrix.markers(v, clusters)).select("cluster", "gene", "total", F.round("pts", 6).alias("pts"))

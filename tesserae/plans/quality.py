@@ -192,3 +192,28 @@ def hash_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
         own = reads.subsampled(e, high).join(reads.subsampled(e, low).select("qname"), "qname", "left_anti")
         out = own if out is None else out.unionByName(own)
     return out.groupBy("user_id").agg(F.count("*").alias("n"))
+
+
+@query("SELECT row_number() OVER (ORDER BY count(*) DESC, event_type)::INTEGER AS place, event_type AS name, count(*) AS n FROM events GROUP BY event_type")
+def ordered_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("name")).agg(F.count("*").alias("n"))
+    return qc.ordered_counts(c)
+
+
+@query("""
+WITH c AS (SELECT l_returnflag AS f, count(*)::BIGINT AS n, count(*) FILTER (l_quantity < 17)::BIGINT AS short FROM lineitem GROUP BY 1)
+SELECT 'n' AS key, max(n) FILTER (f = 'A') AS A, max(n) FILTER (f = 'N') AS N, max(n) FILTER (f = 'R') AS R FROM c UNION ALL SELECT 'short', max(short) FILTER (f = 'A'), max(short) FILTER (f = 'N'), max(short) FILTER (f = 'R') FROM c
+""")
+def transposed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(F.count("*").alias("n"), F.count_if(F.col("l_quantity") < 17).alias("short"))
+    return qc.transposed(c, "l_returnflag")
+
+
+@query("""
+SELECT n, count(*) AS samples FROM (SELECT l_suppkey, count(*) AS n, NULL AS x FROM lineitem GROUP BY 1) GROUP BY n
+""")
+def merged_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples by return flag, put together again by name."""
+    line = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("qname"), "l_returnflag")
+    parts = [line.filter(F.col("l_returnflag") == f) for f in "AN"] + [line.filter(F.col("l_returnflag") == "R").drop("l_returnflag")]
+    return reads.merged_samples(parts).groupBy("qname").agg(F.count("*").alias("n")).groupBy("n").agg(F.count("*").alias("samples"))

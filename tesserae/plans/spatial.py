@@ -207,3 +207,12 @@ def clean_barcodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     end = F.when(k % 7 == 0, "NTTGGCCAA").when(k % 7 == 1, "NTTG").otherwise("N")
     c = table(spark, sf_dir, "customer").select("c_custkey", F.when(k % 50 == 0, "TAG=XC").otherwise(F.concat(F.lit("GATC"), run, end)).alias("cell_bc"))
     return tiles.clean_barcodes(c, "AACCGGTT")
+
+
+@query("""
+WITH e AS (SELECT min(c_acctbal) AS x0, max(c_acctbal) AS x1 FROM customer), a AS (SELECT *, CASE WHEN x1 - x0 < 3000 THEN 2 ELSE 3 END AS digits, greatest(pow(10.0, digits), round((x1 - x0) / 3, digits)) AS apart FROM e)
+SELECT i::BIGINT AS i, round(x0 + i * apart, 6) AS mark, format('{:.1f} mm', round_even(i * apart / 1000, 1)) AS label FROM a, range(0, 100) t(i) WHERE x0 + i * apart < x1
+""")
+def map_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = tiles.map_scales(customer_tiles(spark, sf_dir))
+    return spark.createDataFrame([(i, round(m, 6), t) for i, (m, t) in enumerate(zip(s["x"], s["x_labels"], strict=True))], "i long, mark double, label string")
