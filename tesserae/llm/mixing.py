@@ -32,7 +32,7 @@ def _hash(*columns) -> Column:
 
 def _log_factorial(n: Column) -> Column:
     """Exact logarithms below 16, Stirling's series (error under 1e-9) from there."""
-    small = F.array(*[F.lit(math.lgamma(i + 1)) for i in range(16)])
+    small = F.split(F.lit(",".join(repr(math.lgamma(i + 1)) for i in range(16))), ",").cast("array<double>")  # folded into one literal
 
     def series(x: Column) -> Column:
         return x * F.log(x) - x + 0.5 * F.log(2 * math.pi * x) + 1 / (12 * x) - 1 / (360 * x * x * x) + 1 / (1260 * x * x * x * x * x)
@@ -99,27 +99,27 @@ def splitting_tree(root: DataFrame, levels: int, seed: int) -> DataFrame:
     A node has half of its parent's draws (rounded down to the left).
     """
     total = F.aggregate("items", F.lit(0).cast("long"), lambda a, x: a + x["k"])
+    half = _halved(F.col("items"), F.floor(total / 2), F.col("node"), seed).alias("half")  # the same expression at every level
+    both = F.inline(F.array(F.struct((F.col("node") * 2).alias("node"), _some(F.col("half")).alias("items")), F.struct((F.col("node") * 2 + 1).alias("node"), _some(_rest(F.col("items"), F.col("half"))).alias("items"))))
     for level in range(levels):
         if level == TOP_LEVELS:
             root = root.repartition("node")
-        halves = root.select("node", "items", _halved(F.col("items"), F.floor(total / 2), F.col("node"), seed).alias("half"))
-        both = F.array(F.struct((F.col("node") * 2).alias("node"), _some(F.col("half")).alias("items")), F.struct((F.col("node") * 2 + 1).alias("node"), _some(_rest(F.col("items"), F.col("half"))).alias("items")))
-        root = halves.select(F.inline(both)).filter(F.size("items") > 0)
+        root = root.select("node", "items", half).select(both).filter(F.size("items") > 0)
     return root
 
 
 def _split_groups(groups: DataFrame, levels: int, seed: int) -> DataFrame:
     """groups: rows (g, items, quotas: array of (shard, k)), whose k have one sum. Returns (ix, shard, k): a tree per group, its halves' sizes given by its quotas."""
     now = groups.withColumn("node", F.lit(1).cast("long"))
+    want = F.aggregate("left", F.lit(0).cast("long"), lambda a, q: a + q["k"])
+    half = _halved(F.col("items"), want, F.col("node"), seed).alias("half")  # the same expressions at every level
+    one = lambda node, items, quotas: F.struct(node.alias("node"), _some(items).alias("items"), quotas.alias("quotas"))
+    both = F.inline(F.array(one(F.col("node") * 2, F.col("half"), F.col("left")), one(F.col("node") * 2 + 1, _rest(F.col("items"), F.col("half")), F.col("right"))))
     for level in range(levels):
         bit = levels - 1 - level
         there = lambda side: F.filter("quotas", lambda q: F.shiftright(q["shard"], bit).bitwiseAND(F.lit(1).cast("long")) == side)  # noqa: B023, E731
         now = now.select("g", "node", "items", there(0).alias("left"), there(1).alias("right"))
-        want = F.aggregate("left", F.lit(0).cast("long"), lambda a, q: a + q["k"])
-        now = now.select("*", _halved(F.col("items"), want, F.col("node"), seed).alias("half"))
-        one = lambda node, items, quotas: F.struct(node.alias("node"), _some(items).alias("items"), quotas.alias("quotas"))
-        both = F.array(one(F.col("node") * 2, F.col("half"), F.col("left")), one(F.col("node") * 2 + 1, _rest(F.col("items"), F.col("half")), F.col("right")))
-        now = now.select("g", F.inline(both)).filter(F.size("items") > 0)
+        now = now.select("*", half).select("g", both).filter(F.size("items") > 0)
         if level == TOP_LEVELS:
             now = now.repartition("g", "node")
     return now.select((F.col("node") - (1 << levels)).alias("shard"), F.inline("items")).select("ix", "shard", "k")
