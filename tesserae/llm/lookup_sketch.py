@@ -214,8 +214,12 @@ def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     half = F.floor(n / 2).cast("int")
     rows = rows.select("key", n.cast("long").alias("n_chars"), "keys", F.col("next.keys").alias("next_keys"), F.concat(F.substr("text", F.lit(1), n - half), F.substr("next.text", F.lit(1), half)).alias("edited"))
     rows = rows.select("key", "n_chars", "keys", "next_keys", F.sha2("edited", 256).alias("edited_sha256"), digests(F.col("edited")).alias("edited_keys"))
-    rows = rows.select("*", sketch(F.col("keys")).alias("cells"), sketch(F.col("next_keys")).alias("next_cells"), sketch(F.col("edited_keys")).alias("edited_cells"))
-    return rows.select(
-        F.col("key").alias(key), "n_chars", "edited_sha256", as_text(cells(F.col("cells"))).alias("fingerprint"), as_text(cells(F.col("edited_cells"))).alias("edited_fingerprint"),
-        likeness(F.col("keys"), F.col("edited_keys"), F.col("cells"), F.col("edited_cells")).alias("near_edited"), likeness(F.col("keys"), F.col("next_keys"), F.col("cells"), F.col("next_cells")).alias("near_next"),
-    )
+    rows = rows.select("*", F.transform(F.array("keys", "next_keys", "edited_keys"), lambda k: sketch(k)).alias("sketches"))
+    rows = rows.select("*", *[F.get("sketches", F.lit(i)).alias(n) for i, n in enumerate(("cells", "next_cells", "edited_cells"))])
+    other = lambda k, c: F.struct(F.col(k).alias("keys"), F.col(c).alias("cells"))
+    # one expression for both comparisons
+    near = F.transform(F.array(other("edited_keys", "edited_cells"), other("next_keys", "next_cells")), lambda o: likeness(F.col("keys"), o["keys"], F.col("cells"), o["cells"]))
+    prints = F.transform(F.array("cells", "edited_cells"), lambda c: as_text(cells(c)))
+    rows = rows.select(F.col("key").alias(key), "n_chars", "edited_sha256", prints.alias("prints"), near.alias("near"))
+    at = lambda c, i: F.get(c, F.lit(i))
+    return rows.select(column(key), "n_chars", "edited_sha256", at("prints", 0).alias("fingerprint"), at("prints", 1).alias("edited_fingerprint"), at("near", 0).alias("near_edited"), at("near", 1).alias("near_next"))
