@@ -179,8 +179,7 @@ SELECT gene, round(sum(x) / n, 6) AS mean, round((sum(x * x) - n * (sum(x) / n)
 def gene_variability(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
     c = counts.molecule_counts(line, "l_suppkey", "p_brand", "l_orderkey")
-    n = c.select("cell").distinct().count()
-    return matrix.gene_dispersion(matrix.normalised(c, 1000.0), n).select("gene", F.round("mean", 6).alias("mean"), F.round("var", 6).alias("var"))
+    return matrix.gene_dispersion(matrix.normalised(c, 1000.0)).select("gene", F.round("mean", 6).alias("mean"), F.round("var", 6).alias("var"))
 
 
 FLAVORED_SQL = """SELECT l_suppkey AS cell, l_orderkey AS umi, l_returnflag AS gene, CASE WHEN l_quantity < 15 THEN 'CODING' WHEN l_quantity < 25 THEN 'UTR' WHEN l_quantity < 40 THEN 'INTRONIC' ELSE 'INTERGENIC' END AS gf, CASE WHEN l_tax < 0.05 THEN 255 ELSE 3 END AS mapq FROM lineitem"""
@@ -250,9 +249,7 @@ SELECT gene, round(z, 6) AS z FROM z ORDER BY z.z DESC, gene LIMIT 10
 """)
 def variable_genes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten that stand out most among genes of similar mean (a top-k report)."""
-    v = brand_values(spark, sf_dir)
-    n = v.select("cell").distinct().count()
-    return matrix.variable_genes(v, n, 10, 4).select("gene", F.round("z", 6).alias("z"))
+    return matrix.variable_genes(brand_values(spark, sf_dir), None, 10, 4).select("gene", F.round("z", 6).alias("z"))
 
 
 @query(f"""
@@ -307,3 +304,15 @@ def marker_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     clusters = v.select("cell").distinct().withColumn("cluster", F.col("cell") % 3)
     ranked = v.join(clusters, "cell").groupBy("cluster", "gene").agg(F.round(F.sum("x"), 6).alias("total"))
     return matrix.marker_table(ranked, matrix.markers(v, clusters)).select("cluster", "gene", "total", F.round("pts", 6).alias("pts"))
+
+
+@query("""
+WITH c AS (SELECT l_suppkey AS cell, p_brand AS gene, count(DISTINCT l_orderkey) AS umis FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL),
+  t AS (SELECT cell, sum(umis) AS total FROM c GROUP BY 1), m AS (SELECT median(total) AS m FROM t)
+SELECT cell, round(sum(log2(1 + umis * m / total)), 5) AS x FROM c JOIN t USING (cell), m GROUP BY 1
+""")
+def median_normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every cell scaled to the median total."""
+    line = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
+    v = matrix.normalised(counts.molecule_counts(line, "l_suppkey", "p_brand", "l_orderkey"))
+    return v.groupBy("cell").agg(F.round(F.sum("x"), 5).alias("x"))
