@@ -33,25 +33,61 @@ def read_any(spark: SparkSession, paths: str | list[str], skim: int = 0) -> Data
     return rows.filter(F.col("record_no") % skim == 0) if skim > 1 else rows
 
 
-def read_reads(spark: SparkSession, r2: list[str], r1: list[str | None] | None = None) -> DataFrame:
-    """Reads of all file pairs, numbered by pair and record; without R1 as single-end reads."""
-    out = None
-    for i, f2 in enumerate(r2):
-        b = read_fastq(spark, f2).withColumn("pair", F.lit(i))
-        f1 = r1[i] if r1 and i < len(r1) else None
-        own = single(b) if f1 is None else paired(read_fastq(spark, f1).withColumn("pair", F.lit(i)), b)
-        out = own if out is None else out.unionByName(own)
-    return out
+def files_of(spark: SparkSession, path: str) -> list[str]:
+    """The data files that a path (a file, a folder or a glob) stands for, in order, as URIs."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = []
+    for status in fs.globStatus(p) or []:
+        for s in fs.listStatus(status.getPath()) if status.isDirectory() else [status]:
+            if s.isFile() and not s.getPath().getName().startswith(("_", ".")):
+                out.append(s.getPath().toUri().toString())
+    if not out:
+        raise FileNotFoundError(path)
+    return sorted(out)
+
+
+def _one_slash(uri: Column) -> Column:
+    """URIs of one file alike, however many slashes their scheme has."""
+    return F.regexp_replace(uri, "^([A-Za-z0-9]+):/+(?=[^/])", "$1:/")
+
+
+def read_reads(spark: SparkSession, r2: list[str], r1: list[str | None] | None = None, cells: list[str] | None = None) -> DataFrame:
+    """Reads of all file pairs, numbered by pair and record; without R1 as single-end reads. cells: a name for each pair.
+
+    All R2 files are one scan and all R1 files another, however many pairs there are; folders pair file by file.
+    """
+    pairs = []
+    for i, path in enumerate(r2):
+        other = r1[i] if r1 and i < len(r1) else None
+        seconds = files_of(spark, path)
+        firsts = files_of(spark, other) if other else [None] * len(seconds)
+        if len(firsts) != len(seconds):
+            raise ValueError(f"{len(firsts)} files of R1, {len(seconds)} of R2: {other}, {path}")
+        pairs += [(a, b, cells[i] if cells else None) for a, b in zip(firsts, seconds, strict=True)]
+    rows = [(n, a, b, c) for n, (a, b, c) in enumerate(pairs)]
+    listed = spark.createDataFrame(rows, "n int, r1 string, r2 string, cell string").withColumns({c: _one_slash(F.col(c)) for c in ("r1", "r2")})
+
+    def scan(side: str, paths: list[str]) -> DataFrame:
+        to = listed.filter(F.col(side).isNotNull()).select(F.col(side).alias("uri"), "n", F.col("r1").isNotNull().alias("has"), "cell")
+        return read_fastq(spark, paths).withColumn("uri", _one_slash(F.col("pair"))).join(F.broadcast(to), "uri").withColumn("pair", F.col("n"))  # a row per file
+
+    second = scan("r2", [b for _, b, _ in pairs])
+    parts = []
+    if any(a is None for a, _, _ in pairs):
+        parts.append(single(second.filter(~F.col("has"))))
+    if any(a is not None for a, _, _ in pairs):
+        parts.append(paired(scan("r1", [a for a, _, _ in pairs if a]), second.filter("has")))
+    out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    if cells is None:
+        return out
+    return out.join(F.broadcast(listed.select(F.col("n").alias("pair"), "cell")), "pair")
 
 
 def read_sample_matrix(spark: SparkSession, path: str) -> DataFrame:
     """Reads of all rows of a CSV with columns R2, R1 (may lack) and cell (may lack: the row number)."""
-    rows = spark.read.csv(path, header=True).collect()
-    out = None
-    for i, r in enumerate(x.asDict() for x in rows):
-        own = read_reads(spark, [r["R2"]], [r.get("R1")]).withColumn("cell", F.lit(r.get("cell") or str(i)))
-        out = own if out is None else out.unionByName(own)
-    return out
+    rows = [r.asDict() for r in spark.read.csv(path, header=True).collect()]
+    return read_reads(spark, [r["R2"] for r in rows], [r.get("R1") for r in rows], [r.get("cell") or str(i) for i, r in enumerate(rows)])
 
 
 def read_fasta(spark: SparkSession, paths: str | list[str]) -> DataFrame:
