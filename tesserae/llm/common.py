@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import sys
-import tempfile
 import types
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -12,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
+from tesserae.sources.shared import shared_folder
+
 #: A word: a run of anything but space and the control characters 9 to 13 (what bytes.split() cuts at).
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]"
@@ -23,23 +24,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the session's spark.checkpoint.dir; one of our own only in local mode, as in tests."""
-    there = spark.conf.get("spark.checkpoint.dir", None)
-    if not there:
-        there = spark.sparkContext.getCheckpointDir()
-    if not there:
-        if not spark.sparkContext.master.startswith("local["):
-            raise RuntimeError("spark.checkpoint.dir is not set: executors need a folder that all of them share")
-        there = tempfile.mkdtemp(prefix="tesserae-")
-        spark.sparkContext.setCheckpointDir(there)
-    return there.rstrip("/")
-
-
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write df into the shared folder and read it back: lineage ends here, and a lost executor costs no recomputation."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/staged/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/staged/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -169,7 +169,7 @@ def test_saved_snapshot(spark, tmp_path, monkeypatch):
         assert ours.filter("kept").count() == ours.select("text_sha256").distinct().count() and ours.count() == 3000 + snap.count()
 
 
-def test_shared_dir_wants_a_shared_folder(spark):
+def test_shared_folder_wants_a_shared_folder(spark):
     class Conf:
         def get(self, *_):
             return None
@@ -184,4 +184,4 @@ def test_shared_dir_wants_a_shared_folder(spark):
         conf, sparkContext = Conf(), Context()
 
     with pytest.raises(RuntimeError):
-        common.shared_dir(Session())
+        common.shared_folder(Session())
