@@ -316,3 +316,34 @@ def median_normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
     v = matrix.normalised(counts.molecule_counts(line, "l_suppkey", "p_brand", "l_orderkey"))
     return v.groupBy("cell").agg(F.round(F.sum("x"), 5).alias("x"))
+
+
+@query(f"""
+WITH m AS ({MOLECULES_SQL}), c AS (SELECT cell, gene, count(DISTINCT umi) AS umis FROM m GROUP BY ALL), r AS (SELECT user_id AS cell, count(*) * 3 AS n_reads FROM events WHERE value > 1 GROUP BY 1)
+SELECT cell, sum(umis)::BIGINT AS total_counts, any_value(n_reads) AS n_reads, round(any_value(n_reads) / sum(umis), 6) AS reads_per_counts FROM c JOIN r USING (cell) GROUP BY 1
+""")
+def metrics_with_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reads of a cell come from a summary; cells that it lacks go."""
+    c = counts.molecule_counts(molecules(spark, sf_dir), "cell", "gene", "umi")
+    summary = table(spark, sf_dir, "events").filter("value > 1").groupBy(F.col("user_id").alias("cell")).agg((F.count("*") * 3).alias("n_reads"))
+    out = counts.cell_metrics(c, "^c", summary)
+    return out.select("cell", "total_counts", "n_reads", F.round("reads_per_counts", 6).alias("reads_per_counts"))
+
+
+CATALOG_SQL = """SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN 'm.h5' END AS dge, c_custkey % 3 = 0 AS has_r2, CASE WHEN c_custkey % 5 = 0 THEN 'l.fq' END AS longreads, CASE WHEN c_custkey % 7 = 0 THEN 'b' END AS basecalls, c_custkey % 11 = 0 AS is_merged, c_mktsegment AS puck, c_custkey % 2 = 0 AS has_files FROM customer"""
+
+
+@query(f"""
+SELECT c_custkey, dge IS NOT NULL AND NOT has_r2 AND longreads IS NULL AND basecalls IS NULL AS external, dge IS NOT NULL OR has_r2 OR basecalls IS NOT NULL OR is_merged AS matrix, puck IN ('BUILDING', 'MACHINERY') OR has_files AS spatial FROM ({CATALOG_SQL})
+""")
+def catalog_predicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What samples of a catalog have."""
+    from tesserae.operators import catalog
+
+    k = F.col("c_custkey")
+    some = lambda test, name: F.when(test, F.array(F.lit(name))).otherwise(F.array().cast("array<string>"))
+    c = table(spark, sf_dir, "customer").select(
+        "c_custkey", F.when(k % 4 == 0, "m.h5").alias("dge"), some(k % 3 == 0, "r.fq").alias("r2"), F.when(k % 5 == 0, "l.fq").alias("longreads"), F.when(k % 7 == 0, "b").alias("basecalls"),
+        (k % 11 == 0).alias("is_merged"), F.col("c_mktsegment").alias("puck"), some(k % 2 == 0, "p.txt").alias("puck_files"),
+    )
+    return c.select("c_custkey", catalog.is_external().alias("external"), catalog.has_dge().alias("matrix"), catalog.is_spatial(["BUILDING", "MACHINERY"]).alias("spatial"))
