@@ -94,8 +94,8 @@ def triples_by_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs.select(F.concat_ws("\t", name, *map(F.lit, ("4", "*", "0", "0", "*", "*", "0", "0", "A", "I")), F.concat(F.lit("CB:Z:"), "source")).alias("value")).write.text(sam)
     fastq = text(read_rows(spark, sf_dir), fastq_of(name, F.col("seq")), "reads")
     by_column = sequences.read_triples(spark, csv, separator=";", column=1).select(F.col("seq"))
-    ids = sequences.read_column(spark, csv, 0, separator=";").select(F.col("seq").alias("id"), "name")
-    numbered = sequences.read_column(spark, csv, 1, separator=";").join(ids, "name").select(F.col("id").alias("name"), "seq")
+    ids = sequences.read_column(spark, csv, 0, separator=";", file_too=True).withColumnRenamed("seq", "id")
+    numbered = sequences.read_column(spark, csv, 1, separator=";", file_too=True).join(ids, ["file", "name"]).select(F.col("id").alias("name"), "seq")
     assert by_column.columns == ["seq"]
     return numbered.unionByName(sequences.read_triples(spark, fastq)).unionByName(sequences.read_triples(spark, sam, tag="CB"))
 

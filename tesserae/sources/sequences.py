@@ -155,7 +155,11 @@ def read_triples(spark: SparkSession, path: str, tag: str | None = None, skip: i
     return read_fastq(spark, path).select("name", "seq")
 
 
-def read_column(spark: SparkSession, path: str, column: int = 0, skip: int = 0, separator: str = "\t") -> DataFrame:
-    """(name: the line's number, seq: one column of a text table), from line `skip` on."""
+def read_column(spark: SparkSession, path: str, column: int = 0, skip: int = 0, separator: str = "\t", file_too: bool = False) -> DataFrame:
+    """(name: the line's number, seq: one column of a text table), from line `skip` on.
+
+    Lines are numbered by file: in a folder of several, file and name together (file_too) tell lines apart.
+    """
     lines = numbered_lines(spark, path).filter(F.col("line_no") >= skip) if skip else numbered_lines(spark, path)
-    return lines.select(F.col("line_no").cast("string").alias("name"), F.get(F.split("value", f"\\Q{separator}\\E"), F.lit(column)).alias("seq")).filter("seq IS NOT NULL")
+    own = lines.select(*(["file"] if file_too else []), F.col("line_no").cast("string").alias("name"), F.get(F.split("value", f"\\Q{separator}\\E"), F.lit(column)).alias("seq"))
+    return own.filter("seq IS NOT NULL")
