@@ -214,9 +214,9 @@ SELECT cell::VARCHAR AS cell, gene, n::INTEGER AS umis FROM m UNION ALL SELECT N
 def dge_text_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A dense text matrix, a cell a column."""
     m = table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("gene"), F.col("user_id").alias("cell")).agg(F.count("*").alias("n"))
-    cells = sorted(r[0] for r in m.select("cell").distinct().collect())
-    wide = m.groupBy("gene").pivot("cell", cells).agg(F.first("n")).na.fill(0)
-    path = text(wide, F.concat_ws("\t", "gene", *[F.col(f"`{c}`").cast("string") for c in cells]), "dge", "gene", first=["\t".join(["GENE", *map(str, cells)])])
+    lines = tables.dense_lines(m, "gene", "cell", "n")
+    path = new_path(spark, "dge")
+    lines.repartition(1).sortWithinPartitions("head", "gene").select("value").write.text(path)
     return tables.read_dge_text(spark, path)
 
 

@@ -61,8 +61,28 @@ def read_coordinate_system(spark: SparkSession, path: str) -> DataFrame:
     return keep_first(rows, ["puck_id"], ["line_no"]).drop("line_no")
 
 
+#: Parts into which the columns of a dense matrix are dealt when its zeros are filled in.
+PARTS = 64
+
+
+def dense_lines(counts: DataFrame, gene: str = "gene", cell: str = "cell", n: str = "n") -> DataFrame:
+    """(head: 0 for the header and 1 for others, gene, value) of a dense text matrix, a gene a line and a cell a column, in the cells' order.
+
+    counts: a row per gene and cell that isn't 0. Zeros are filled in as rows, by an equi-join of the genes with every part
+    of the cells, so no plan has a column per cell; a null name is an empty one.
+    """
+    c = counts.select(F.col(gene).alias("gene"), F.col(cell).alias("cell"), F.col(n).cast("string").alias("v"), F.lit(True).alias("there"))
+    cells = c.select("cell").distinct().withColumn("part", F.pmod(F.xxhash64("cell"), F.lit(PARTS)))
+    genes = c.select("gene").distinct().withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PARTS - 1).cast("long"))))
+    zeros = genes.join(cells, "part").select("gene", "cell", F.lit("0").alias("v"), F.lit(False).alias("there"))
+    full = c.unionByName(zeros).groupBy("gene", "cell").agg(F.max_by("v", "there").alias("v")).withColumn("head", F.lit(1))
+    names = cells.select(F.lit("GENE").alias("gene"), "cell", F.coalesce(F.col("cell").cast("string"), F.lit("")).alias("v"), F.lit(0).alias("head"))
+    lists = full.unionByName(names).groupBy("head", "gene").agg(F.array_sort(F.collect_list(F.struct("cell", "v"))).alias("f"))
+    return lists.select("head", "gene", F.concat_ws("\t", F.coalesce("gene", F.lit("")), F.array_join(F.col("f.v"), "\t")).alias("value"))
+
+
 def read_dge_text(spark: SparkSession, path: str, missing_gene: str | None = "mt-missing") -> DataFrame:
-    """(cell, gene, umis) of a dense text matrix, barcodes in the first line, a gene a line; non-zeros only.
+    """(cell, gene, umis) of a dense text matrix, barcodes in the first line, a gene a line; non-zeros only. Empty names are null.
 
     If no gene name starts with mt-, a row of `missing_gene` without counts is noted under a null cell, so that
     mitochondrial shares are defined.
@@ -71,7 +91,8 @@ def read_dge_text(spark: SparkSession, path: str, missing_gene: str | None = "mt
     cells = lines.filter("line_no = 0").select(F.posexplode(F.split("value", "\t")).alias("i", "cell")).filter("i > 0")
     rows = lines.filter("line_no > 0").select(F.split("value", "\t").alias("f"))
     long = rows.select(F.get("f", F.lit(0)).alias("gene"), F.posexplode("f").alias("i", "n")).filter("i > 0 AND n <> '0'")
-    out = long.join(cells, "i").select("cell", "gene", F.col("n").cast("int").alias("umis")).filter("umis <> 0")
+    name = lambda c: F.nullif(F.col(c), F.lit("")).alias(c)
+    out = long.join(cells, "i").select(name("cell"), name("gene"), F.col("n").cast("int").alias("umis")).filter("umis <> 0")
     if missing_gene:
         none = rows.agg(F.bool_or(F.lower(F.get("f", F.lit(0))).startswith("mt-")).alias("has")).filter("NOT coalesce(has, false)")
         out = out.unionByName(none.select(F.lit(None).cast("string").alias("cell"), F.lit(missing_gene).alias("gene"), F.lit(0).alias("umis")))

@@ -24,3 +24,10 @@ def test_triples_from_several_files(spark, tmp_path, unmerged):
     rows = [(i, f"text {i}" * (i % 5), ("en", "de", "fr")[i % 3], f"s{i % 7}", 6) for i in range(200)]
     spark.createDataFrame(rows, DOCS).write.parquet(f"{tmp_path}/documents.parquet")
     assert against_sql(spark, "triples_by_format", str(tmp_path)) == ""
+
+
+def test_dense_matrix_of_many_cells(spark, tmp_path):
+    """A column each for so many cells is more than a driver can plan."""
+    e = spark.range(60_000).selectExpr("id AS event_id", "timestamp'2024-01-01' AS ts", "if(id % 11 = 0, null, id % 19997) AS user_id", "if(id % 7 = 0, null, concat('g', id % 3)) AS event_type", "1.0D AS value", "'{}' AS props")
+    e.write.parquet(f"{tmp_path}/events.parquet")
+    assert against_sql(spark, "dge_text_scan", str(tmp_path)) == ""
