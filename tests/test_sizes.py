@@ -8,6 +8,7 @@ from oracle import connect, differences
 
 from tesserae import registry
 from tesserae.operators import intervals
+from tesserae.sources import bam
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -61,3 +62,26 @@ def test_block_counts_of_dense_places(spark):
     n = {r["read"]: r["n"] for r in intervals.block_counts(b, f, ["chrom"]).collect()}
     assert len(n) == 12_000 and time.time() - t < 90
     assert all(n[k] == 4000 * sum(any(i % 40 < s + 60 and s < i % 40 + 20 + i % 3 for i in range(3 * k, 3 * k + 3)) for s in range(50)) for k in range(0, 12_000, 97))
+
+
+def test_bam_in_blocks(spark, tmp_path):
+    """A file is decoded by as many tasks as it has blocks, numbers and names as in one; one whose records cross members is one task."""
+    df = spark.range(30_000).repartition(7).selectExpr("concat('r', id) AS qname", "4 * int(id % 2) AS flag", "if(id % 2 = 0, concat('c', id % 3), '*') AS rname", "int(id % 900) AS pos", "255 AS mapq", "concat(id % 90 + 1, 'M') AS cigar",
+        "substr(repeat('ACGTNacgtn', 10), 1, int(id % 90) + 1) AS seq", "substr(repeat(concat('!I~', char(40 + id % 50)), 25), 1, int(id % 90) + 1) AS qual", "map('CB', sha2(string(id), 256), 'NH', string(id % 4), 'XZ', '') AS tags")
+    path = str(tmp_path / "x.bam")
+    bam.write_bam(df, path, {"c0": 1000, "c1": 1000, "c2": 1000})
+    data = (tmp_path / "x.bam").read_bytes()
+    whole = b"".join(bam.inflated(data))
+    (tmp_path / "y.bam").write_bytes(b"".join(bam.member(whole[i : i + 5000]) for i in range(0, len(whole), 5000)) + bam.END_OF_FILE)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    try:
+        x, y = bam.read_bam(spark, path), bam.read_bam(spark, str(tmp_path / "y.bam"))
+        both = bam.read_bam(spark, str(tmp_path / "*.bam"))
+        assert x.rdd.getNumPartitions() > 4 and y.rdd.getNumPartitions() == 1
+        rows = lambda d: [tuple(r) for r in d.orderBy("record_no").drop("file").collect()]
+        assert rows(x) == rows(y) and [r[0] for r in rows(x)] == list(range(30_000)) and both.count() == 60_000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    want = df.selectExpr("qname", "flag", "rname", "pos", "mapq", "cigar", "upper(seq) AS seq", "qual", "tags['CB'] AS cb", "tags['NH'] AS nh", "tags['XZ'] AS xz")
+    got = x.selectExpr("qname", "flag", "rname", "pos", "mapq", "cigar", "seq", "qual", "tags['CB'] AS cb", "tags['NH'] AS nh", "tags['XZ'] AS xz")
+    assert got.exceptAll(want).count() == 0 == want.exceptAll(got).count()
