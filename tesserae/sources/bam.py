@@ -175,7 +175,7 @@ MEMBER = 0xFF00
 
 def member(raw: bytes) -> bytes:
     """One BGZF member."""
-    d = zlib.compressobj(6, zlib.DEFLATED, -15)
+    d = zlib.compressobj(3, zlib.DEFLATED, -15)
     body = d.compress(raw) + d.flush()
     return struct.pack("<BBBBIBBHBBHH", 31, 139, 8, 4, 0, 0, 255, 6, 66, 67, 2, len(body) + 25) + body + struct.pack("<II", zlib.crc32(raw), len(raw))
 
@@ -206,6 +206,11 @@ def encoded(qname: str, flag: int, ref: int, pos: int, mapq: int, cigar: str, se
     return struct.pack("<i", len(body)) + body
 
 
+def listed(column: pa.Array) -> list:
+    """Values as Python's own, made by the column instead of one by one."""
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
 def write_bam(df: DataFrame, path: str, references: dict[str, int] | None = None, header: str = "@HD\tVN:1.6\n") -> None:
     """One BAM file of df's records (qname, flag, rname, pos, mapq, cigar, seq, qual, tags), partition after partition.
 
@@ -220,8 +225,10 @@ def write_bam(df: DataFrame, path: str, references: dict[str, int] | None = None
     def run(batches):
         for b in batches:
             raw, out = bytearray(), []
-            for qname, flag, rname, pos, mapq, cigar, seq, qual, tags in zip(*[c.to_pylist() for c in b.columns], strict=True):
-                r = encoded(qname, flag, at.get(rname, -1), pos, mapq, cigar, seq, qual, tags or ())
+            *fixed, maps = b.columns
+            start, pairs = maps.offsets.to_pylist(), list(zip(listed(maps.keys), listed(maps.items), strict=True))
+            for i, (qname, flag, rname, pos, mapq, cigar, seq, qual) in enumerate(zip(*map(listed, fixed), strict=True)):
+                r = encoded(qname, flag, at.get(rname, -1), pos, mapq, cigar, seq, qual, pairs[start[i] : start[i + 1]])
                 if raw and len(raw) + len(r) > MEMBER:  # members begin with a record, unless one is larger than a member
                     out += pieces(raw)
                     raw = bytearray()
